@@ -25,3 +25,206 @@ def q_index_build(spark, sf_dir):
 select * from ui""")
 def q_interactions(spark, sf_dir):
     return context(spark, sf_dir).interactions
+
+
+# --- dictionary: extension, lookups, persistence, set difference ---------------
+
+from mixtape.plans.oracle import INCREMENTAL_CTES  # noqa: E402
+from mixtape.session import scratch_path  # noqa: E402
+
+
+@query("index_incremental", sql=f"""with {INCREMENTAL_CTES}
+select track, id from inc_idx""")
+def q_index_incremental(spark, sf_dir):
+    return context(spark, sf_dir).incremental_index
+
+
+@query("new_tracks_except", sql=f"""with {INCREMENTAL_CTES}
+select track_uri from new_raw except select track from old_idx""")
+def q_new_tracks_except(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    return ctx.new_rows.select("track_uri").subtract(ctx.old_index.select("track"))
+
+
+@query("index_lookup", sql=f"""with {INCREMENTAL_CTES}
+select k.track, o.id, o.id is null as is_new
+from (select distinct track_uri as track from new_raw) k left join old_idx o on k.track = o.track""")
+def q_index_lookup(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    keys = ctx.new_rows.select(F.col("track_uri").alias("track")).distinct()
+    found = idx.encode(keys, ctx.old_index, "track", "id")
+    return found.withColumn("is_new", F.col("id").isNull())
+
+
+@query("index_reverse_lookup", sql=f"""with {UI_CTES}
+select cast(p.p_partkey as int) as id, idx.track
+from part p left join idx on cast(p.p_partkey as int) = idx.id""")
+def q_index_reverse_lookup(spark, sf_dir):
+    from mixtape.sources.testview import table
+    ids = table(spark, sf_dir, "part").select(F.col("p_partkey").cast("int").alias("id"))
+    return idx.decode(ids, context(spark, sf_dir).index, "id", "track")
+
+
+@query("index_roundtrip", sql=f"""with {UI_CTES}
+select track, id from idx""")
+def q_index_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "index")
+    idx.save_index(context(spark, sf_dir).index, path)
+    return idx.load_index(spark, path)
+
+
+# --- ingest from nested JSON slices --------------------------------------------
+
+from mixtape.plans.oracle import raw_rows  # noqa: E402
+from mixtape.sources import json_slices  # noqa: E402
+
+
+def _slices(spark, sf_dir):
+    path = scratch_path(spark, "slices")
+    json_slices.write_slices(context(spark, sf_dir).rows, path, playlists_per_slice=250)
+    return path
+
+
+@query("json_flatten", sql=f"select * from ({raw_rows()}) r")
+def q_json_flatten(spark, sf_dir):
+    path = _slices(spark, sf_dir)
+    return json_slices.flatten_slices(json_slices.read_slices(spark, f"{path}/slice=*/*.json"))
+
+
+@query("json_flatten_recursive", sql=f"select * from ({raw_rows()}) r")
+def q_json_flatten_recursive(spark, sf_dir):
+    path = _slices(spark, sf_dir)
+    return json_slices.flatten_slices(json_slices.read_slices(spark, path, recursive=True))
+
+
+@query("json_ingest", sql=f"""with {UI_CTES}
+select * from ui""")
+def q_json_ingest(spark, sf_dir):
+    path = _slices(spark, sf_dir)
+    rows = json_slices.flatten_slices(json_slices.read_slices(spark, path, recursive=True))
+    interactions, _ = inter.ingest(rows)
+    return interactions
+
+
+# --- catalog, lookups, search, text rows ------------------------------------------
+
+from mixtape.functions import text as txt  # noqa: E402
+from mixtape.operators import catalog as cat  # noqa: E402
+from mixtape.operators import search  # noqa: E402
+from mixtape.sources import testview as tv  # noqa: E402
+
+CATALOG_SQL = f"""with {UI_CTES},
+cat as (select distinct substr(track_name, 1, 200) as track_name, substr(artist_name, 1, 200) as artist_name,
+               substr(album_name, 1, 200) as album_name, track_uri from ui)"""
+
+# Fixed search parameters of the registered search queries.
+PAGE_OFFSET = 100
+POINT_URI = "part:7"
+NAME_TERM = "RING"
+SEARCH = ("ring", "brand#1", "")
+CONTAINS = ("Blue", "", "eco")
+TIERED = ("widget", "", "promo")
+
+
+def _catalog(spark, sf_dir):
+    return cat.build_catalog(context(spark, sf_dir).interactions)
+
+
+@query("catalog_build", sql=f"{CATALOG_SQL} select * from cat")
+def q_catalog_build(spark, sf_dir):
+    return _catalog(spark, sf_dir)
+
+
+@query("catalog_roundtrip", sql=f"{CATALOG_SQL} select * from cat")
+def q_catalog_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "catalog")
+    cat.write_catalog(_catalog(spark, sf_dir), path)
+    return cat.read_catalog(spark, path)
+
+
+@query("catalog_page", sql=f"""{CATALOG_SQL}
+select * from cat order by track_uri, track_name, artist_name, album_name
+limit 100 offset {PAGE_OFFSET}""")
+def q_catalog_page(spark, sf_dir):
+    return cat.catalog_page(_catalog(spark, sf_dir), PAGE_OFFSET)
+
+
+@query("track_by_uri", sql=f"""{CATALOG_SQL}
+select * from cat where track_uri = '{POINT_URI}'
+order by track_uri, track_name, artist_name, album_name limit 1""")
+def q_track_by_uri(spark, sf_dir):
+    return cat.track_by_uri(_catalog(spark, sf_dir), POINT_URI)
+
+
+@query("tracks_by_uri", sql=f"""{CATALOG_SQL},
+req as (select distinct l_orderkey as basket_id, concat('part:', cast(l_partkey as varchar)) as track_uri
+        from lineitem)
+select req.basket_id, cat.* from req join cat on req.track_uri = cat.track_uri""")
+def q_tracks_by_uri(spark, sf_dir):
+    return cat.tracks_for_requests(_catalog(spark, sf_dir), tv.order_baskets(spark, sf_dir))
+
+
+@query("track_name_like", sql=f"""{CATALOG_SQL}
+select * from cat where contains(lower(track_name), lower('{NAME_TERM}'))""")
+def q_track_name_like(spark, sf_dir):
+    return search.track_name_like(_catalog(spark, sf_dir), NAME_TERM)
+
+
+@query("track_search", sql=f"""{CATALOG_SQL}
+select * from cat where contains(lower(track_name), '{SEARCH[0]}')
+  and contains(lower(artist_name), '{SEARCH[1]}')""")
+def q_track_search(spark, sf_dir):
+    return search.track_search(_catalog(spark, sf_dir), *SEARCH)
+
+
+@query("track_search_contains", sql=f"""{CATALOG_SQL}
+select * from cat where coalesce(contains(lower(track_name), lower('{CONTAINS[0]}')), false)
+  and coalesce(contains(lower(album_name), lower('{CONTAINS[2]}')), false)""")
+def q_track_search_contains(spark, sf_dir):
+    return search.track_search_contains(_catalog(spark, sf_dir), *CONTAINS)
+
+
+@query("track_search_tiered", sql=f"""{CATALOG_SQL},
+hot as (select * from cat order by track_uri, track_name, artist_name, album_name limit 100),
+t1 as (select * from hot where coalesce(contains(lower(track_name), '{TIERED[0]}'), false)
+                           and coalesce(contains(lower(album_name), '{TIERED[2]}'), false)),
+t2 as (select * from cat where contains(lower(track_name), '{TIERED[0]}')
+                           and contains(lower(album_name), '{TIERED[2]}'))
+select * from t1 union all select * from t2 where not exists (select 1 from t1)""")
+def q_track_search_tiered(spark, sf_dir):
+    full = _catalog(spark, sf_dir)
+    hot = cat.catalog_page(full, 0)
+    return search.track_search_tiered(hot, full, *TIERED)
+
+
+TEXT_SQL = """concat_ws(', ', coalesce(track_name, 'None'), coalesce(artist_name, 'None'),
+                 coalesce(album_name, 'None'), coalesce(track_uri, 'None'))"""
+
+
+@query("track_text", sql=f"""{CATALOG_SQL}
+select track_uri as key_uri, {TEXT_SQL} as text from cat""")
+def q_track_text(spark, sf_dir):
+    return cat.with_text(_catalog(spark, sf_dir)).select(F.col("track_uri").alias("key_uri"), "text")
+
+
+@query("track_text_parse", sql=f"""{CATALOG_SQL},
+t as (select {TEXT_SQL} as text from cat),
+p as (select text, string_split(text, ', ') as parts from t)
+select text,
+       array_to_string(list_slice(parts, 1, greatest(len(parts) - 3, 1)), ', ') as track_name,
+       case when len(parts) >= 4 then parts[len(parts) - 2] end as artist_name,
+       case when len(parts) >= 3 then parts[len(parts) - 1] end as album_name,
+       case when len(parts) >= 2 then parts[len(parts)] end as track_uri,
+       cast(len(parts) as int) as n_parts
+from p""")
+def q_track_text_parse(spark, sf_dir):
+    texts = cat.with_text(_catalog(spark, sf_dir)).select("text")
+    return txt.parse_track_text(texts)
+
+
+@query("uri_list_explode", sql="""with b as (
+  select distinct l_orderkey as basket_id, concat('part:', cast(l_partkey as varchar)) as track_uri from lineitem)
+select basket_id, cast(row_number() over (partition by basket_id order by track_uri) - 1 as int) as pos,
+       track_uri from b""")
+def q_uri_list_explode(spark, sf_dir):
+    return txt.explode_uri_list(tv.basket_requests(spark, sf_dir))

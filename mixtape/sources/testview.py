@@ -64,3 +64,11 @@ def customer_baskets(spark: SparkSession, sf_dir: str, since: str | None = None,
     """Incoming playlists of a batch: (basket_id = playlist_id, track_uri), distinct."""
     rows = playlist_tracks(spark, sf_dir, since, until)
     return rows.select(F.col("playlist_id").alias("basket_id"), "track_uri").distinct()
+
+
+def basket_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One request per order: (basket_id, uri_list) with the order's URIs, sorted,
+    comma-joined. An order has at most a handful of lines (line numbers 1..7)."""
+    baskets = order_baskets(spark, sf_dir)
+    return (baskets.groupBy("basket_id")
+            .agg(F.array_join(F.array_sort(F.collect_set("track_uri")), ",").alias("uri_list")))
