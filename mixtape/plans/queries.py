@@ -228,3 +228,101 @@ select basket_id, cast(row_number() over (partition by basket_id order by track_
        track_uri from b""")
 def q_uri_list_explode(spark, sf_dir):
     return txt.explode_uri_list(tv.basket_requests(spark, sf_dir))
+
+
+# --- arrays, vectors, pivot, audits, routing ---------------------------------------
+
+from mixtape.operators import vectors as vec  # noqa: E402
+from mixtape.plans.oracle import HISTORY_CTES  # noqa: E402
+
+ARRAY_SUMMARY_SQL = f"""with {UI_CTES}
+select playlist_id, cast(count(*) as int) as n_items, min(track_uri_index) as min_id,
+       max(track_uri_index) as max_id, cast(sum(track_uri_index) as bigint) as sum_id,
+       cast(count(*) as double) as sum_values
+from pairs group by playlist_id"""
+
+
+@query("user_item_arrays", sql=ARRAY_SUMMARY_SQL)
+def q_user_item_arrays(spark, sf_dir):
+    arrays = vec.user_item_arrays(context(spark, sf_dir).pairs)
+    return arrays.select(
+        "playlist_id", F.size("indices").alias("n_items"),
+        F.array_min("indices").alias("min_id"), F.array_max("indices").alias("max_id"),
+        F.aggregate("indices", F.lit(0).cast("bigint"), lambda a, x: a + x).alias("sum_id"),
+        F.aggregate("values", F.lit(0.0), lambda a, x: a + x).alias("sum_values"))
+
+
+@query("user_vectors", sql=ARRAY_SUMMARY_SQL)
+def q_user_vectors(spark, sf_dir):
+    vectors = vec.sparse_vectors(context(spark, sf_dir).pairs)
+    s = vectors.select("playlist_id", vec.vector_summary("features").alias("s"))
+    return s.select("playlist_id", "s.n_items", "s.min_id", "s.max_id", "s.sum_id", "s.sum_values")
+
+
+@query("pivot_matrix", sql="""with piv as (
+  pivot (select o.o_custkey as playlist_id, p.p_brand as artist_name, 1 as rating
+         from lineitem l join orders o on l.l_orderkey = o.o_orderkey
+                         join part p on l.l_partkey = p.p_partkey)
+  on artist_name using max(rating) group by playlist_id)
+select playlist_id, coalesce(columns(* exclude (playlist_id)), 0) from piv""")
+def q_pivot_matrix(spark, sf_dir):
+    ui = context(spark, sf_dir).interactions
+    return vec.pivot_matrix(ui, item_col="artist_name", assemble=False)
+
+
+@query("item_universe", sql=f"""with {UI_CTES}
+select distinct track_uri_index from ui where track_uri_index is not null""")
+def q_item_universe(spark, sf_dir):
+    ui = context(spark, sf_dir).interactions
+    return (ui.select("track_uri_index").where(F.col("track_uri_index").isNotNull())
+              .distinct().orderBy("track_uri_index"))
+
+
+@query("distinct_users", sql=f"""with {UI_CTES}
+select distinct playlist_id from ui""")
+def q_distinct_users(spark, sf_dir):
+    return context(spark, sf_dir).interactions.select("playlist_id").distinct()
+
+
+DUP_SQL = f"""with {UI_CTES},
+enc as (select r.playlist_id, idx.id as track_uri_index from raw r left join idx on r.track_uri = idx.track)
+select playlist_id, track_uri_index, count(*) as "count" from enc
+group by playlist_id, track_uri_index having count(*) > {{t}}"""
+
+
+def _encoded_raw(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    return idx.encode(ctx.rows, ctx.index)
+
+
+@query("dup_audit", sql=DUP_SQL.format(t=2))
+def q_dup_audit(spark, sf_dir):
+    return inter.dup_audit(_encoded_raw(spark, sf_dir), threshold=2)
+
+
+@query("dup_audit_strict", sql=DUP_SQL.format(t=1))
+def q_dup_audit_strict(spark, sf_dir):
+    return inter.dup_audit(_encoded_raw(spark, sf_dir), threshold=1)
+
+
+@query("split_known_new", sql=f"""with {HISTORY_CTES},
+b as (select distinct playlist_id as basket_id from incoming_raw)
+select basket_id, exists (select 1 from hist_raw h where h.playlist_id = b.basket_id) as is_known
+from b""")
+def q_split_known_new(spark, sf_dir):
+    incoming = tv.customer_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF)
+    history = tv.playlist_tracks(spark, sf_dir, until=tv.HISTORY_CUTOFF)
+    return inter.split_known_new(incoming, history)
+
+
+@query("basket_interactions", sql=f"""{CATALOG_SQL},
+b as (select distinct l_orderkey as basket_id, concat('part:', cast(l_partkey as varchar)) as track_uri
+      from lineitem)
+select distinct b.basket_id, c.track_name, c.artist_name, c.album_name, c.track_uri,
+       idx.id as track_uri_index, 1 as rating
+from b join (select distinct track_name, artist_name, album_name, track_uri from ui) c
+  on b.track_uri = c.track_uri
+left join idx on c.track_uri = idx.track""")
+def q_basket_interactions(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    return inter.basket_interactions(tv.order_baskets(spark, sf_dir), ctx.catalog, ctx.index)
