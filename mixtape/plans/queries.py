@@ -326,3 +326,140 @@ left join idx on c.track_uri = idx.track""")
 def q_basket_interactions(spark, sf_dir):
     ctx = context(spark, sf_dir)
     return inter.basket_interactions(tv.order_baskets(spark, sf_dir), ctx.catalog, ctx.index)
+
+
+# --- neighbours, factors, recommendations -------------------------------------------
+
+from mixtape.operators import factors as fac  # noqa: E402
+from mixtape.operators import neighbors as nb  # noqa: E402
+from mixtape.operators import recommend as rec  # noqa: E402
+from mixtape.sources import models as mdl  # noqa: E402
+
+# brute force over every (basket, user) pair: the independent check of the
+# pruned candidate set used by knn_exact
+KNN_SQL = f"""with {UI_CTES},
+bk as (select distinct l.l_orderkey as basket_id, idx.id as item
+       from lineitem l left join idx on concat('part:', cast(l.l_partkey as varchar)) = idx.track),
+bsize as (select basket_id, count(item) as a from bk group by basket_id),
+usize as (select playlist_id, count(*) as b from pairs group by playlist_id),
+ov as (select bk.basket_id, p.playlist_id, count(*) as o
+       from bk join pairs p on bk.item = p.track_uri_index group by bk.basket_id, p.playlist_id),
+allp as (select bs.basket_id, us.playlist_id, bs.a + us.b - 2 * coalesce(ov.o, 0) as d2
+         from bsize bs cross join usize us
+         left join ov on ov.basket_id = bs.basket_id and ov.playlist_id = us.playlist_id),
+ranked as (select basket_id, playlist_id, d2,
+                  row_number() over (partition by basket_id order by d2, playlist_id) as rn
+           from allp)
+select basket_id, playlist_id as neighbor_id, round(sqrt(d2), 6) as distance, cast(rn as int) as rank
+from ranked where rn = 1"""
+
+
+@query("knn_exact", sql=KNN_SQL)
+def q_knn_exact(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    items = idx.encode(tv.order_baskets(spark, sf_dir), ctx.index).select("basket_id", "track_uri_index")
+    return nb.knn_exact(items, ctx.pairs, k=1)
+
+
+@query("als_factors")
+def q_als_factors(spark, sf_dir):
+    return fac.factors(context(spark, sf_dir).model, "user")
+
+
+@query("als_roundtrip")
+def q_als_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "als")
+    mdl.save_model(context(spark, sf_dir).model, path)
+    return mdl.load_als(path).itemFactors
+
+
+def _history_vectors(ctx):
+    return vec.sparse_vectors(ctx.history_pairs)
+
+
+def _lsh(ctx):
+    key = "_lsh_model"
+    if key not in ctx.__dict__:
+        ctx.__dict__[key] = nb.fit_lsh(_history_vectors(ctx), seed=7)
+    return ctx.__dict__[key]
+
+
+@query("lsh_hashes")
+def q_lsh_hashes(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    return nb.hash_values(_lsh(ctx), _history_vectors(ctx))
+
+
+@query("lsh_roundtrip")
+def q_lsh_roundtrip(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    path = scratch_path(spark, "lsh")
+    mdl.save_model(_lsh(ctx), path)
+    return nb.hash_values(mdl.load_lsh(path), _history_vectors(ctx))
+
+
+@query("ann_single")
+def q_ann_single(spark, sf_dir):
+    """LSH neighbour of one incoming basket (the smallest basket id), with the
+    exact neighbour as fallback when no bucket matches."""
+    ctx = context(spark, sf_dir)
+    baskets = tv.order_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF)
+    first_id = baskets.agg(F.min("basket_id")).first()[0]
+    one = baskets.where(F.col("basket_id") == F.lit(first_id))
+    items = idx.encode(one, ctx.history_index).select("basket_id", "track_uri_index")
+    size = vec.vector_size(ctx.history_pairs)
+    key = (vec.sparse_vectors(items.where(F.col("track_uri_index").isNotNull()), size,
+                              user_col="basket_id")
+           .select("features").first())
+    if key is None:  # no known item at all: only the exact path applies
+        return nb.knn_exact(items, ctx.history_pairs, 1).select(
+            "neighbor_id", "distance", F.lit("exact").alias("method"))
+    return nb.ann_with_fallback(_lsh(ctx), _history_vectors(ctx), key["features"], items,
+                                ctx.history_pairs, k=1)
+
+
+def _by_id(ctx):
+    return cat.catalog_by_id(ctx.history)
+
+
+@query("recommend_known")
+def q_recommend_known(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    users = ctx.history_pairs.select("playlist_id").distinct()
+    return rec.recommend_known(ctx.history_model, users, rec.RECS_TRAINING, _by_id(ctx))
+
+
+@query("recommend_new")
+def q_recommend_new(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    baskets = tv.order_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF)
+    return rec.recommend_new(ctx.history_model, baskets, ctx.history_index, ctx.history_pairs,
+                             rec.RECS_JOB, _by_id(ctx))
+
+
+def _recommend_all(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    baskets = tv.customer_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF)
+    return baskets, rec.recommend_all(ctx.history_model, baskets, ctx.history_index,
+                                      ctx.history_pairs, rec.RECS_TRAINING, _by_id(ctx))
+
+
+@query("recommend_all")
+def q_recommend_all(spark, sf_dir):
+    return _recommend_all(spark, sf_dir)[1]
+
+
+@query("recommend_enriched")
+def q_recommend_enriched(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    _, recs = _recommend_all(spark, sf_dir)
+    return rec.enrich(recs, cat.build_catalog(ctx.history))
+
+
+@query("recommend_envelope")
+def q_recommend_envelope(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    baskets = tv.order_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF)
+    recs = rec.recommend_new(ctx.history_model, baskets, ctx.history_index, ctx.history_pairs,
+                             rec.RECS_JOB, _by_id(ctx))
+    return rec.envelope(recs, baskets).select("basket_id", "envelope", "uri_list")
