@@ -5,7 +5,8 @@ computed without a single-partition window: distinct new keys are range
 partitioned and sorted within partitions, written as a reliable checkpoint
 (so every later read sees the same partitions), counted per partition, and
 each row gets ``offset of its partition + position inside it``. The offsets
-table has one row per partition, so broadcasting it has a fixed bound.
+table has one row per partition, so broadcasting it has a fixed bound. The
+numbered keys are written as Parquet under the shared checkpoint folder.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from mixtape import schemas
-from mixtape.session import ensure_checkpoint_dir, shuffle_partitions
+from mixtape.session import ensure_checkpoint_dir, scratch_path, shuffle_partitions
 from mixtape.sources.artefacts import read_parquet, write_parquet
 
 INT_MAX = 2_147_483_647
@@ -52,10 +53,16 @@ def dense_ids(keys: DataFrame, key: str, start: int = 0,
          + F.lit(start)).alias("_offset"))
     numbered = placed.join(F.broadcast(offsets), "_part")
     new_id = F.col("_offset") + F.col("_pos") + F.lit(1)
-    return numbered.select(
+    out = numbered.select(
         F.col(key),
         F.when(new_id <= INT_MAX, new_id.cast("int"))
          .otherwise(F.raise_error(F.lit("track id exceeds int range"))).cast("int").alias("id"))
+    # Materialise once as a Parquet table in the shared folder: later joins scan
+    # a finished table (with a known size, so the planner sizes joins from
+    # real statistics) instead of redoing the per-partition counts.
+    path = scratch_path(spark, "dense-ids")
+    out.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(out.schema).parquet(path)
 
 
 def new_keys(index: DataFrame, df: DataFrame, input_col: str = "track_uri") -> DataFrame:

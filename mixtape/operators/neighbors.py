@@ -11,7 +11,8 @@ monotone in (|B|, id) for euclidean and constant for the others, so only the
 k users smallest in that order can enter a top-k; they are found once (k rows,
 collected) and offered to every basket. Every user outside both sets is beaten
 by k users that are inside, so the result equals the all-pairs answer.
-Ranking is by (distance, user id).
+For euclidean the offered users also bound the k-th distance, which prunes
+large users before the join (see ``knn_exact``). Ranking is by (distance, id).
 """
 
 from __future__ import annotations
@@ -55,11 +56,37 @@ def knn_exact(baskets: DataFrame, existing: DataFrame, k: int = 1, metric: str =
     ex = existing.select(user_col, item_col).where(F.col(item_col).isNotNull()).distinct()
     usize = ex.groupBy(user_col).agg(F.count(F.lit(1)).alias("_b"))
 
+    # zero-overlap candidates: the k users smallest by (|B|, id) (euclidean) or
+    # by id (others), +1 when the basket's own id may be excluded. Bounded
+    # (k rows), collected once and offered to every basket.
+    n_zero = k + (1 if exclude_same_id else 0)
+    order = ["_b", user_col] if metric == "euclidean" else [user_col]
+    zero_users = usize.orderBy(*order).limit(n_zero).collect()
+
+    # Exact pruning (euclidean): the offered users bound every basket's k-th
+    # distance^2 by |A| + b_k, so a user can only enter a top-k when
+    # |B| - 2*overlap <= b_k, hence |B| <= b_k + 2*|A|.
+    prune = metric == "euclidean" and len(zero_users) == n_zero
+    users = usize
+    if prune:
+        b_k = int(zero_users[-1]["_b"])
+        # largest basket as a scalar subquery: evaluated once inside the plan
+        a_max = bsize.agg(F.coalesce(F.max("_a"), F.lit(0))).scalar()
+        users = usize.where(F.col("_b") <= F.lit(b_k) + 2 * a_max)
+
+    # each basket row carries |A| (partial counts, then a join on basket that
+    # AQE may broadcast or split when one basket is huge), so pairs that cannot
+    # reach the basket's top-k are dropped before the aggregation shuffle
     bk = b.where(F.col(item_col).isNotNull()).join(bsize, basket_col)
-    exs = ex.join(usize, user_col)
-    overlaps = (bk.join(exs, item_col)
-                .groupBy(basket_col, user_col, "_a", "_b")
+    exs = ex.join(users, user_col)
+    pairs = bk.join(exs, item_col)
+    if prune:
+        pairs = pairs.where(F.col("_b") <= F.lit(b_k) + 2 * F.col("_a"))
+    overlaps = (pairs.groupBy(basket_col, user_col, "_a", "_b")
                 .agg(F.count(F.lit(1)).alias("_o")))
+    if prune:
+        # a + |B| - 2o <= a + b_k is necessary to enter the basket's top-k
+        overlaps = overlaps.where(F.col("_b") - 2 * F.col("_o") <= F.lit(b_k))
     if exclude_same_id:
         overlaps = overlaps.where(F.col(basket_col) != F.col(user_col))
     dist = _distance(metric, F.col("_a"), F.col("_b"), F.col("_o"))
@@ -67,11 +94,6 @@ def knn_exact(baskets: DataFrame, existing: DataFrame, k: int = 1, metric: str =
     w = Window.partitionBy(basket_col).orderBy("distance", user_col)
     top = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
 
-    # zero-overlap candidates: k (+1 if the basket's own id may be excluded) users
-    # smallest by (|B|, id) (euclidean) or by id (others); bounded, collected.
-    n_zero = k + (1 if exclude_same_id else 0)
-    order = ["_b", user_col] if metric == "euclidean" else [user_col]
-    zero_users = usize.orderBy(*order).limit(n_zero).collect()
     if zero_users:
         offered = F.array(*[F.struct(F.lit(r[user_col]).alias(user_col),
                                      F.lit(int(r["_b"])).alias("_b")) for r in zero_users])

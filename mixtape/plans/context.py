@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mixtape.operators import index as idx
 from mixtape.operators import interactions as inter
+from mixtape.session import scratch_path
 from mixtape.sources import testview as tv
 
 _CONTEXTS: dict[tuple[str, str], "Context"] = {}
@@ -20,6 +21,15 @@ ALS_SEED = 42
 LSH_SEED = 7
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write a derived table once to the shared folder and scan it from then on
+    (cuts lineage; survives executor loss)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
+
+
 class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -34,13 +44,13 @@ class Context:
     def index(self) -> DataFrame:
         return idx.build_index(self.rows)
 
-    @property
+    @cached_property
     def interactions(self) -> DataFrame:
-        return inter.interactions(self.rows, self.index)
+        return materialize(inter.interactions(self.rows, self.index), "interactions")
 
-    @property
+    @cached_property
     def pairs(self) -> DataFrame:
-        return inter.user_items(self.interactions)
+        return materialize(inter.user_items(self.interactions), "pairs")
 
     @property
     def catalog(self) -> DataFrame:
@@ -72,13 +82,13 @@ class Context:
     def history_index(self) -> DataFrame:
         return idx.build_index(self.history_rows)
 
-    @property
+    @cached_property
     def history(self) -> DataFrame:
-        return inter.interactions(self.history_rows, self.history_index)
+        return materialize(inter.interactions(self.history_rows, self.history_index), "history")
 
-    @property
+    @cached_property
     def history_pairs(self) -> DataFrame:
-        return inter.user_items(self.history)
+        return materialize(inter.user_items(self.history), "history_pairs")
 
     @cached_property
     def model(self):

@@ -34,6 +34,9 @@ def get_session(master: str | None = None, app: str = "mixtape",
     settings = dict(DEFAULT_CONF)
     if shuffle_partitions:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if (master or "").startswith("local"):
+        # local mode: the driver JVM is the only executor
+        settings.setdefault("spark.driver.memory", os.environ.get("MIXTAPE_DRIVER_MEMORY", "12g"))
     settings.update(conf or {})
     for key, value in settings.items():
         builder = builder.config(key, value)
