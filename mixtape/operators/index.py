@@ -11,6 +11,7 @@ numbered keys are written as Parquet under the shared checkpoint folder.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from mixtape import schemas
@@ -35,9 +36,11 @@ def dense_ids(keys: DataFrame, key: str, start: int = 0,
     spark = keys.sparkSession
     ensure_checkpoint_dir(spark)
     n = num_partitions or shuffle_partitions(spark)
-    ranged = (keys.select(key).where(F.col(key).isNotNull())
-              .repartitionByRange(n, key).sortWithinPartitions(key)
+    # the range sampler and the checkpoint both read the keys: keep them once
+    keys = keys.select(key).where(F.col(key).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = (keys.repartitionByRange(n, key).sortWithinPartitions(key)
               .checkpoint(eager=True))
+    keys.unpersist()
     # monotonically_increasing_id = (partition << 33) + row position in the
     # partition; rows are sorted inside each range partition.
     placed = ranged.select(

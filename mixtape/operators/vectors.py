@@ -1,10 +1,10 @@
 """Per-user item arrays, sparse 0/1 vectors and the width-guarded dense pivot.
 
-Sparse vectors are built JVM-side by a ``CountVectorizerModel`` whose
-vocabulary is the id range itself ("0", "1", ..., str(max_id)), so nothing is
-collected from the data; its vocabulary is shipped to every task, so it is
-used only up to ``JVM_VOCAB_LIMIT`` ids. Above that, an Arrow-batched pandas
-UDF assembles the same vectors from the sorted index arrays with no vocabulary.
+Sparse vectors come from the sorted index arrays. An Arrow-batched pandas UDF
+assembles them with no vocabulary at all (the default). For small id ranges a
+JVM ``CountVectorizerModel`` whose vocabulary is the id range itself ("0",
+"1", ..., str(max_id)) does the same; its vocabulary crosses py4j element by
+element and ships to every task, so it is used only up to ``JVM_VOCAB_LIMIT``.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, functions as F, types as T
 
-JVM_VOCAB_LIMIT = 200_000
+JVM_VOCAB_LIMIT = 4_096
 PIVOT_MAX_WIDTH = 1_000
 
 

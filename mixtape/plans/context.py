@@ -90,6 +90,13 @@ class Context:
     def history_pairs(self) -> DataFrame:
         return materialize(inter.user_items(self.history), "history_pairs")
 
+    @cached_property
+    def history_vectors(self) -> DataFrame:
+        """Sparse 0/1 vectors of the history playlists, stored once (the
+        existing-users matrix that LSH fits and searches)."""
+        from mixtape.operators import vectors as vec
+        return materialize(vec.sparse_vectors(self.history_pairs), "history_vectors")
+
     @cached_property
     def model(self):
         from mixtape.operators import factors

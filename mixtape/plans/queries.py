@@ -374,7 +374,7 @@ def q_als_roundtrip(spark, sf_dir):
 
 
 def _history_vectors(ctx):
-    return vec.sparse_vectors(ctx.history_pairs)
+    return ctx.history_vectors
 
 
 def _lsh(ctx):

@@ -20,6 +20,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-repartition an under-split scan so the stages after it run in parallel.
+
+    A fact table stored as a few large row groups scans as a few tasks, and
+    everything pipelined after the scan (joins, partial aggregation) inherits
+    that. Only when the scan has fewer partitions than the cluster's default
+    parallelism is it spread by its key; a large input never pays for this.
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys)
+
+
+def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), "l_orderkey")
+
+
 def track_uri(partkey_col) -> "F.Column":
     return F.concat(F.lit("part:"), partkey_col.cast("string"))
 
@@ -36,7 +55,7 @@ def _orders(spark, sf_dir, since=None, until=None):
 def playlist_tracks(spark: SparkSession, sf_dir: str, since: str | None = None,
                     until: str | None = None) -> DataFrame:
     """Raw playlist-track rows (one per line item, repeats kept)."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    li = lineitem(spark, sf_dir)
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     orders = _orders(spark, sf_dir, since, until)
     return (li.join(orders, li.l_orderkey == orders.o_orderkey)
@@ -51,7 +70,7 @@ def playlist_tracks(spark: SparkSession, sf_dir: str, since: str | None = None,
 def order_baskets(spark: SparkSession, sf_dir: str, since: str | None = None,
                   until: str | None = None) -> DataFrame:
     """Each order as a small ad-hoc basket: (basket_id, track_uri), distinct."""
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+    li = lineitem(spark, sf_dir)
     if since is not None or until is not None:
         orders = _orders(spark, sf_dir, since, until).select("o_orderkey")
         li = li.join(orders, li.l_orderkey == orders.o_orderkey, "left_semi")
