@@ -463,3 +463,24 @@ def q_recommend_envelope(spark, sf_dir):
     recs = rec.recommend_new(ctx.history_model, baskets, ctx.history_index, ctx.history_pairs,
                              rec.RECS_JOB, _by_id(ctx))
     return rec.envelope(recs, baskets).select("basket_id", "envelope", "uri_list")
+
+
+# --- streaming: arriving requests -> envelopes --------------------------------------
+
+from mixtape.streaming import baskets as stream_baskets  # noqa: E402
+
+
+@query("recommend_stream")
+def q_recommend_stream(spark, sf_dir):
+    """Incoming order baskets as request files, recommended by a streaming query
+    (available-now trigger); returns the envelopes it wrote."""
+    ctx = context(spark, sf_dir)
+    root = scratch_path(spark, "stream")
+    requests = tv.basket_requests(spark, sf_dir).join(
+        tv.order_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF).select("basket_id").distinct(),
+        "basket_id", "left_semi")
+    stream_baskets.write_requests(requests, f"{root}/in")
+    q = stream_baskets.start(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt",
+                             ctx.history_model, ctx.history_index, ctx.history_pairs, _by_id(ctx))
+    q.awaitTermination()
+    return spark.read.parquet(f"{root}/out").select("basket_id", "envelope", "uri_list")

@@ -90,3 +90,20 @@ def test_exclude_seen_and_envelope(spark, world):
     assert doc["input_tracks"] == sorted(uris) and len(doc["recommendations"]) == 10
     enriched = rec.enrich(plain, cat.build_catalog(ui)).toPandas()
     assert set(enriched.track_uri) == set(plain.toPandas().track_uri)
+
+
+def test_stream_equals_batch(spark, world):
+    from mixtape.streaming import baskets as sb
+    ui = world["ui"]
+    uris = [r.track_uri for r in ui.select("track_uri").distinct().orderBy("track_uri").limit(8).collect()]
+    req = spark.createDataFrame([(5, ",".join(uris[:3])), (6, ",".join(uris[3:]))],
+                                "basket_id bigint, uri_list string")
+    root = scratch_path(spark, "t-stream")
+    sb.write_requests(req, f"{root}/in")
+    q = sb.start(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", world["model"], world["index"],
+                 world["pairs"], world["by_id"], k=4)
+    q.awaitTermination()
+    got = {(r.basket_id, r.envelope) for r in spark.read.parquet(f"{root}/out").collect()}
+    want = {(r.basket_id, r.envelope) for r in sb.recommend_batch(
+        req, world["model"], world["index"], world["pairs"], world["by_id"], k=4).collect()}
+    assert got == want and len(got) == 2
