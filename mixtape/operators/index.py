@@ -2,11 +2,12 @@
 
 Ids are dense from ``max existing id + 1`` in key order. The global order is
 computed without a single-partition window: distinct new keys are range
-partitioned and sorted within partitions, written as a reliable checkpoint
-(so every later read sees the same partitions), counted per partition, and
-each row gets ``offset of its partition + position inside it``. The offsets
-table has one row per partition, so broadcasting it has a fixed bound. The
-numbered keys are written as Parquet under the shared checkpoint folder.
+partitioned and sorted within partitions and written together with their
+partition number and position (one job, so the placement is fixed once
+written), counted per partition, and each row gets ``offset of its partition
++ position inside it``. The offsets table has one row per partition, so
+broadcasting it has a fixed bound. Both tables are Parquet under the shared
+checkpoint folder.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from mixtape import schemas
-from mixtape.session import ensure_checkpoint_dir, scratch_path, shuffle_partitions
+from mixtape.session import scratch_path, shuffle_partitions
 from mixtape.sources.artefacts import read_parquet, write_parquet
 
 INT_MAX = 2_147_483_647
@@ -34,20 +35,23 @@ def dense_ids(keys: DataFrame, key: str, start: int = 0,
               num_partitions: int | None = None) -> DataFrame:
     """Number distinct, non-null ``keys[key]`` as start+1, start+2, ... in key order."""
     spark = keys.sparkSession
-    ensure_checkpoint_dir(spark)
     n = num_partitions or shuffle_partitions(spark)
-    # the range sampler and the checkpoint both read the keys: keep them once
+    # the range sampler and the write both read the keys: keep them once
     keys = keys.select(key).where(F.col(key).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = (keys.repartitionByRange(n, key).sortWithinPartitions(key)
-              .checkpoint(eager=True))
+    ranged = keys.repartitionByRange(n, key).sortWithinPartitions(key)
+    # Partition number and position inside it are fixed in the same job that
+    # writes them (monotonically_increasing_id = (partition << 33) + row
+    # position; rows are sorted inside each range partition). A retried task
+    # reads the same shuffle blocks with the same range bounds, so the written
+    # values do not depend on which attempt wrote them.
+    placed_path = scratch_path(spark, "dense-ids-placed")
+    (ranged.select(key,
+                   F.spark_partition_id().alias("_part"),
+                   (F.monotonically_increasing_id()
+                    - F.shiftleft(F.spark_partition_id().cast("long"), 33)).alias("_pos"))
+           .write.mode("errorifexists").parquet(placed_path))
     keys.unpersist()
-    # monotonically_increasing_id = (partition << 33) + row position in the
-    # partition; rows are sorted inside each range partition.
-    placed = ranged.select(
-        key,
-        F.spark_partition_id().alias("_part"),
-        (F.monotonically_increasing_id()
-         - F.shiftleft(F.spark_partition_id().cast("long"), 33)).alias("_pos"))
+    placed = spark.read.parquet(placed_path)
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select(
         "_part",

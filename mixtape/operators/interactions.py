@@ -8,11 +8,18 @@ from mixtape import schemas
 from mixtape.operators import index as idx
 
 
-def interactions(rows: DataFrame, index: DataFrame, input_col: str = "track_uri") -> DataFrame:
-    """rows.* + track_uri_index (left join) + rating = 1, distinct over all columns."""
-    return (idx.encode(rows, index, input_col, "track_uri_index")
-            .withColumn("rating", F.lit(1))
-            .distinct())
+def interactions(rows: DataFrame, index: DataFrame, input_col: str = "track_uri",
+                 rows_distinct: bool = False) -> DataFrame:
+    """rows.* + track_uri_index (left join) + rating = 1, distinct over all columns.
+
+    A dictionary has unique keys, so the id is a function of the key and
+    de-duplicating the rows before the join gives the same rows as after it;
+    doing it first lets callers store the distinct rows once and skip it here
+    (``rows_distinct=True``).
+    """
+    base = rows if rows_distinct else rows.distinct()
+    return (idx.encode(base, index, input_col, "track_uri_index")
+            .withColumn("rating", F.lit(1)))
 
 
 def ingest(rows: DataFrame, index: DataFrame | None = None, input_col: str = "track_uri",

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from mixtape.operators import index as idx
@@ -40,17 +41,24 @@ class Context:
     def rows(self) -> DataFrame:
         return tv.playlist_tracks(self.spark, self.sf_dir)
 
+    @cached_property
+    def distinct_rows(self) -> DataFrame:
+        """Distinct playlist-track rows, stored once (the input is read once)."""
+        return materialize(self.rows.distinct(), "distinct-rows")
+
     @cached_property
     def index(self) -> DataFrame:
-        return idx.build_index(self.rows)
+        return idx.build_index(self.distinct_rows)
 
     @cached_property
     def interactions(self) -> DataFrame:
-        return materialize(inter.interactions(self.rows, self.index), "interactions")
+        return inter.interactions(self.distinct_rows, self.index, rows_distinct=True)
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return materialize(inter.user_items(self.interactions), "pairs")
+        """Distinct (playlist, id) pairs, persisted: short lineage from the stored
+        rows, read by ALS, kNN and the vectoriser."""
+        return inter.user_items(self.interactions).persist(StorageLevel.MEMORY_AND_DISK)
 
     @property
     def catalog(self) -> DataFrame:
@@ -78,17 +86,21 @@ class Context:
     def history_rows(self) -> DataFrame:
         return tv.playlist_tracks(self.spark, self.sf_dir, until=tv.HISTORY_CUTOFF)
 
+    @cached_property
+    def history_distinct_rows(self) -> DataFrame:
+        return materialize(self.history_rows.distinct(), "history-rows")
+
     @cached_property
     def history_index(self) -> DataFrame:
-        return idx.build_index(self.history_rows)
+        return idx.build_index(self.history_distinct_rows)
 
     @cached_property
     def history(self) -> DataFrame:
-        return materialize(inter.interactions(self.history_rows, self.history_index), "history")
+        return inter.interactions(self.history_distinct_rows, self.history_index, rows_distinct=True)
 
     @cached_property
     def history_pairs(self) -> DataFrame:
-        return materialize(inter.user_items(self.history), "history_pairs")
+        return inter.user_items(self.history).persist(StorageLevel.MEMORY_AND_DISK)
 
     @cached_property
     def history_vectors(self) -> DataFrame:
