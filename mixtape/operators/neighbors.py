@@ -21,6 +21,8 @@ from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
+from mixtape.functions.predicates import only_if_empty
+
 # Fixed LSH settings of the trained model: hash tables and bucket length.
 LSH_TABLES = 3
 LSH_BUCKET_LENGTH = 0.999799458143871
@@ -147,8 +149,8 @@ def ann_with_fallback(model: BucketedRandomProjectionLSHModel, vectors: DataFram
                       user_col: str = "playlist_id", item_col: str = "track_uri_index") -> DataFrame:
     """LSH neighbours of one key; when no bucket matches, the exact neighbours.
 
-    One plan: the exact branch is anti-joined with at most one LSH row (a
-    broadcast side of size <= 1), so it contributes only when LSH found nothing.
+    One plan: the exact branch is anti-joined (constant key) with at most one
+    LSH row, so it contributes only when LSH found nothing.
     ``key_items``: (basket_id, item) rows of the key's basket.
     """
     approx = ann_single(model, vectors, key, k, user_col).select(
@@ -156,5 +158,4 @@ def ann_with_fallback(model: BucketedRandomProjectionLSHModel, vectors: DataFram
         F.lit("lsh").alias("method"))
     exact = knn_exact(key_items, existing, k, user_col=user_col, item_col=item_col).select(
         "neighbor_id", "distance", F.lit("exact").alias("method"))
-    gate = F.broadcast(approx.limit(1).select(F.lit(1).alias("_hit")))
-    return approx.unionByName(exact.join(gate, how="left_anti"))
+    return approx.unionByName(only_if_empty(exact, approx))

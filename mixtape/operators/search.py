@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from mixtape.functions.predicates import all_of, contains_ci
+from mixtape.functions.predicates import all_of, contains_ci, only_if_empty
 
 FIELDS = ("track_name", "artist_name", "album_name")
 
@@ -41,12 +41,11 @@ def track_search_tiered(hot: DataFrame, full: DataFrame, track_name: str = "",
                         regex: bool = False) -> DataFrame:
     """Search ``hot`` first; only if that finds nothing, search ``full``.
 
-    One plan: the full-catalog branch is anti-joined with at most one row of
-    the first tier (a broadcast side of size <= 1), so it yields rows only when
-    the first tier is empty.
+    One plan: the full-catalog branch is anti-joined (on a constant key) with at
+    most one row of the first tier, so it yields rows only when the first tier
+    is empty.
     """
     args = (track_name, artist_name, album_name)
     first = track_search_contains(hot, *args, regex=regex)
     second = track_search(full, *args, regex=regex)
-    gate = F.broadcast(first.limit(1).select(F.lit(1).alias("_hit")))
-    return first.unionByName(second.join(gate, how="left_anti"))
+    return first.unionByName(only_if_empty(second, first))
