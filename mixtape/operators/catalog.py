@@ -63,3 +63,18 @@ def catalog_by_id(inter: DataFrame, id_col: str = "track_uri_index") -> DataFram
 
 def with_text(catalog: DataFrame, out_col: str = "text") -> DataFrame:
     return catalog.withColumn(out_col, track_text())
+
+
+def register_catalog(catalog: DataFrame, name: str = "tracks") -> str:
+    """Expose the catalog as a temp view for SQL clients of the catalog queries."""
+    catalog.createOrReplaceTempView(name)
+    return name
+
+
+def catalog_page_sql(spark: SparkSession, offset: int = 0, size: int = PAGE_SIZE,
+                     view: str = "tracks") -> DataFrame:
+    """The page query in SQL over the registered view (offset/size as literals
+    of a parameterised statement)."""
+    return spark.sql(
+        f"SELECT * FROM {view} ORDER BY track_uri, track_name, artist_name, album_name "
+        "LIMIT :size OFFSET :offset", args={"size": size, "offset": offset})

@@ -149,6 +149,14 @@ def q_catalog_page(spark, sf_dir):
     return cat.catalog_page(_catalog(spark, sf_dir), PAGE_OFFSET)
 
 
+@query("catalog_page_sql", sql=f"""{CATALOG_SQL}
+select * from cat order by track_uri, track_name, artist_name, album_name
+limit 100 offset {PAGE_OFFSET}""")
+def q_catalog_page_sql(spark, sf_dir):
+    view = cat.register_catalog(_catalog(spark, sf_dir), "tracks")
+    return cat.catalog_page_sql(spark, PAGE_OFFSET, view=view)
+
+
 @query("track_by_uri", sql=f"""{CATALOG_SQL}
 select * from cat where track_uri = '{POINT_URI}'
 order by track_uri, track_name, artist_name, album_name limit 1""")
