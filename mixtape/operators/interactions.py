@@ -67,9 +67,12 @@ def dup_audit(df: DataFrame, keys: tuple[str, ...] = ("playlist_id", "track_uri_
 
 def split_known_new(baskets: DataFrame, existing: DataFrame, basket_col: str = "basket_id",
                     user_col: str = "playlist_id") -> DataFrame:
-    """distinct basket ids + ``is_known`` (the id is an existing playlist id)."""
+    """distinct basket ids + ``is_known`` (the id is an existing playlist id).
+
+    One left join against the distinct existing ids marks every basket.
+    """
     ids = baskets.select(basket_col).distinct()
-    users = existing.select(F.col(user_col).alias(basket_col)).distinct()
-    known = ids.join(users, basket_col, "left_semi").withColumn("is_known", F.lit(True))
-    new = ids.join(users, basket_col, "left_anti").withColumn("is_known", F.lit(False))
-    return known.unionByName(new)
+    users = (existing.select(F.col(user_col).alias(basket_col)).distinct()
+             .withColumn("is_known", F.lit(True)))
+    return (ids.join(users, basket_col, "left")
+               .select(basket_col, F.coalesce("is_known", F.lit(False)).alias("is_known")))

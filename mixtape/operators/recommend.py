@@ -73,13 +73,14 @@ def recommend_all(model: ALSModel, baskets: DataFrame, index: DataFrame, existin
                   user_col: str = "playlist_id", exclude_seen: bool = False) -> DataFrame:
     """Route every basket: known id -> own top-k, new -> nearest playlist's top-k.
 
-    No driver loop: a semi/anti join splits the batch, one scoring call serves
-    both halves.
+    No driver loop: one left join marks the known ids and splits the batch, one
+    scoring call serves both halves.
     """
-    users = existing.select(F.col(user_col).alias(basket_col)).distinct()
-    ids = baskets.select(basket_col).distinct()
-    known = ids.join(users, basket_col, "left_semi")
-    new_baskets = baskets.join(users, basket_col, "left_anti")
+    users = (existing.select(F.col(user_col).alias(basket_col)).distinct()
+             .withColumn("_known", F.lit(True)))
+    marked = baskets.select(basket_col, "track_uri").join(users, basket_col, "left")
+    known = marked.where(F.col("_known")).select(basket_col).distinct()
+    new_baskets = marked.where(F.col("_known").isNull()).select(basket_col, "track_uri")
     items = _encode_baskets(new_baskets, index, basket_col)
     near = knn_exact(items, existing, NEIGHBOURS, metric, basket_col, user_col).drop("rank")
 
