@@ -22,6 +22,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from mixtape.functions.predicates import only_if_empty
+from mixtape.session import stage
 
 # Fixed LSH settings of the trained model: hash tables and bucket length.
 LSH_TABLES = 3
@@ -53,7 +54,8 @@ def knn_exact(baskets: DataFrame, existing: DataFrame, k: int = 1, metric: str =
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
-    b = baskets.select(basket_col, item_col).distinct()
+    # the query baskets are read by four branches below: store them once
+    b = stage(baskets.select(basket_col, item_col).distinct(), "knn-baskets", basket_col)
     bsize = b.groupBy(basket_col).agg(F.count(item_col).alias("_a"))
     ex = existing.select(user_col, item_col).where(F.col(item_col).isNotNull()).distinct()
     usize = ex.groupBy(user_col).agg(F.count(F.lit(1)).alias("_b"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from mixtape.operators import index as idx
 from mixtape.operators import interactions as inter
-from mixtape.session import scratch_path
+from mixtape.session import stage
 from mixtape.sources import testview as tv
 
 _CONTEXTS: dict[tuple[str, str], "Context"] = {}
@@ -25,10 +25,7 @@ LSH_SEED = 7
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write a derived table once to the shared folder and scan it from then on
     (cuts lineage; survives executor loss)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    return stage(df, name)
 
 
 class Context:

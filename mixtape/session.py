@@ -84,3 +84,29 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 def default_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
+
+
+def spread(df, *keys: str):
+    """Hash-repartition an under-split scan so the stages after it run in parallel.
+
+    Data stored as a few files / row groups scans as a few tasks, and everything
+    pipelined after the scan (joins, partial aggregation) inherits that. Only
+    when the scan has fewer partitions than the cluster's default parallelism is
+    it spread (by ``keys`` when given); a large input never pays for this.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, *keys) if keys else df.repartition(target)
+
+
+def stage(df, name: str, *spread_keys: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and return a
+    scan of it: cuts lineage, survives executor loss, and gives the planner the
+    table's real size. For inputs that a plan reads several times. A small
+    result is spread again by ``spread_keys`` (see ``spread``)."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    out = spark.read.parquet(path)
+    return spread(out, *spread_keys) if spread_keys else out

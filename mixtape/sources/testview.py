@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from mixtape.session import spread
+
 # Fixed split dates used by the registered queries.
 INDEX_CUTOFF = "1995-04-01"      # first dictionary built from orders before it
 HISTORY_CUTOFF = "1996-01-01"    # model trained on orders before it
@@ -20,21 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-repartition an under-split scan so the stages after it run in parallel.
-
-    A fact table stored as a few large row groups scans as a few tasks, and
-    everything pipelined after the scan (joins, partial aggregation) inherits
-    that. Only when the scan has fewer partitions than the cluster's default
-    parallelism is it spread by its key; a large input never pays for this.
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys)
-
-
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), "l_orderkey")
 
