@@ -44,13 +44,18 @@ def _distance(metric: str, a, b, o):
 
 def knn_exact(baskets: DataFrame, existing: DataFrame, k: int = 1, metric: str = "euclidean",
               basket_col: str = "basket_id", user_col: str = "playlist_id",
-              item_col: str = "track_uri_index", exclude_same_id: bool = False) -> DataFrame:
+              item_col: str = "track_uri_index", exclude_same_id: bool = False,
+              candidates: str = "auto") -> DataFrame:
     """(basket, neighbor_id, distance, rank) for every basket, k rows each
     (fewer only if there are fewer than k users).
 
     ``baskets``: (basket, item) rows; a null item (unknown key) still makes the
     basket count, with an empty known set. ``existing``: (user, item) rows.
     ``exclude_same_id`` drops the user whose id equals the basket id.
+    ``candidates`` (euclidean): "inverted" joins every basket item with every
+    holder of it; "prefix" joins only with the rarest items of each user (see
+    ``_prefix_overlaps``); "auto" picks "prefix" when the inverted join would
+    emit far more rows than the baskets have.
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
@@ -83,11 +88,17 @@ def knn_exact(baskets: DataFrame, existing: DataFrame, k: int = 1, metric: str =
     # reach the basket's top-k are dropped before the aggregation shuffle
     bk = b.where(F.col(item_col).isNotNull()).join(bsize, basket_col)
     exs = ex.join(users, user_col)
-    pairs = bk.join(exs, item_col)
-    if prune:
-        pairs = pairs.where(F.col("_b") <= F.lit(b_k) + 2 * F.col("_a"))
-    overlaps = (pairs.groupBy(basket_col, user_col, "_a", "_b")
-                .agg(F.count(F.lit(1)).alias("_o")))
+    use_prefix = prune and candidates == "prefix"
+    if prune and candidates == "auto":
+        use_prefix = _inverted_volume_too_large(b, exs, item_col)
+    if use_prefix:
+        overlaps = _prefix_overlaps(b, bk, ex, exs, b_k, basket_col, user_col, item_col)
+    else:
+        pairs = bk.join(exs, item_col)
+        if prune:
+            pairs = pairs.where(F.col("_b") <= F.lit(b_k) + 2 * F.col("_a"))
+        overlaps = (pairs.groupBy(basket_col, user_col, "_a", "_b")
+                    .agg(F.count(F.lit(1)).alias("_o")))
     if prune:
         # a + |B| - 2o <= a + b_k is necessary to enter the basket's top-k
         overlaps = overlaps.where(F.col("_b") - 2 * F.col("_o") <= F.lit(b_k))
@@ -120,6 +131,50 @@ def knn_exact(baskets: DataFrame, existing: DataFrame, k: int = 1, metric: str =
                     (F.col("_pos") + 1).cast("int").alias("rank")))
 
 
+# Inverted join volume above this many rows per basket row selects "prefix".
+PREFIX_VOLUME_RATIO = 64
+
+
+def _inverted_volume_too_large(b: DataFrame, exs: DataFrame, item_col: str) -> bool:
+    """Estimate the inverted join's output (sum over basket rows of the item's
+    number of holders) against the basket rows: one small aggregate job."""
+    holders = exs.groupBy(item_col).agg(F.count(F.lit(1)).alias("_f"))
+    row = (b.where(F.col(item_col).isNotNull()).join(holders, item_col, "left")
+           .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_f"), F.lit(0)).alias("v"))
+           .first())
+    return bool(row["n"]) and row["v"] > PREFIX_VOLUME_RATIO * row["n"]
+
+
+def _prefix_overlaps(b: DataFrame, bk: DataFrame, ex: DataFrame, exs: DataFrame, b_k: int,
+                     basket_col: str, user_col: str, item_col: str) -> DataFrame:
+    """Exact overlaps of every (basket, user) pair that can still qualify,
+    generated from user prefixes instead of full posting lists.
+
+    User B qualifies only with overlap o >= r_B = max(1, ceil((|B| - b_k) / 2))
+    (from |B| - 2o <= b_k), independent of the basket. Order every user's items
+    by (number of holders, id), rarest first: a basket sharing >= r_B items with
+    B shares at least one of B's first |B| - r_B + 1 items. So candidates come
+    from joining basket items with those prefixes only - a very popular item
+    sits at the end of nearly every order and rarely generates a candidate -
+    and each candidate's exact overlap is then counted over the basket's items.
+    """
+    holders = exs.groupBy(item_col).agg(F.count(F.lit(1)).alias("_f"))
+    need = F.greatest(F.ceil((F.col("_b") - F.lit(b_k)) / 2), F.lit(1))
+    order = Window.partitionBy(user_col).orderBy("_f", item_col)
+    prefix = (exs.join(holders, item_col)
+              .withColumn("_r", F.row_number().over(order))
+              .where(F.col("_r") <= F.col("_b") - need + 1)
+              .select(user_col, item_col, "_b"))
+    cand = (bk.join(prefix, item_col)
+            .where(F.col("_b") <= F.lit(b_k) + 2 * F.col("_a"))
+            .select(basket_col, user_col, "_a", "_b").distinct())
+    # verify: count the basket's items that the user holds
+    return (cand.join(b.where(F.col(item_col).isNotNull()), basket_col)
+            .join(ex, [user_col, item_col], "left_semi")
+            .groupBy(basket_col, user_col, "_a", "_b")
+            .agg(F.count(F.lit(1)).alias("_o")))
+
+
 # --- locality-sensitive hashing ------------------------------------------------
 
 def fit_lsh(vectors: DataFrame, bucket_length: float = LSH_BUCKET_LENGTH,

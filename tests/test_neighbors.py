@@ -40,16 +40,20 @@ def _fixture(seed, n_users=60, n_items=40, n_baskets=25):
     return users, baskets
 
 
-@pytest.mark.parametrize("metric,k,seed", [("euclidean", 1, 1), ("euclidean", 3, 2),
-                                          ("jaccard", 2, 3), ("cosine", 2, 4)])
-def test_knn_exact_equals_brute_force(spark, metric, k, seed):
+@pytest.mark.parametrize("metric,k,seed,cand", [("euclidean", 1, 1, "inverted"),
+                                               ("euclidean", 3, 2, "inverted"),
+                                               ("euclidean", 1, 5, "prefix"),
+                                               ("euclidean", 3, 6, "prefix"),
+                                               ("euclidean", 2, 7, "auto"),
+                                               ("jaccard", 2, 3, "auto"), ("cosine", 2, 4, "auto")])
+def test_knn_exact_equals_brute_force(spark, metric, k, seed, cand):
     users, baskets = _fixture(seed)
     ex = spark.createDataFrame([(u, i) for u, s in users.items() for i in s],
                                "playlist_id bigint, track_uri_index int")
     bk = spark.createDataFrame([(b, i) for b, s in baskets.items() for i in s],
                                "basket_id bigint, track_uri_index int")
     got = {}
-    for r in nb.knn_exact(bk, ex, k=k, metric=metric).orderBy("basket_id", "rank").collect():
+    for r in nb.knn_exact(bk, ex, k=k, metric=metric, candidates=cand).orderBy("basket_id", "rank").collect():
         got.setdefault(r.basket_id, []).append(r.neighbor_id)
     assert got == _brute(baskets, users, k, metric)
 
@@ -81,3 +85,20 @@ def test_lsh_distance_is_euclidean_and_fallback(spark):
     out = nb.ann_with_fallback(tiny, vectors, far, items, pairs, k=1).collect()
     assert [(r.neighbor_id, r.method) for r in out] == [(4, "exact")]
     assert F
+
+
+def test_prefix_with_one_very_popular_item(spark):
+    """A third of all rows on one item: prefix candidates equal brute force."""
+    rnd = random.Random(11)
+    users = {u: set(rnd.sample(range(2, 60), rnd.randint(1, 8))) | ({1} if u % 3 == 0 else set())
+             for u in range(90)}
+    baskets = {500 + b: [1] + rnd.sample(range(2, 60), rnd.randint(0, 4)) for b in range(30)}
+    ex = spark.createDataFrame([(u, i) for u, s in users.items() for i in s],
+                               "playlist_id bigint, track_uri_index int")
+    bk = spark.createDataFrame([(b, i) for b, s in baskets.items() for i in s],
+                               "basket_id bigint, track_uri_index int")
+    for k in (1, 3):
+        got = {}
+        for r in nb.knn_exact(bk, ex, k=k, candidates="prefix").orderBy("basket_id", "rank").collect():
+            got.setdefault(r.basket_id, []).append(r.neighbor_id)
+        assert got == _brute(baskets, users, k, "euclidean")
