@@ -492,3 +492,30 @@ def q_recommend_stream(spark, sf_dir):
                              ctx.history_model, ctx.history_index, ctx.history_pairs, _by_id(ctx))
     q.awaitTermination()
     return spark.read.parquet(f"{root}/out").select("basket_id", "envelope", "uri_list")
+
+
+# --- LSH on dense input: the embeddings table ------------------------------------------
+
+from pyspark.ml.functions import array_to_vector  # noqa: E402
+
+
+def _dense_vectors(spark, sf_dir):
+    emb = tv.table(spark, sf_dir, "embeddings")
+    return emb.select("vec_id", array_to_vector("embedding").alias("features"))
+
+
+@query("lsh_dense_hashes")
+def q_lsh_dense_hashes(spark, sf_dir):
+    vectors = _dense_vectors(spark, sf_dir)
+    model = nb.fit_lsh(vectors, seed=7)
+    return nb.hash_values(model, vectors, user_col="vec_id")
+
+
+@query("ann_dense")
+def q_ann_dense(spark, sf_dir):
+    """Approximate 3 nearest embeddings of the embedding with the smallest id."""
+    vectors = _dense_vectors(spark, sf_dir)
+    model = nb.fit_lsh(vectors, seed=7)
+    first = vectors.agg(F.min("vec_id")).first()[0]
+    key = vectors.where(F.col("vec_id") == F.lit(first)).select("features").first()["features"]
+    return nb.ann_single(model, vectors, key, k=3, user_col="vec_id")

@@ -102,3 +102,17 @@ def test_prefix_with_one_very_popular_item(spark):
         for r in nb.knn_exact(bk, ex, k=k, candidates="prefix").orderBy("basket_id", "rank").collect():
             got.setdefault(r.basket_id, []).append(r.neighbor_id)
         assert got == _brute(baskets, users, k, "euclidean")
+
+
+def test_dense_ann_distances_are_exact(spark, sf_smoke):
+    import numpy as np
+    import __spark_entry__ as entry
+    out = entry.queries()["ann_dense"](spark, sf_smoke).collect()
+    emb = {r.vec_id: np.array(r.embedding, dtype=np.float64)
+           for r in spark.read.parquet(f"{sf_smoke}/embeddings.parquet").collect()}
+    key = emb[min(emb)]
+    assert out[0].vec_id == min(emb) and out[0].distCol == 0.0     # the key is its own nearest
+    for r in out:
+        assert r.distCol == pytest.approx(float(np.linalg.norm(emb[r.vec_id] - key)), abs=1e-4)
+    hashes = entry.queries()["lsh_dense_hashes"](spark, sf_smoke).collect()
+    assert len(hashes) == len(emb) and all(len(h.hashes) == nb.LSH_TABLES for h in hashes)
