@@ -67,15 +67,12 @@ def recommend_new(model: ALSModel, baskets: DataFrame, index: DataFrame, existin
     return decode(recs, by_id) if by_id is not None else recs
 
 
-def recommend_all(model: ALSModel, baskets: DataFrame, index: DataFrame, existing: DataFrame,
-                  k: int = RECS_TRAINING, by_id: DataFrame | None = None,
+def route_baskets(baskets: DataFrame, index: DataFrame, existing: DataFrame,
                   metric: str = "euclidean", basket_col: str = "basket_id",
-                  user_col: str = "playlist_id", exclude_seen: bool = False) -> DataFrame:
-    """Route every basket: known id -> own top-k, new -> nearest playlist's top-k.
-
-    No driver loop: one left join marks the known ids and splits the batch, one
-    scoring call serves both halves.
-    """
+                  user_col: str = "playlist_id") -> DataFrame:
+    """basket -> the playlist whose factors answer it: (basket, method,
+    neighbor_id, distance, _src). Known ids answer for themselves; a new basket
+    is answered by its nearest existing playlist (exact, by (distance, id))."""
     users = (existing.select(F.col(user_col).alias(basket_col)).distinct()
              .withColumn("_known", F.lit(True)))
     marked = baskets.select(basket_col, "track_uri").join(users, basket_col, "left")
@@ -83,14 +80,25 @@ def recommend_all(model: ALSModel, baskets: DataFrame, index: DataFrame, existin
     new_baskets = marked.where(F.col("_known").isNull()).select(basket_col, "track_uri")
     items = _encode_baskets(new_baskets, index, basket_col)
     near = knn_exact(items, existing, NEIGHBOURS, metric, basket_col, user_col).drop("rank")
+    id_type = near.schema["neighbor_id"].dataType
+    return (known.select(basket_col, F.lit("known").alias("method"),
+                         F.lit(None).cast(id_type).alias("neighbor_id"),
+                         F.lit(None).cast("double").alias("distance"),
+                         F.col(basket_col).cast(id_type).alias("_src"))
+            .unionByName(near.select(basket_col, F.lit("neighbour").alias("method"),
+                                     "neighbor_id", "distance", F.col("neighbor_id").alias("_src"))))
+
 
-    # basket -> the playlist whose factors answer it
-    route = (known.select(basket_col, F.lit("known").alias("method"),
-                          F.lit(None).cast(near.schema["neighbor_id"].dataType).alias("neighbor_id"),
-                          F.lit(None).cast("double").alias("distance"),
-                          F.col(basket_col).cast(near.schema["neighbor_id"].dataType).alias("_src"))
-             .unionByName(near.select(basket_col, F.lit("neighbour").alias("method"),
-                                      "neighbor_id", "distance", F.col("neighbor_id").alias("_src"))))
+def recommend_all(model: ALSModel, baskets: DataFrame, index: DataFrame, existing: DataFrame,
+                  k: int = RECS_TRAINING, by_id: DataFrame | None = None,
+                  metric: str = "euclidean", basket_col: str = "basket_id",
+                  user_col: str = "playlist_id", exclude_seen: bool = False) -> DataFrame:
+    """Route every basket: known id -> own top-k, new -> nearest playlist's top-k.
+
+    No driver loop: one left join marks the known ids and splits the batch, one
+    scoring call serves both halves.
+    """
+    route = route_baskets(baskets, index, existing, metric, basket_col, user_col)
     fetch = k
     if exclude_seen:
         all_items = _encode_baskets(baskets, index, basket_col)

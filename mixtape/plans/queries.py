@@ -452,6 +452,41 @@ def _recommend_all(spark, sf_dir):
                                       ctx.history_pairs, rec.RECS_TRAINING, _by_id(ctx))
 
 
+ROUTE_SQL = f"""with {HISTORY_CTES},
+hist as (select distinct playlist_id, track_uri from hist_raw),
+users as (select distinct playlist_id from hist),
+inc as (select distinct playlist_id as basket_id, track_uri from incoming_raw),
+known as (select distinct basket_id from inc where basket_id in (select playlist_id from users)),
+newb as (select * from inc where basket_id not in (select playlist_id from users)),
+bk as (select basket_id, track_uri from newb where track_uri in (select track_uri from hist)),
+bsize as (select b.basket_id, count(bk.track_uri) as a
+          from (select distinct basket_id from newb) b left join bk on b.basket_id = bk.basket_id
+          group by b.basket_id),
+usize as (select playlist_id, count(*) as b from hist group by playlist_id),
+ov as (select bk.basket_id, h.playlist_id, count(*) as o
+       from bk join hist h on bk.track_uri = h.track_uri group by bk.basket_id, h.playlist_id),
+allp as (select bs.basket_id, us.playlist_id, bs.a + us.b - 2 * coalesce(ov.o, 0) as d2
+         from bsize bs cross join usize us
+         left join ov on ov.basket_id = bs.basket_id and ov.playlist_id = us.playlist_id),
+ranked as (select basket_id, playlist_id, d2,
+                  row_number() over (partition by basket_id order by d2, playlist_id) as rn
+           from allp)
+select basket_id, 'known' as method, cast(null as bigint) as neighbor_id,
+       cast(null as double) as distance from known
+union all
+select basket_id, 'neighbour' as method, playlist_id as neighbor_id,
+       round(sqrt(d2), 6) as distance from ranked where rn = 1"""
+
+
+@query("recommend_route", sql=ROUTE_SQL)
+def q_recommend_route(spark, sf_dir):
+    """The routing of recommend_all: which playlist answers each incoming one."""
+    ctx = context(spark, sf_dir)
+    baskets = tv.customer_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF)
+    route = rec.route_baskets(baskets, ctx.history_index, ctx.history_pairs)
+    return route.drop("_src")
+
+
 @query("recommend_all")
 def q_recommend_all(spark, sf_dir):
     return _recommend_all(spark, sf_dir)[1]
