@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mixtape import schemas
 from mixtape.functions.text import track_text
 
+# Rows per catalog page, maximum stored length of the name fields.
 PAGE_SIZE = 100
-NAME_LIMIT = 200  # fixed: maximum stored length of the name fields
+NAME_LIMIT = 200
 
 _NAME_FIELDS = ("track_name", "artist_name", "album_name")
 _ORDER = ("track_uri", "track_name", "artist_name", "album_name")

@@ -16,7 +16,7 @@ def _write(docs):
     for i, doc in enumerate(docs):
         sub = os.path.join(root, f"sub{i % 2}")
         os.makedirs(sub, exist_ok=True)
-        with open(os.path.join(sub, f"mpd.slice.{i}.json"), "w") as fh:
+        with open(os.path.join(sub, f"playlists.slice.{i}.json"), "w") as fh:
             json.dump(doc, fh, indent=2)   # multi-line documents
     return root
 
@@ -41,7 +41,7 @@ DOCS = [
 def test_flatten_glob_and_recursive(spark):
     root = _write(DOCS)
     flat = json_slices.flatten_slices(json_slices.read_slices(spark, root, recursive=True))
-    glob = json_slices.flatten_slices(json_slices.read_slices(spark, f"{root}/*/mpd.slice.*.json"))
+    glob = json_slices.flatten_slices(json_slices.read_slices(spark, f"{root}/*/playlists.slice.*.json"))
     rows = sorted(flat.collect(), key=str)
     assert rows == sorted(glob.collect(), key=str)
     assert sorted({r.playlist_id for r in rows}) == [1, 4, 5]
