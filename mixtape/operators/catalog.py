@@ -35,6 +35,22 @@ def catalog_page(catalog: DataFrame, offset: int = 0, size: int = PAGE_SIZE) ->
     return catalog.orderBy(*_ORDER).offset(offset).limit(size)
 
 
+def catalog_page_after(catalog: DataFrame, after: tuple | None = None,
+                       size: int = PAGE_SIZE) -> DataFrame:
+    """Keyset page: the ``size`` rows following the sort key ``after`` (the last
+    row of the previous page as (uri, name, artist, album)); ``None`` = first page.
+
+    Same rows as ``catalog_page`` at the matching offset, but each partition keeps
+    only ``size`` rows however deep the page is (an OFFSET keeps offset + size).
+    """
+    rows = catalog
+    if after is not None:
+        key = F.struct(*[F.col(c) for c in _ORDER])
+        last = F.struct(*[F.lit(v).alias(c) for c, v in zip(_ORDER, after)])
+        rows = catalog.where(key > last)
+    return rows.orderBy(*_ORDER).limit(size)
+
+
 def track_by_uri(catalog: DataFrame, uri: str) -> DataFrame:
     """First catalog row of one URI (deterministic first: by names)."""
     return catalog.where(F.col("track_uri") == F.lit(uri)).orderBy(*_ORDER).limit(1)

@@ -79,3 +79,12 @@ def test_uri_list_explode(spark):
     df = spark.createDataFrame([(1, "u:1,u:2, u:3"), (2, "it's"), (3, "")], "basket_id int, uri_list string")
     got = sorted((r.basket_id, r.pos, r.track_uri) for r in txt.explode_uri_list(df).collect())
     assert got == [(1, 0, "u:1"), (1, 1, "u:2"), (1, 2, "u:3"), (2, 0, "it's")]
+
+
+def test_keyset_page_equals_offset_page(spark):
+    c = _catalog(spark)
+    first = cat.catalog_page_after(c, None, 2).collect()
+    last = first[-1]
+    after = (last.track_uri, last.track_name, last.artist_name, last.album_name)
+    nxt = [r.track_uri for r in cat.catalog_page_after(c, after, 2).collect()]
+    assert nxt == [r.track_uri for r in cat.catalog_page(c, offset=2, size=2).collect()]
