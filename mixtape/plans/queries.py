@@ -88,7 +88,8 @@ def _slices(spark, sf_dir):
 @query("json_flatten", sql=f"select * from ({raw_rows()}) r")
 def q_json_flatten(spark, sf_dir):
     path = _slices(spark, sf_dir)
-    return json_slices.flatten_slices(json_slices.read_slices(spark, f"{path}/slice=*/*.json"))
+    return json_slices.flatten_slices(
+        json_slices.read_slices(spark, f"{path}/{json_slices.WRITTEN_GLOB}"))
 
 
 @query("json_flatten_recursive", sql=f"select * from ({raw_rows()}) r")

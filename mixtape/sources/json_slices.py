@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from mixtape import schemas
 
 
+# glob of the documents written by ``write_slices`` under a folder
+WRITTEN_GLOB = "slice=*/chunk=*/*.json"
+
+
 def read_slices(spark: SparkSession, path: str | list[str], recursive: bool = False) -> DataFrame:
     reader = spark.read.schema(schemas.SLICE).option("multiLine", True)
     if recursive:
@@ -31,20 +35,29 @@ def flatten_slices(slices: DataFrame) -> DataFrame:
                     "track.artist_name", "track.album_name"))
 
 
-def write_slices(rows: DataFrame, path: str, playlists_per_slice: int = 1000) -> str:
+def write_slices(rows: DataFrame, path: str, playlists_per_slice: int = 1000,
+                 tracks_per_entry: int = 1000) -> str:
     """Write playlist-track rows as slice documents, one document per file.
 
-    Slices group consecutive playlist ids (``pid div playlists_per_slice``), so a
-    document holds at most that many playlists. Written with ``partitionBy`` so
-    every slice lands in its own folder and file.
+    Every collected group is bounded: a playlist's rows are split into
+    hash-assigned chunks of about ``tracks_per_entry`` tracks (its size is
+    counted first), each chunk is one playlist entry, and a document holds the
+    entries of one chunk number for at most ``playlists_per_slice``
+    consecutive playlist ids. Flattening gives back exactly the rows (an id may
+    appear in several entries). Written with ``partitionBy`` so every document
+    lands in its own folder and file.
     """
-    playlists = (rows.groupBy("playlist_id")
-                 .agg(F.collect_list(F.struct("track_uri", "track_name", "artist_name",
-                                              "album_name")).alias("tracks"))
-                 .select(F.col("playlist_id").alias("pid"), "tracks",
-                         F.floor(F.col("playlist_id") / playlists_per_slice).alias("slice")))
-    docs = (playlists.groupBy("slice")
+    fields = ["track_uri", "track_name", "artist_name", "album_name"]
+    sizes = rows.groupBy("playlist_id").agg(F.count(F.lit(1)).alias("_n"))
+    chunks = F.greatest(F.ceil(F.col("_n") / tracks_per_entry), F.lit(1))
+    chunked = (rows.join(sizes, "playlist_id")
+               .withColumn("chunk", F.pmod(F.xxhash64(*fields), chunks)))
+    entries = (chunked.groupBy("playlist_id", "chunk")
+               .agg(F.collect_list(F.struct(*fields)).alias("tracks"))
+               .select(F.col("playlist_id").alias("pid"), "tracks", "chunk",
+                       F.floor(F.col("playlist_id") / playlists_per_slice).alias("slice")))
+    docs = (entries.groupBy("slice", "chunk")
             .agg(F.collect_list(F.struct("pid", "tracks")).alias("playlists")))
-    (docs.repartition("slice").write.mode("errorifexists")
-         .partitionBy("slice").json(path))
+    (docs.repartition("slice", "chunk").write.mode("errorifexists")
+         .partitionBy("slice", "chunk").json(path))
     return path

@@ -82,6 +82,15 @@ def test_write_slices_roundtrip(spark):
     path = json_slices.write_slices(rows, scratch_path(spark, "t-slices"), playlists_per_slice=1)
     back = json_slices.flatten_slices(json_slices.read_slices(spark, path, recursive=True))
     assert sorted(back.collect()) == sorted(rows.collect())
+    # a big playlist is split over several bounded entries and documents
+    big = spark.range(50).selectExpr("7L as playlist_id", "concat('u:', id % 20) as track_uri",
+                                     "'a' as track_name", "'b' as artist_name", "'c' as album_name")
+    path = json_slices.write_slices(big, scratch_path(spark, "t-slices-big"), tracks_per_entry=8)
+    docs = json_slices.read_slices(spark, path, recursive=True)
+    sizes = [len(p.tracks) for d in docs.collect() for p in d.playlists]
+    assert len(sizes) > 1 and sum(sizes) == 50
+    back = json_slices.flatten_slices(json_slices.read_slices(spark, f"{path}/{json_slices.WRITTEN_GLOB}"))
+    assert sorted(back.collect()) == sorted(big.collect())
 
 
 def test_split_known_new_and_baskets(spark):
