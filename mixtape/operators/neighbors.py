@@ -45,7 +45,8 @@ def _distance(metric: str, a, b, o):
 def knn_exact(baskets: DataFrame, existing: DataFrame, k: int = 1, metric: str = "euclidean",
               basket_col: str = "basket_id", user_col: str = "playlist_id",
               item_col: str = "track_uri_index", exclude_same_id: bool = False,
-              candidates: str = "auto") -> DataFrame:
+              candidates: str = "auto", existing_distinct: bool = False,
+              user_sizes: DataFrame | None = None) -> DataFrame:
     """(basket, neighbor_id, distance, rank) for every basket, k rows each
     (fewer only if there are fewer than k users).
 
@@ -56,14 +57,19 @@ def knn_exact(baskets: DataFrame, existing: DataFrame, k: int = 1, metric: str =
     holder of it; "prefix" joins only with the rarest items of each user (see
     ``_prefix_overlaps``); "auto" picks "prefix" when the inverted join would
     emit far more rows than the baskets have.
+    ``existing_distinct``: the (user, item) rows are already distinct (skips a
+    full shuffle of them); ``user_sizes``: precomputed (user, _b = item count).
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
     # the query baskets are read by four branches below: store them once
     b = stage(baskets.select(basket_col, item_col).distinct(), "knn-baskets", basket_col)
     bsize = b.groupBy(basket_col).agg(F.count(item_col).alias("_a"))
-    ex = existing.select(user_col, item_col).where(F.col(item_col).isNotNull()).distinct()
-    usize = ex.groupBy(user_col).agg(F.count(F.lit(1)).alias("_b"))
+    ex = existing.select(user_col, item_col).where(F.col(item_col).isNotNull())
+    if not existing_distinct:
+        ex = ex.distinct()
+    usize = (user_sizes if user_sizes is not None
+             else ex.groupBy(user_col).agg(F.count(F.lit(1)).alias("_b")))
 
     # zero-overlap candidates: the k users smallest by (|B|, id) (euclidean) or
     # by id (others), +1 when the basket's own id may be excluded. Bounded

@@ -51,9 +51,11 @@ def recommend_new(model: ALSModel, baskets: DataFrame, index: DataFrame, existin
                   k: int = RECS_JOB, by_id: DataFrame | None = None, metric: str = "euclidean",
                   basket_col: str = "basket_id", user_col: str = "playlist_id",
                   exclude_seen: bool = False) -> DataFrame:
-    """Baskets (basket, track_uri) -> top-k of each basket's nearest playlist."""
+    """Baskets (basket, track_uri) -> top-k of each basket's nearest playlist.
+    ``existing``: distinct (playlist, track_uri_index) pairs (``user_items``)."""
     items = _encode_baskets(baskets, index, basket_col)
-    near = knn_exact(items, existing, NEIGHBOURS, metric, basket_col, user_col).drop("rank")
+    near = knn_exact(items, existing, NEIGHBOURS, metric, basket_col, user_col,
+                     existing_distinct=True).drop("rank")
     fetch = k
     if exclude_seen:
         biggest = items.groupBy(basket_col).count().agg(F.max("count")).first()[0] or 0
@@ -72,14 +74,19 @@ def route_baskets(baskets: DataFrame, index: DataFrame, existing: DataFrame,
                   user_col: str = "playlist_id") -> DataFrame:
     """basket -> the playlist whose factors answer it: (basket, method,
     neighbor_id, distance, _src). Known ids answer for themselves; a new basket
-    is answered by its nearest existing playlist (exact, by (distance, id))."""
-    users = (existing.select(F.col(user_col).alias(basket_col)).distinct()
-             .withColumn("_known", F.lit(True)))
+    is answered by its nearest existing playlist (exact, by (distance, id)).
+    ``existing``: distinct (playlist, track_uri_index) pairs (``user_items``)."""
+    # one aggregate over the existing pairs serves both the known-id test and
+    # the neighbour search (user sizes)
+    sizes = (existing.where(F.col("track_uri_index").isNotNull())
+             .groupBy(user_col).agg(F.count(F.lit(1)).alias("_b")))
+    users = sizes.select(F.col(user_col).alias(basket_col), F.lit(True).alias("_known"))
     marked = baskets.select(basket_col, "track_uri").join(users, basket_col, "left")
     known = marked.where(F.col("_known")).select(basket_col).distinct()
     new_baskets = marked.where(F.col("_known").isNull()).select(basket_col, "track_uri")
     items = _encode_baskets(new_baskets, index, basket_col)
-    near = knn_exact(items, existing, NEIGHBOURS, metric, basket_col, user_col).drop("rank")
+    near = knn_exact(items, existing, NEIGHBOURS, metric, basket_col, user_col,
+                     existing_distinct=True, user_sizes=sizes).drop("rank")
     id_type = near.schema["neighbor_id"].dataType
     return (known.select(basket_col, F.lit("known").alias("method"),
                          F.lit(None).cast(id_type).alias("neighbor_id"),

@@ -367,7 +367,7 @@ from ranked where rn = 1"""
 def q_knn_exact(spark, sf_dir):
     ctx = context(spark, sf_dir)
     items = idx.encode(tv.order_baskets(spark, sf_dir), ctx.index).select("basket_id", "track_uri_index")
-    return nb.knn_exact(items, ctx.pairs, k=1)
+    return nb.knn_exact(items, ctx.pairs, k=1, existing_distinct=True)
 
 
 @query("als_factors")
