@@ -7,24 +7,45 @@ Counts come from the final adaptive plan after running the query once.
 from __future__ import annotations
 
 import os
-import re
 import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def summarise(plan: str) -> dict[str, int]:
-    # a reused stage prints its original's text too: count each stage once
-    plan = "\n".join(line for line in plan.splitlines() if "ReusedExchange" not in line)
+def nodes(plan, out=None):
+    """Executed operators: unwraps adaptive/query stages, includes subqueries,
+    stops at reused stages and at cached relations (their plan ran earlier)."""
+    out = [] if out is None else out
+    name = plan.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return nodes(plan.executedPlan(), out)
+    if name in ("ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage",
+                "TableCacheQueryStage"):
+        return nodes(plan.plan(), out)
+    if name.startswith("Reused"):
+        return out
+    out.append((name, plan.simpleString(10)))
+    it = plan.children().iterator()
+    while it.hasNext():
+        nodes(it.next(), out)
+    subs = plan.subqueries().iterator()
+    while subs.hasNext():
+        nodes(subs.next(), out)
+    return out
+
+
+def summarise(plan) -> dict[str, int]:
+    ns = nodes(plan)
+    shuffles = [s for n, s in ns if n == "Exchange"]
     return {
-        "hash/range shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|RoundRobin)", plan)),
-        "single-partition": plan.count("Exchange SinglePartition"),
-        "broadcasts": plan.count("BroadcastExchange"),
-        "BHJ": plan.count("BroadcastHashJoin"),
-        "SMJ": plan.count("SortMergeJoin"),
-        "NLJ/cartesian": plan.count("BroadcastNestedLoopJoin") + plan.count("CartesianProduct"),
-        "window-limit": plan.count("WindowGroupLimit"),
-        "python": plan.count("ArrowEvalPython") + plan.count("BatchEvalPython"),
+        "hash/range shuffles": sum("SinglePartition" not in s for s in shuffles),
+        "single-partition": sum("SinglePartition" in s for s in shuffles),
+        "broadcasts": sum(n == "BroadcastExchange" for n, _ in ns),
+        "BHJ": sum(n == "BroadcastHashJoin" for n, _ in ns),
+        "SMJ": sum(n == "SortMergeJoin" for n, _ in ns),
+        "NLJ/cartesian": sum(n in ("BroadcastNestedLoopJoin", "CartesianProduct") for n, _ in ns),
+        "window-limit": sum(n == "WindowGroupLimit" for n, _ in ns),
+        "python": sum(n in ("ArrowEvalPython", "BatchEvalPython") for n, _ in ns),
     }
 
 
@@ -40,12 +61,12 @@ def main():
         df = fn(spark, sf_dir)
         qe = df._jdf.queryExecution()
         qe.toRdd().count()
-        plan = qe.executedPlan().toString()
-        rows.append((name, summarise(plan), "SQL" if name in sqls else "rows"))
+        rows.append((name, summarise(qe.executedPlan()), "SQL" if name in sqls else "rows"))
     cols = list(rows[0][1])
     print(f"# Physical plans of the registered queries ({os.path.basename(sf_dir)}, local[8], AQE final plans)\n")
     print("Generated by `scripts/plan_summary.py`. Shuffles count hash/range/round-robin exchanges in the")
-    print("final adaptive plan (stages reused via ReusedExchange are not counted twice). ALS top-k queries")
+    print("final adaptive plan, walking the executed operator tree (reused stages and cached relations are")
+    print("not counted again; scalar subqueries are). ALS top-k queries")
     print("include the blockwise factor cross of `recommendForUserSubset` (built in). Queries that return a")
     print("stored artefact (dictionary, model factors, stored vectors, streamed output) show the scan of it;")
     print("the work that built it ran before. Single-partition exchanges are global aggregates over")
