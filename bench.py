@@ -71,7 +71,7 @@ def main() -> None:
         def knn():
             items = idx.encode(tv.order_baskets(spark, data_dir), ctx.index).select(
                 "basket_id", "track_uri_index")
-            run(nb.knn_exact(items, ctx.pairs, k=1))
+            run(nb.knn_exact(items, ctx.pairs, k=1, existing_distinct=True))
         timed("knn_exact_all_orders", knn)
 
         timed("recommend_all", lambda: run(q.q_recommend_all(spark, data_dir)))
