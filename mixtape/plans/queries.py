@@ -4,13 +4,26 @@ oracle next to it must return the same rows and column names."""
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from mixtape.functions import text as txt
+from mixtape.operators import catalog as cat
+from mixtape.operators import factors as fac
 from mixtape.operators import index as idx
 from mixtape.operators import interactions as inter
+from mixtape.operators import neighbors as nb
+from mixtape.operators import recommend as rec
+from mixtape.operators import search
+from mixtape.operators import vectors as vec
 from mixtape.plans.context import context
-from mixtape.plans.oracle import UI_CTES
+from mixtape.plans.oracle import HISTORY_CTES, INCREMENTAL_CTES, UI_CTES, raw_rows
 from mixtape.plans.registry import query
+from mixtape.session import scratch_path
+from mixtape.sources import json_slices
+from mixtape.sources import models as mdl
+from mixtape.sources import testview as tv
+from mixtape.streaming import baskets as stream_baskets
 
 
 # --- index and interactions ---------------------------------------------------
@@ -29,9 +42,6 @@ def q_interactions(spark, sf_dir):
 
 # --- dictionary: extension, lookups, persistence, set difference ---------------
 
-from mixtape.plans.oracle import INCREMENTAL_CTES  # noqa: E402
-from mixtape.session import scratch_path  # noqa: E402
-
 
 @query("index_incremental", sql=f"""with {INCREMENTAL_CTES}
 select track, id from inc_idx""")
@@ -75,9 +85,6 @@ def q_index_roundtrip(spark, sf_dir):
 
 # --- ingest from nested JSON slices --------------------------------------------
 
-from mixtape.plans.oracle import raw_rows  # noqa: E402
-from mixtape.sources import json_slices  # noqa: E402
-
 
 def _slices(spark, sf_dir):
     path = scratch_path(spark, "slices")
@@ -109,10 +116,6 @@ def q_json_ingest(spark, sf_dir):
 
 # --- catalog, lookups, search, text rows ------------------------------------------
 
-from mixtape.functions import text as txt  # noqa: E402
-from mixtape.operators import catalog as cat  # noqa: E402
-from mixtape.operators import search  # noqa: E402
-from mixtape.sources import testview as tv  # noqa: E402
 
 CATALOG_SQL = f"""with {UI_CTES},
 cat as (select distinct substr(track_name, 1, 200) as track_name, substr(artist_name, 1, 200) as artist_name,
@@ -241,8 +244,6 @@ def q_uri_list_explode(spark, sf_dir):
 
 # --- arrays, vectors, pivot, audits, routing ---------------------------------------
 
-from mixtape.operators import vectors as vec  # noqa: E402
-from mixtape.plans.oracle import HISTORY_CTES  # noqa: E402
 
 ARRAY_SUMMARY_SQL = f"""with {UI_CTES}
 select playlist_id, cast(count(*) as int) as n_items, min(track_uri_index) as min_id,
@@ -339,10 +340,6 @@ def q_basket_interactions(spark, sf_dir):
 
 # --- neighbours, factors, recommendations -------------------------------------------
 
-from mixtape.operators import factors as fac  # noqa: E402
-from mixtape.operators import neighbors as nb  # noqa: E402
-from mixtape.operators import recommend as rec  # noqa: E402
-from mixtape.sources import models as mdl  # noqa: E402
 
 # brute force over every (basket, user) pair: the independent check of the
 # pruned candidate set used by knn_exact
@@ -511,8 +508,6 @@ def q_recommend_envelope(spark, sf_dir):
 
 # --- streaming: arriving requests -> envelopes --------------------------------------
 
-from mixtape.streaming import baskets as stream_baskets  # noqa: E402
-
 
 @query("recommend_stream")
 def q_recommend_stream(spark, sf_dir):
@@ -532,8 +527,6 @@ def q_recommend_stream(spark, sf_dir):
 
 # --- LSH on dense input: the embeddings table ------------------------------------------
 
-from pyspark.ml.functions import array_to_vector  # noqa: E402
-
 
 def _dense_vectors(spark, sf_dir):
     emb = tv.table(spark, sf_dir, "embeddings")
