@@ -106,6 +106,12 @@ class Context:
         from mixtape.operators import vectors as vec
         return materialize(vec.sparse_vectors(self.history_pairs), "history_vectors")
 
+    @cached_property
+    def history_lsh(self):
+        """Random-projection LSH fitted on the stored history vectors."""
+        from mixtape.operators import neighbors as nb
+        return nb.fit_lsh(self.history_vectors, seed=LSH_SEED)
+
     @cached_property
     def model(self):
         from mixtape.operators import factors

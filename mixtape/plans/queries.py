@@ -384,10 +384,7 @@ def _history_vectors(ctx):
 
 
 def _lsh(ctx):
-    key = "_lsh_model"
-    if key not in ctx.__dict__:
-        ctx.__dict__[key] = nb.fit_lsh(_history_vectors(ctx), seed=7)
-    return ctx.__dict__[key]
+    return ctx.history_lsh
 
 
 @query("lsh_hashes")
