@@ -28,6 +28,5 @@ def only_if_empty(rows, probe):
     A filter on a scalar subquery (the number of rows in ``probe.limit(1)``),
     evaluated once per query; no join, and at most one probe row is read.
     """
-    from pyspark.sql import functions as F
     probe_hits = probe.limit(1).agg(F.count(F.lit(1)).alias("_n")).scalar()
     return rows.where(probe_hits == F.lit(0))
