@@ -15,6 +15,7 @@ from mixtape.functions.text import uri_list
 from mixtape.operators import factors
 from mixtape.operators import index as idx
 from mixtape.operators.neighbors import knn_exact
+from mixtape.session import stage
 
 RECS_TRAINING = 5    # fixed: recommendations per playlist in training
 RECS_JOB = 10        # fixed: recommendations per basket in the job
@@ -53,8 +54,9 @@ def recommend_new(model: ALSModel, baskets: DataFrame, index: DataFrame, existin
     """Baskets (basket, track_uri) -> top-k of each basket's nearest playlist.
     ``existing``: distinct (playlist, track_uri_index) pairs (``user_items``)."""
     items = _encode_baskets(baskets, index, basket_col)
-    near = knn_exact(items, existing, NEIGHBOURS, metric, basket_col, user_col,
-                     existing_distinct=True).drop("rank")
+    # one row per basket, read twice (users to score, join back): stored once
+    near = stage(knn_exact(items, existing, NEIGHBOURS, metric, basket_col, user_col,
+                           existing_distinct=True).drop("rank"), "near", "neighbor_id")
     fetch = k
     if exclude_seen:
         biggest = items.groupBy(basket_col).count().agg(F.max("count")).first()[0] or 0
@@ -104,7 +106,10 @@ def recommend_all(model: ALSModel, baskets: DataFrame, index: DataFrame, existin
     No driver loop: one left join marks the known ids and splits the batch, one
     scoring call serves both halves.
     """
-    route = route_baskets(baskets, index, existing, metric, basket_col, user_col)
+    # one row per basket, read twice (the users to score, and the join back):
+    # stored once so the neighbour search runs once
+    route = stage(route_baskets(baskets, index, existing, metric, basket_col, user_col),
+                  "route", "_src")
     fetch = k
     if exclude_seen:
         all_items = _encode_baskets(baskets, index, basket_col)
