@@ -143,8 +143,12 @@ PREFIX_VOLUME_RATIO = 64
 
 def _inverted_volume_too_large(b: DataFrame, exs: DataFrame, item_col: str) -> bool:
     """Estimate the inverted join's output (sum over basket rows of the item's
-    number of holders) against the basket rows: one small aggregate job."""
+    number of holders) against the basket rows. When no item has more holders
+    than the ratio the bound is already met and the basket join is skipped."""
     holders = exs.groupBy(item_col).agg(F.count(F.lit(1)).alias("_f"))
+    top = holders.agg(F.max("_f")).first()[0] or 0
+    if top <= PREFIX_VOLUME_RATIO:
+        return False  # every basket row meets at most `top` holders
     row = (b.where(F.col(item_col).isNotNull()).join(holders, item_col, "left")
            .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_f"), F.lit(0)).alias("v"))
            .first())
