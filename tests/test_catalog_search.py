@@ -88,3 +88,14 @@ def test_keyset_page_equals_offset_page(spark):
     after = (last.track_uri, last.track_name, last.artist_name, last.album_name)
     nxt = [r.track_uri for r in cat.catalog_page_after(c, after, 2).collect()]
     assert nxt == [r.track_uri for r in cat.catalog_page(c, offset=2, size=2).collect()]
+
+
+def test_catalog_by_id_one_row_per_id(spark):
+    """Two spellings of one id give one deterministic catalog row (Q13)."""
+    rows = spark.createDataFrame(
+        [(1, "b name", "x", "y", "u:1", 1), (2, "a name", "x", "y", "u:1", 1),
+         (3, "z", "x", "y", "u:2", 2), (4, "q", "x", "y", "u:3", None)],
+        "playlist_id bigint, track_name string, artist_name string, album_name string, "
+        "track_uri string, track_uri_index int")
+    got = {r.track_uri_index: r.track_name for r in cat.catalog_by_id(rows).collect()}
+    assert got == {1: "a name", 2: "z"}
