@@ -6,7 +6,7 @@ estimates from the votes alone how often each rule votes each way on good and
 on bad documents, and the posterior probability of "good" decides.
 
 The votes of m rules have 3^m patterns at most, so the counts per pattern are
-a sufficient statistic of bounded size (729 rows for six rules) whatever the
+a sufficient statistic of bounded size (2,187 rows for seven rules) whatever the
 number of documents: they are counted over all rows in Spark, only the counts
 reach the driver, and the fitted weights go back as literals of one column
 expression. Only DataFrame functions run on the data.
@@ -18,7 +18,7 @@ result. Repeats of word windows are found by 64-bit hashes within one text.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from math import exp, log
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -36,28 +36,36 @@ MAX_REPEAT_PERCENT = 30
 
 @dataclass(frozen=True)
 class Rule:
-    """A vote from one measure: drop above ``bad``, keep up to ``good``, else abstain."""
+    """Votes drop where ``drop`` holds, else keep where ``keep`` holds, else abstains."""
     name: str
-    measure: Column
-    good: float
-    bad: float
+    drop: Column | None = None
+    keep: Column | None = None
 
     def vote(self) -> Column:
-        return (F.when(self.measure > self.bad, -1).when(self.measure <= self.good, 1)
-                .otherwise(0).cast("int"))
+        no = F.lit(False)
+        drop, keep = (F.coalesce(c, no) if c is not None else no for c in (self.drop, self.keep))
+        return F.when(drop, -1).when(keep, 1).otherwise(0).cast("int")
 
 
 def default_rules() -> list[Rule]:
-    """Votes on the measures of ``features``. Each keep bound is where ordinary
-    prose lies and each drop bound is well outside; between them a rule abstains."""
+    """Rules on the measures of ``features``. A junk rule speaks only where its own
+    kind of junk is plain; two prose rules speak where a text looks ordinary."""
     words = F.greatest(F.col("n_words"), F.lit(1))
+    symbols = F.col("n_symbols") / words
+    exclaims = F.col("n_exclaim") / words
+    repeats = F.col("n_repeat_words") / words
+    lines = F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))
+    capitals = F.col("n_upper") / F.greatest(F.col("word_chars"), F.lit(1))
+    variety = F.col("n_distinct_words") / words
+    poor = variety < F.least(F.lit(0.35), 8 / F.sqrt(words))
     return [
-        Rule("symbols", F.col("n_symbols") / words, 0.02, 0.2),
-        Rule("repeats", F.col("n_repeat_words") / words, 0.05, 0.2),
-        Rule("lines", F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)), 0.05, 0.3),
-        Rule("capitals", F.col("n_upper") / F.greatest(F.col("word_chars"), F.lit(1)), 0.1, 0.4),
-        Rule("shouting", F.col("n_exclaim") / words, 0.05, 0.5),
-        Rule("variety", 1 - F.col("n_distinct_words") / words, 0.4, 0.6),
+        Rule("symbols", drop=symbols > 0.15),
+        Rule("shouting", drop=(capitals > 0.3) | (exclaims > 0.3)),
+        Rule("repeats", drop=repeats > 0.2),
+        Rule("lines", drop=lines > 0.3),
+        Rule("variety", drop=poor),
+        Rule("prose", keep=(symbols <= 0.02) & (exclaims <= 0.05) & (capitals <= 0.15) & (variety >= 0.5)),
+        Rule("fresh", keep=(repeats <= 0.1) & (lines <= 0.1) & (symbols <= 0.02) & (exclaims <= 0.05) & ~poor),
     ]
 
 
@@ -107,55 +115,47 @@ def _covered(hashes: Column) -> Column:
 
 @dataclass
 class LabelModel:
-    """P(vote | class) of each rule and the share of good documents."""
-    prior: float
-    good: list[dict[int, float]]
-    bad: list[dict[int, float]]
-    rounds: int = field(default=0)
+    """``accuracy[j]``: how often the votes of rule j are right; an abstention says nothing."""
+    balance: float
+    accuracy: list[float]
 
-    def weights(self, rule: int) -> dict[int, float]:
-        return {v: log(self.good[rule][v] / self.bad[rule][v]) for v in (-1, 0, 1)}
+    def log_odds(self, votes) -> float:
+        return log(self.balance / (1 - self.balance)) + sum(
+            v * log(a / (1 - a)) for v, a in zip(votes, self.accuracy))
 
     def posterior(self, votes) -> float:
-        s = log(self.prior / (1 - self.prior)) + sum(self.weights(j)[v] for j, v in enumerate(votes))
-        return 1 / (1 + exp(-s)) if s > -700 else 0.0
+        return 1 / (1 + exp(-self.log_odds(votes)))
 
     def posterior_column(self, votes: list[Column]) -> Column:
-        s = F.lit(log(self.prior / (1 - self.prior)))
-        for j, vote in enumerate(votes):
-            w = self.weights(j)
-            s = s + F.when(vote == 1, w[1]).when(vote == -1, w[-1]).otherwise(w[0])
+        s = F.lit(log(self.balance / (1 - self.balance)))
+        for vote, a in zip(votes, self.accuracy):
+            s = s + vote * F.lit(log(a / (1 - a)))
         return F.lit(1.0) / (F.lit(1.0) + F.exp(-s))
 
 
-def fit(patterns: list[tuple[tuple[int, ...], int]], rounds: int = 100, smooth: float = 1.0) -> LabelModel:
+def fit(patterns: list[tuple[tuple[int, ...], int]], balance: float = 0.5, rounds: int = 100,
+        right: float = 8.0, wrong: float = 2.0) -> LabelModel:
     """Expectation-maximisation over (votes, count) patterns.
 
-    Classes are named by the start: a pattern's first posterior is the share of
-    keep among its votes, so "good" is the side on which rules vote keep. The
-    same patterns give the same model whatever their order. ``smooth`` is added
-    to each count; without rows the model stays at even odds.
+    E: the posterior of "good" for each pattern. M: a rule's accuracy is the
+    share of its votes that agree with the posteriors, with ``right`` and
+    ``wrong`` added as prior votes (so that a rule starts better than chance and
+    one that never speaks stays there). ``balance`` is the class prior; it isn't
+    learnt, as junk rules that rarely meet would then be explained away by a
+    large share of good documents. Same patterns, same model, in any order.
     """
     patterns = sorted(patterns)
     m = len(patterns[0][0]) if patterns else 0
-    share = [(1 + sum(v > 0 for v in p)) / (2 + sum(v != 0 for v in p)) for p, _ in patterns]
-    share = [0.9 * (1.0 if not any(v < 0 for v in p) else s) + 0.05 for s, (p, _) in zip(share, patterns)]
-    model = LabelModel(0.5, [dict.fromkeys((-1, 0, 1), 1 / 3) for _ in range(m)],
-                       [dict.fromkeys((-1, 0, 1), 1 / 3) for _ in range(m)])
-    for done in range(rounds if patterns else 0):
-        total = sum(n for _, n in patterns)
-        good = sum(n * s for (_, n), s in zip(patterns, share))
-        model = LabelModel((good + smooth) / (total + 2 * smooth), [], [], done + 1)
+    model = LabelModel(balance, [right / (right + wrong)] * m)
+    for _ in range(rounds if patterns else 0):
+        good = [model.posterior(votes) for votes, _ in patterns]
+        accuracy = []
         for j in range(m):
-            for side, sign in ((model.good, 1), (model.bad, 0)):
-                mass = dict.fromkeys((-1, 0, 1), smooth)
-                for (votes, n), s in zip(patterns, share):
-                    mass[votes[j]] += n * (s if sign else 1 - s)
-                whole = sum(mass.values())
-                side.append({v: x / whole for v, x in mass.items()})
-        new = [model.posterior(votes) for votes, _ in patterns]
-        moved = max(abs(x - y) for x, y in zip(new, share))
-        share = new
+            hits = right + sum(n * (g if votes[j] > 0 else 1 - g)
+                               for (votes, n), g in zip(patterns, good) if votes[j])
+            accuracy.append(hits / (right + wrong + sum(n for votes, n in patterns if votes[j])))
+        moved = max(abs(x - y) for x, y in zip(accuracy, model.accuracy))
+        model = LabelModel(balance, accuracy)
         if moved < 1e-9:
             break
     return model
