@@ -4,6 +4,7 @@ of our own, and Python UDFs only where the Arrow vectoriser is the point."""
 import pytest
 
 import __spark_entry__ as entry
+from mixtape.plans import registry
 
 # ALS's own blockwise top-k (recommendForUserSubset) crosses factor blocks
 # internally; the queries built on it are checked for the rest by their tests.
@@ -17,7 +18,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - ALS_TOPK))
+@pytest.mark.parametrize("name", sorted(set(registry.queries()) - ALS_TOPK))
 def test_no_cross_products(spark, sf_smoke, name):
     plan = _plan(entry.queries()[name](spark, sf_smoke))
     assert "CartesianProduct" not in plan

@@ -9,6 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
 import __spark_entry__ as entry  # noqa: E402
+from mixtape.plans import registry  # noqa: E402
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -36,7 +37,7 @@ def test_entry_smoke(spark):
     assert df.columns == entry.entry(spark).columns
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(registry.queries()))
 def test_query_against_oracle(spark, sf_smoke, duck, name):
     from oracle_check import canon
     df = entry.queries()[name](spark, sf_smoke)
