@@ -51,3 +51,13 @@ from numbered m join placed using (row_number), crc"""
 
 
 SHARDS = shards_sql()
+
+WARC = """with digests as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+         sha1(coalesce(html, '')) as payload_digest from pages),
+groups as (
+  select *, max(page_id) over (partition by payload_digest) as last from digests)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 1000 and page_id < last then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 1000 and page_id < last then last end as refers_to
+from groups"""

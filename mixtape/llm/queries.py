@@ -8,9 +8,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import public_tokenizers
+
 from mixtape.llm import oracle
+from mixtape.llm import packing
+from mixtape.llm import planes
 from mixtape.llm import quality
 from mixtape.llm import sharding
+from mixtape.llm import toxicity
+from mixtape.llm import warc
+from mixtape.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -29,11 +36,41 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@register("op2_id_planes")
+def op2_id_planes(spark, sf_dir):
+    folder = scratch_path(spark, "id-planes")
+    manifest = planes.write(table(spark, sf_dir, "documents"), folder,
+                            public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+    return planes.read(manifest, digest=planes.crc32).withColumnRenamed("ids_digest", "ids_crc32")
+
+
+@register("op3_packing")
+def op3_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                        end_id=0, capacity=2048, carry=[F.crc32("ids").alias("ids_crc32")])
+
+
 @register("op5_quality")
 def op5_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+@register("op7_warc", sql=oracle.WARC)
+def op7_warc(spark, sf_dir):
+    manifest = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    return warc.read(manifest, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op8_toxicity")
+def op8_toxicity(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.learn(docs, labels, learnable=~toxicity.held_out(F.col("_id")))
+    scored = toxicity.score(docs.select("doc_id", "text"), model, score_col="score")
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 @register("op9_shards", sql=oracle.SHARDS)
 def op9_shards(spark, sf_dir):
     placed = sharding.shard(table(spark, sf_dir, "documents"), shards=24)
