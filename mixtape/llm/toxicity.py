@@ -6,8 +6,11 @@ over the distinct terms i of a text. The factors v let a pair of terms say more
 than either (an insult beside the mention of a group), which additive weights
 can't. Terms are 64-bit hashes of lower-cased words and of their first letters
 (so that inflected and compound forms share evidence). The model's terms are
-those in ``MIN_TEXTS`` training texts or more, so its size is bounded by the
-training sample and rare words can't collide with them.
+those in ``MIN_TEXTS`` training texts or more whose presence and the label
+depend on each other (likelihood ratio of ``MIN_GAIN`` or more): a term that
+says nothing would only be learnt by heart. So the model's size is bounded by
+the training sample, and as terms are known by their whole hash, no other word
+shares their weights.
 
 The model is fitted on at most ``MAX_TRAIN`` labelled rows, those with the
 smallest hashes of their ids, on the driver; features, candidates and scores of
@@ -33,7 +36,9 @@ from mixtape.session import stage
 
 #: Labelled rows that the model is fitted on, at most.
 MAX_TRAIN = 20_000
-MIN_TEXTS = 8
+MIN_TEXTS = 3
+#: Twice the log likelihood ratio; chance exceeds it once in a thousand terms.
+MIN_GAIN = 10.83
 PREFIXES = (4, 5)
 FACTORS = 4
 THRESHOLD = 0.3
@@ -89,13 +94,29 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.margin(docs, term, len(texts)), -30, 30)))
 
 
-def fit(rows: list[tuple[np.ndarray, int]], factors: int = FACTORS, epochs: int = 12, batch: int = 128,
-        rate: float = 0.1, decay: float = 2e-4, min_texts: int = MIN_TEXTS, seed: int = 11) -> Model:
+def gains(texts_with: np.ndarray, toxic_with: np.ndarray, texts: int, toxic: int) -> np.ndarray:
+    """Twice the log likelihood ratio of presence against label, per term."""
+    table = [toxic_with, texts_with - toxic_with, toxic - toxic_with, texts - toxic - texts_with + toxic_with]
+    rows = [texts_with, texts_with, texts - texts_with, texts - texts_with]
+    columns = [toxic, texts - toxic, toxic, texts - toxic]
+    out = np.zeros(len(texts_with))
+    for seen, row, column in zip(table, rows, columns):
+        expected = row * column / texts
+        out += 2 * seen * np.log(np.where(seen > 0, seen, 1) / np.where(seen > 0, expected, 1))
+    return out
+
+
+def fit(rows: list[tuple[np.ndarray, int]], factors: int = FACTORS, epochs: int = 30, batch: int = 64,
+        rate: float = 0.2, decay: float = 1e-4, min_texts: int = MIN_TEXTS, min_gain: float = MIN_GAIN,
+        seed: int = 11) -> Model:
     """Logistic loss, adaptive gradients, on (distinct terms, label) rows."""
     if not rows:
         return Model(np.zeros(0, np.uint64), -30.0, np.zeros(0), np.zeros((0, factors)))
-    seen, counts = np.unique(np.concatenate([t for t, _ in rows]), return_counts=True)
-    vocabulary = seen[counts >= min(min_texts, max(1, len(rows) // 20))]
+    every = np.concatenate([t for t, _ in rows])
+    seen, which, counts = np.unique(every, return_inverse=True, return_counts=True)
+    toxic = np.bincount(which, np.repeat([float(y) for _, y in rows], [len(t) for t, _ in rows]), len(seen))
+    gain = gains(counts, toxic, len(rows), sum(y for _, y in rows))
+    vocabulary = seen[(counts >= min_texts) & (gain >= min_gain)]
     known = []
     for t, _ in rows:
         if len(vocabulary):
