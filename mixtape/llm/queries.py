@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import public_tokenizers
 
+from mixtape.llm import decontamination
 from mixtape.llm import oracle
 from mixtape.llm import packing
 from mixtape.llm import planes
@@ -36,6 +37,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@register("op1_decontamination")
+def op1_decontamination(spark, sf_dir):
+    return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @register("op2_id_planes")
 def op2_id_planes(spark, sf_dir):
     folder = scratch_path(spark, "id-planes")
