@@ -37,7 +37,7 @@ from mixtape.session import stage
 MIN_WORDS = 8
 MAX_EDITS = 0.2
 STRIDE = 2
-STEPS = 16
+STEPS = 18
 SAMPLES = 6
 TARGET = 0.99
 #: Bits of the filter (16 MB), and places per signature.
@@ -46,10 +46,10 @@ FILTER_PLACES = 4
 
 
 def samples(rep: int) -> np.ndarray:
-    """The sampled steps of a repetition, sorted; early ones too, as late edits leave them alone."""
+    """The sampled steps of a repetition, one from each of equal parts of its walk."""
     rng = np.random.default_rng([20240, rep])
-    last = int(rng.integers(2 * SAMPLES - 1, STEPS + 1))
-    return np.sort(rng.choice(last, SAMPLES, replace=False))
+    edges = np.linspace(0, int(rng.integers(2 * SAMPLES, STEPS + 1)), SAMPLES + 1).astype(int)
+    return np.array([rng.integers(a, b) for a, b in zip(edges[:-1], edges[1:])])
 
 
 def signatures(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, rep: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,9 +65,9 @@ def signatures(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, rep: int
         if t in picked:
             complete &= at < ends
             out = (out ^ (out >> U64(31))) * BASE + here
-        # bit t of a hash of the word under this repetition
-        salt = U64((0x9E3779B97F4A7C15 * (rep * STEPS + t + 1) | 1) & 0xFFFFFFFFFFFFFFFF)
-        at += ((here * salt) >> U64(63)).astype(np.int64)
+        # bit t of the word under this repetition
+        salt = mix(np.array([rep * STEPS + t + 1], np.uint64) * BASE)
+        at += (((here ^ salt) * BASE) >> U64(63)).astype(np.int64)
     return mix(out), complete
 
 
@@ -101,7 +101,11 @@ def plan_repetitions(target: float = TARGET, max_edits: float = MAX_EDITS, words
 
 def places(signature: np.ndarray) -> np.ndarray:
     """Bits of the filter for each signature."""
-    return np.stack([mix(signature + U64(i) * BASE) % U64(FILTER_BITS) for i in range(FILTER_PLACES)]).astype(np.int64)
+    return np.stack([place(signature, i) for i in range(FILTER_PLACES)]).astype(np.int64)
+
+
+def place(signature: np.ndarray, i: int) -> np.ndarray:
+    return mix(signature + U64((i * int(BASE)) % (1 << 64))) % U64(FILTER_BITS)
 
 
 def item_signatures(items: DataFrame, reps: int, id_col: str, text_col: str) -> DataFrame:
@@ -152,7 +156,7 @@ def passes(table: np.ndarray, signature: np.ndarray) -> np.ndarray:
     """Numbers of the signatures that may be in the filter."""
     left = np.arange(len(signature))
     for i in range(FILTER_PLACES):
-        bit = mix(signature[left] + U64(i) * BASE) % U64(FILTER_BITS)
+        bit = place(signature[left], i)
         left = left[(table[(bit >> U64(6)).astype(np.int64)] >> (bit & U64(63))) & U64(1) == 1]
     return left
 
