@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 import public_tokenizers
 
 from mixtape.llm import decontamination
+from mixtape.llm import licenses
 from mixtape.llm import oracle
 from mixtape.llm import packing
 from mixtape.llm import planes
@@ -56,6 +57,11 @@ def op3_packing(spark, sf_dir):
                         end_id=0, capacity=2048, carry=[F.crc32("ids").alias("ids_crc32")])
 
 
+@register("op4_licenses")
+def op4_licenses(spark, sf_dir):
+    return licenses.label(table(spark, sf_dir, "documents"))
+
+
 @register("op5_quality")
 def op5_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
