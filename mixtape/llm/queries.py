@@ -12,6 +12,7 @@ import public_tokenizers
 
 from mixtape.llm import decontamination
 from mixtape.llm import licenses
+from mixtape.llm import neardup
 from mixtape.llm import oracle
 from mixtape.llm import packing
 from mixtape.llm import planes
@@ -88,3 +89,9 @@ def op9_shards(spark, sf_dir):
     placed = sharding.shard(table(spark, sf_dir, "documents"), shards=24)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"), "row_number")
+
+
+@register("op10_near_duplicates")
+def op10_near_duplicates(spark, sf_dir):
+    found = neardup.groups(table(spark, sf_dir, "documents"), k=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id", "n_links")
