@@ -14,11 +14,12 @@ leading zeros and the ten bits after the first one: 16 bits in place of 64.
 4. Pairs far below the threshold by the collision-corrected estimate go (five
    standard errors), the others are verified on the full sets.
 5. Components of the links are formed. Members that aren't in the component of
-   their bucket's smallest class ("strays") are then paired with the other
-   classes of their buckets that lie in other components, estimated, verified,
-   and components formed again. A link between two classes of a bucket has
-   either both ends beside the smallest class, or a stray at one end; so none
-   is lost, and only strays cost more than one pair.
+   their bucket's smallest class ("strays") are then compared with the other
+   classes of their buckets that lie in other components, by estimate and full
+   sets, and components formed again. A link between two classes of a bucket
+   has either both ends in the smallest class's component, or a stray at one
+   end; so none that joins components is lost, and only strays cost more than
+   one pair.
 
 Verification streams: the members of a class's pairs pass by its set, in salted
 parts of at most about ``GROUP`` members, so that no group is one task's.
@@ -178,9 +179,16 @@ def estimated(pairs: DataFrame, classes: DataFrame, share: float) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
-def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+def texts_in(bucket: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_id, _text) of the classes of buckets; stored, so that both verifications move only these."""
+    rows = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    wanted = bucket.select(F.col("id").alias("_id")).distinct()
+    return stage(rows.join(wanted, "_id", "left_semi"), "bucket-texts")
+
+
+def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs (a, b) with 100 * intersection >= percent * union on the full sets, and
-    their overlap. Each text moves once to meet its pairs, then once per pair."""
+    their overlap."""
     sizes = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("_parts"))
     members = pairs.join(sizes, "a").select(
         F.col("b").alias("_id"), "a", F.pmod(F.xxhash64("b"), F.col("_parts")).cast("int").alias("_part"))
@@ -188,7 +196,6 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, id_col: st
     # a class id has one text; other texts of an equal id have other sets
     roles = (members.withColumn("_head", F.lit(False)).unionByName(heads.withColumn("_head", F.lit(True)))
              .groupBy("_id").agg(F.collect_list(F.struct("a", "_part", "_head")).alias("_roles")))
-    texts = docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     met = texts.join(roles, "_id").select("_id", "_text", F.explode("_roles").alias("r")).select(
         "r.a", "r._part", "r._head", "_id", "_text")
 
@@ -212,7 +219,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, id_col: st
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)],
                                                      names=["a", "b", "overlap"])
 
-    n = shuffle_partitions(docs.sparkSession)
+    n = shuffle_partitions(texts.sparkSession)
     dealt = met.repartition(n, "a", "_part").sortWithinPartitions("a", "_part", F.desc("_head"))
     # a text that is there more than once gives its link more than once
     return dealt.mapInArrow(run, "a long, b long, overlap long").groupBy("a", "b").agg(F.max("overlap").alias("overlap"))
@@ -221,7 +228,7 @@ def verified(pairs: DataFrame, docs: DataFrame, k: int, percent: int, id_col: st
 def groups(docs: DataFrame, k: int = 5, percent: int = 80, band: int = BAND, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(id, n_shingles, class_id, n_links, component_id, kept) per row of ``docs``. ``n_links``
-    counts verified links of the row's class to other classes."""
+    counts the links of the row's class that were verified to join components."""
     sketched = sketch(docs, k, id_col, text_col)
     keyed = sketched.where((F.col("n_shingles") > 0) & F.col("_id").isNotNull())
     of_set = keyed.groupBy("_d1", "_d2", "n_shingles").agg(
@@ -232,7 +239,8 @@ def groups(docs: DataFrame, k: int = 5, percent: int = 80, band: int = BAND, id_
     star = bucket.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     share = percent / 100
     tried = stage(estimated(star, classes, share), "star-pairs")
-    links = stage(verified(tried, docs, k, percent, id_col, text_col), "star-links")
+    texts = texts_in(bucket, docs, id_col, text_col)
+    links = stage(verified(tried, texts, k, percent), "star-links")
     # rows of one id with different sets are one document
     same = (keyed.select("_id", "_d1", "_d2", "n_shingles").distinct()
             .join(of_set.select("_d1", "_d2", "n_shingles", F.col("id").alias("_class")), ["_d1", "_d2", "n_shingles"]))
@@ -241,8 +249,7 @@ def groups(docs: DataFrame, k: int = 5, percent: int = 80, band: int = BAND, id_
     versions = stage(same.join(several, "_id").where("_class <> a").select("a", F.col("_class").alias("b")).distinct(),
                      "versions")
     first = components(links.select("a", "b").unionByName(versions))
-    strays = _stray_pairs(bucket, first)
-    more = stage(verified(estimated(strays, classes, share), docs, k, percent, id_col, text_col), "stray-links")
+    more = stage(_stray_links(bucket, first, texts, k, percent), "stray-links")
     all_links = links.unionByName(more)
     last = components(all_links.select("a", "b").unionByName(versions))
     degree = (all_links.select(F.col("a").alias("_class")).unionByName(all_links.select(F.col("b").alias("_class")))
@@ -259,17 +266,82 @@ def groups(docs: DataFrame, k: int = 5, percent: int = 80, band: int = BAND, id_
         of.alias("component_id"), F.col("_id").eqNullSafe(of).alias("kept"))
 
 
-def _stray_pairs(bucket: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs (a, b) of a stray and another class of its buckets in another component."""
+def _stray_links(bucket: DataFrame, found: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Verified pairs (a, b, overlap) of a stray and another class of its buckets in another
+    component. Buckets with one smallest class are met as one. Their strays lie in parts
+    of about ``GROUP``; the classes stream past each part and are estimated and verified
+    there, so pairs that fail are never rows."""
     label = found.select(F.col("node").alias("id"), F.col("component").alias("_c"))
     of_leader = found.select(F.col("node").alias("leader"), F.col("component").alias("_l"))
-    marked = (bucket.join(label, "id", "left").join(of_leader, "leader", "left")
+    members = bucket.where("id <> leader").select("leader", "id").distinct()
+    marked = (members.join(label, "id", "left").join(of_leader, "leader", "left")
               .withColumn("_c", F.coalesce("_c", "id")).withColumn("_l", F.coalesce("_l", "leader")))
-    marked = stage(marked, "marked-buckets")
-    strays = marked.where("_c <> _l").select("key", F.col("id").alias("_s"), F.col("_c").alias("_sc"))
-    others = marked.where("id <> leader").select("key", "id", "_c")
-    met = strays.join(others, "key").where("_sc <> _c")
-    return met.select(F.least("_s", "id").alias("a"), F.greatest("_s", "id").alias("b")).distinct()
+    marked = stage(marked.select("leader", "id", "_c", (F.col("_c") != F.col("_l")).alias("_stray")), "marked-members")
+    parts = marked.where("_stray").groupBy("leader").agg(F.ceil(F.count(F.lit(1)) / GROUP).cast("int").alias("_parts"))
+    met = marked.join(parts, "leader")
+    heads = met.where("_stray").select(
+        F.col("id").alias("_id"), "leader", F.pmod(F.xxhash64("id"), F.col("_parts")).cast("int").alias("_part"),
+        F.lit(True).alias("_head"), "_c")
+    others = met.select(F.col("id").alias("_id"), "leader", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))
+                        .alias("_part"), F.lit(False).alias("_head"), "_c")
+    rows = texts.join(heads.unionByName(others), "_id").select("leader", "_part", "_head", "_id", "_c", "_text")
+
+    def run(batches):
+        now, held = None, Held()
+        for batch in batches:
+            for part_rows, slice_texts in slices(batch, "_text"):
+                shingles, offsets = shingle_sets(slice_texts, k)
+                registers = sketches(shingles, offsets)
+                out = []
+                columns = zip(*(part_rows.column(c).to_pylist() for c in range(5)))
+                for i, (leader, part, is_head, doc, component) in enumerate(columns):
+                    own = shingles[offsets[i]:offsets[i + 1]]
+                    if now != (leader, part):
+                        now, held = (leader, part), Held()
+                    if is_head:
+                        held.add(doc, component, own, registers[i])
+                    else:
+                        out += held.links(doc, component, own, registers[i], percent)
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)],
+                                                     names=["a", "b", "overlap"])
+
+    n = shuffle_partitions(bucket.sparkSession)
+    dealt = rows.repartition(n, "leader", "_part").sortWithinPartitions("leader", "_part", F.desc("_head"))
+    return dealt.mapInArrow(run, "a long, b long, overlap long").groupBy("a", "b").agg(
+        F.max("overlap").alias("overlap"))
+
+
+class Held:
+    """Sets and sketches of the strays of one part, to compare others with."""
+
+    def __init__(self):
+        self.rows: list[tuple] = []
+        self.table = None
+
+    def add(self, doc: int, component: int, own: np.ndarray, registers: np.ndarray) -> None:
+        self.rows.append((doc, component, own, registers))
+        self.table = None
+
+    def links(self, doc: int, component: int, own: np.ndarray, registers: np.ndarray,
+              percent: int) -> list[tuple[int, int, int]]:
+        if not self.rows:
+            return []
+        if self.table is None:
+            docs, components, sets, sketched = zip(*self.rows)
+            size = np.array([len(s) for s in sets])
+            self.table = (np.array(docs), np.array(components), np.concatenate(sets), np.cumsum(size) - size, size,
+                          np.stack(sketched))
+        docs, components, values, start, size, sketched = self.table
+        near = np.flatnonzero(components != component)
+        near = near[passing(sketched[near], registers[None, :], size[near], len(own), percent / 100)]
+        if not len(near):
+            return []
+        mine = values[gather(start[near], size[near])]
+        at = np.minimum(np.searchsorted(own, mine), len(own) - 1)
+        both = np.add.reduceat((own[at] == mine).astype(np.int64), np.cumsum(size[near]) - size[near])
+        linked = 100 * both >= percent * (size[near] + len(own) - both)
+        return [(min(doc, d), max(doc, d), n) for d, n in zip(docs[near[linked]].tolist(), both[linked].tolist())]
 
 
 def drop_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id", **options) -> DataFrame:
