@@ -106,32 +106,29 @@ def gains(texts_with: np.ndarray, toxic_with: np.ndarray, texts: int, toxic: int
     return out
 
 
-def fit(rows: list[tuple[np.ndarray, int]], factors: int = FACTORS, epochs: int = 30, batch: int = 64,
-        rate: float = 0.2, decay: float = 1e-4, min_texts: int = MIN_TEXTS, min_gain: float = MIN_GAIN,
-        seed: int = 11) -> Model:
-    """Logistic loss, adaptive gradients, on (distinct terms, label) rows."""
-    if not rows:
-        return Model(np.zeros(0, np.uint64), -30.0, np.zeros(0), np.zeros((0, factors)))
-    every = np.concatenate([t for t, _ in rows])
-    seen, which, counts = np.unique(every, return_inverse=True, return_counts=True)
-    toxic = np.bincount(which, np.repeat([float(y) for _, y in rows], [len(t) for t, _ in rows]), len(seen))
-    gain = gains(counts, toxic, len(rows), sum(y for _, y in rows))
-    vocabulary = seen[(counts >= min_texts) & (gain >= min_gain)]
-    known = []
-    for t, _ in rows:
-        if len(vocabulary):
-            at = np.minimum(np.searchsorted(vocabulary, t), len(vocabulary) - 1)
-            known.append(at[vocabulary[at] == t])
-        else:
-            known.append(np.zeros(0, np.int64))
-    labels = np.array([y for _, y in rows], float)
+def vocabulary_of(counts: list[tuple[int, int, int]], texts: int, toxic: int, min_texts: int = MIN_TEXTS,
+                  min_gain: float = MIN_GAIN) -> np.ndarray:
+    """The terms to learn from (term, texts with it, toxic texts with it) rows."""
+    if not counts:
+        return np.zeros(0, np.uint64)
+    term, n, hits = (np.array(x, np.int64) for x in zip(*counts))
+    keep = (n >= min_texts) & (gains(n.astype(float), hits.astype(float), texts, toxic) >= min_gain)
+    return np.sort(term[keep].view(np.uint64))
+
+
+def fit(vocabulary: np.ndarray, known: list[np.ndarray], labels: list[int], factors: int = FACTORS,
+        epochs: int = 30, batch: int = 64, rate: float = 0.2, decay: float = 1e-4, seed: int = 11) -> Model:
+    """Logistic loss, adaptive gradients, on texts given as term numbers of the vocabulary."""
+    if not labels:
+        return Model(vocabulary, -30.0, np.zeros(len(vocabulary)), np.zeros((len(vocabulary), factors)))
+    labels = np.array(labels, float)
     rng = np.random.default_rng(seed)
     base = (labels.sum() + 0.5) / (len(labels) + 1)
     model = Model(vocabulary, float(np.log(base / (1 - base))), np.zeros(len(vocabulary)),
                   rng.normal(0, 0.01, (len(vocabulary), factors)))
     sum_w, sum_v, sum_b = np.full(len(vocabulary), 1e-4), np.full((len(vocabulary), factors), 1e-2), 1e-4
     for _ in range(epochs):
-        order = rng.permutation(len(rows))
+        order = rng.permutation(len(labels))
         for at in range(0, len(order), batch):
             part = order[at:at + batch]
             sizes = np.array([len(known[i]) for i in part])
@@ -155,9 +152,11 @@ def fit(rows: list[tuple[np.ndarray, int]], factors: int = FACTORS, epochs: int
     return model
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, learnable: Column | None, max_train: int, id_col: str,
-                  text_col: str, label_col: str) -> list[tuple[np.ndarray, int]]:
-    """(distinct terms, label) of at most ``max_train`` labelled rows, in a fixed order."""
+def learn(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, max_train: int = MAX_TRAIN,
+          id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> Model:
+    """A model of the labels; ``learnable`` is a condition on ``_id``. Terms are counted in
+    tasks; the driver gets the counts of terms that pass ``MIN_TEXTS`` and the known
+    terms of at most ``max_train`` texts."""
     marked = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label")).where(
         F.col("_label").isNotNull() & F.col("_id").isNotNull())
     if learnable is not None:
@@ -176,17 +175,45 @@ def training_rows(docs: DataFrame, labels: DataFrame, learnable: Column | None,
                     names=["_id", "_label", "_terms"])
 
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    # a document table with repeats of an id may hold more rows than were chosen
-    found = (chosen.join(texts, "_id").select("_id", "_label", "_text")
-             .mapInArrow(features, f"_id {texts.schema['_id'].dataType.simpleString()}, _label int, _terms binary")
-             .orderBy(F.xxhash64("_id"), "_id", "_terms").limit(max_train))
-    return [(np.frombuffer(r["_terms"], np.uint64), r["_label"]) for r in found.collect()]
-
-
-def learn(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, max_train: int = MAX_TRAIN,
-          id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", **options) -> Model:
-    """A model of the labels; ``learnable`` is a condition on ``_id``."""
-    return fit(training_rows(docs, labels, learnable, max_train, id_col, text_col, label_col), **options)
+    kind = texts.schema["_id"].dataType.simpleString()
+    # the chosen ids are max_train rows at most; repeats of an id may still give more texts
+    found = texts.join(F.broadcast(chosen), "_id").select("_id", "_label", "_text").mapInArrow(
+        features, f"_id {kind}, _label int, _terms binary")
+    first = found.orderBy(F.xxhash64("_id"), "_id", "_terms").limit(max_train)
+    sample = stage(first, "toxicity-sample")
+
+    def count(batches):
+        for batch in batches:
+            label, every = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            if not every:
+                continue
+            seen, which, n = np.unique(np.frombuffer(b"".join(every), np.uint64), return_inverse=True, return_counts=True)
+            hits = np.bincount(which, np.repeat(label, [len(t) // 8 for t in every]), len(seen))
+            yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(n), pa.array(hits.astype(np.int64))],
+                                             names=["term", "n", "hits"])
+
+    size = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_label"), F.lit(0)).alias("hits")).first()
+    counts = (sample.select("_label", "_terms").mapInArrow(count, "term long, n long, hits long")
+              .groupBy("term").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
+              .where((F.col("n") >= MIN_TEXTS) & (F.col("hits") * size["n"] != F.col("n") * size["hits"])).toArrow())
+    vocabulary = vocabulary_of(list(zip(*(counts.column(c).to_pylist() for c in ("term", "n", "hits")))),
+                               size["n"], size["hits"])
+
+    def known(batches):
+        for batch in batches:
+            rows = []
+            for raw in batch.column(1).to_pylist():
+                t = np.frombuffer(raw, np.uint64)
+                at = np.searchsorted(vocabulary, t)
+                at[at == len(vocabulary)] = 0
+                rows.append(at[vocabulary[at] == t].astype(np.int32).tobytes() if len(vocabulary) else b"")
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary()), batch.column(2)],
+                                             names=["_label", "_known", "_order"])
+
+    rows = (sample.select("_label", "_terms", F.xxhash64("_id", "_terms").alias("_order"))
+            .mapInArrow(known, "_label int, _known binary, _order long").toArrow().sort_by("_order"))
+    return fit(vocabulary, [np.frombuffer(r, np.int32).astype(np.int64) for r in rows.column("_known").to_pylist()],
+               rows.column("_label").to_pylist(), **options)
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "toxicity") -> DataFrame:
