@@ -32,7 +32,7 @@ from mixtape.llm.textscan import joined, slices
 from mixtape.session import scratch_path
 
 #: Fillings that the search may try before it keeps the best plan so far.
-NODES = 20_000
+NODES = 4_000
 
 Pattern = tuple[int, ...]
 
