@@ -17,6 +17,7 @@ from mixtape.llm import oracle
 from mixtape.llm import packing
 from mixtape.llm import planes
 from mixtape.llm import quality
+from mixtape.llm import repeats
 from mixtape.llm import sharding
 from mixtape.llm import toxicity
 from mixtape.llm import warc
@@ -68,6 +69,13 @@ def op5_quality(spark, sf_dir):
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+@register("op6_repeats")
+def op6_repeats(spark, sf_dir):
+    cut = repeats.remove(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+                      F.size("starts").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @register("op7_warc", sql=oracle.WARC)
 def op7_warc(spark, sf_dir):
     manifest = warc.write(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
@@ -95,3 +103,9 @@ def op9_shards(spark, sf_dir):
 def op10_near_duplicates(spark, sf_dir):
     found = neardup.groups(table(spark, sf_dir, "documents"), k=3, percent=85)
     return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id", "n_links")
+
+
+@register("pipeline")
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

@@ -128,15 +128,21 @@ def scan(texts: Texts, word_bytes: np.ndarray = NOT_SPACE) -> Words:
     return Words(starts, ends, text, first)
 
 
+class Hasher:
+    """64-bit hashes of byte ranges (of the folded bytes), equal wherever equal ranges lie."""
+
+    def __init__(self, data: np.ndarray, fold: np.ndarray = NO_FOLD):
+        up, self.down = powers(len(data) + 1)
+        self.sums = np.zeros(len(data) + 1, U64)
+        np.cumsum(BYTE_VALUES[fold][data] * up[:len(data)], out=self.sums[1:])
+
+    def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix((self.sums[ends] - self.sums[starts]) * self.down[starts] + (ends - starts).astype(U64))
+
+
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray,
                  fold: np.ndarray = NO_FOLD) -> np.ndarray:
-    """A 64-bit hash of each byte range (of the folded bytes), wherever it lies."""
-    if not len(starts):
-        return np.zeros(0, U64)
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, U64)
-    np.cumsum(BYTE_VALUES[fold][data] * up[:len(data)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(U64))
+    return Hasher(data, fold)(starts, ends) if len(starts) else np.zeros(0, U64)
 
 
 def ngrams(hashes: np.ndarray, k: int) -> np.ndarray:

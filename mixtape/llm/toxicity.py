@@ -219,17 +219,18 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, m
 def score(docs: DataFrame, model: Model, text_col: str = "text", score_col: str = "toxicity") -> DataFrame:
     """``docs`` with the score of each whole text. The model's size is bounded by its sample."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    out = docs.withColumn("_text_scored", F.coalesce(F.col(text_col), F.lit("")))
+    rest = docs.drop(score_col)
+    names = [f"_c{i}" for i in range(len(rest.columns))]
+    out = rest.toDF(*names).withColumn("_text", F.coalesce(F.col(names[rest.columns.index(text_col)]), F.lit("")))
 
     def run(batches):
         for batch in batches:
-            for rows, texts in slices(batch, "_text_scored"):
-                yield pa.RecordBatch.from_arrays(
-                    [*rows.columns[:-1], pa.array(shared.value.score(texts))],
-                    names=[*rows.schema.names[:-1], score_col])
+            for rows, texts in slices(batch, "_text"):
+                yield pa.RecordBatch.from_arrays([*rows.columns[:-1], pa.array(shared.value.score(texts))],
+                                                 names=[*names, "_score"])
 
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields]
-    return out.mapInArrow(run, ", ".join([*kinds, f"`{score_col}` double"]))
+    kinds = [f"{n} {f.dataType.simpleString()}" for n, f in zip(names, rest.schema.fields)]
+    return out.mapInArrow(run, ", ".join([*kinds, "_score double"])).toDF(*rest.columns, score_col)
 
 
 def held_out(id_col: Column) -> Column:
