@@ -20,13 +20,3 @@ def contains_ci(col: str, needle: str, regex: bool = False) -> Column:
 
 def all_of(preds: list[Column]) -> Column:
     return reduce(lambda a, b: a & b, preds, F.lit(True))
-
-
-def only_if_empty(rows, probe):
-    """``rows`` when ``probe`` has no row, else nothing - in one plan.
-
-    A filter on a scalar subquery (the number of rows in ``probe.limit(1)``),
-    evaluated once per query; no join, and at most one probe row is read.
-    """
-    probe_hits = probe.limit(1).agg(F.count(F.lit(1)).alias("_n")).scalar()
-    return rows.where(probe_hits == F.lit(0))

@@ -22,7 +22,9 @@ def build_catalog(inter: DataFrame, max_len: int = NAME_LIMIT) -> DataFrame:
 
 
 def write_catalog(catalog: DataFrame, path: str) -> str:
-    catalog.select(*schemas.CATALOG_COLUMNS).write.mode("overwrite").parquet(path)
+    """Stored in URI order, so lookups of a URI or a range of them skip row groups."""
+    (catalog.select(*schemas.CATALOG_COLUMNS).orderBy("track_uri")
+     .write.mode("overwrite").parquet(path))
     return path
 
 

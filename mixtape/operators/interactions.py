@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from mixtape import schemas
 from mixtape.operators import index as idx
+from mixtape.session import stage
 
 
 def interactions(rows: DataFrame, index: DataFrame, input_col: str = "track_uri",
@@ -24,12 +25,14 @@ def interactions(rows: DataFrame, index: DataFrame, input_col: str = "track_uri"
 
 def ingest(rows: DataFrame, index: DataFrame | None = None, input_col: str = "track_uri",
            num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Flattened rows (+ optional existing dictionary) -> (interactions, dictionary)."""
+    """Flattened rows (+ optional existing dictionary) -> (interactions, dictionary).
+    The distinct rows are stored, as the dictionary and the interactions both read them."""
+    rows = stage(rows.distinct(), "ingest-rows")
     if index is None:
         index = idx.build_index(rows, input_col, num_partitions)
     else:
         index = idx.extend_index(index, rows, input_col, num_partitions)
-    return interactions(rows, index, input_col), index
+    return interactions(rows, index, input_col, rows_distinct=True), index
 
 
 def user_items(inter: DataFrame, user_col: str = "playlist_id",

@@ -1,18 +1,15 @@
 """Nearest existing playlist(s) for query baskets: exact set-overlap kNN, and
 random-projection LSH (fit, hashes, single-key ANN with exact fallback).
 
-Exact kNN on 0/1 item sets. For basket A and user B with overlap o:
-  euclidean: d^2 = |A| + |B| - 2o      jaccard: 1 - o / (|A| + |B| - o)
-  cosine:    1 - o / sqrt(|A| |B|)
-Candidates with o > 0 come from an inverted-index join (basket item = user
-item), aggregated per (basket, user) with map-side partial counts. Users
-sharing nothing with A all sit at their "zero-overlap" distance, which is
-monotone in (|B|, id) for euclidean and constant for the others, so only the
-k users smallest in that order can enter a top-k; they are found once (k rows,
-collected) and offered to every basket. Every user outside both sets is beaten
-by k users that are inside, so the result equals the all-pairs answer.
-For euclidean the offered users also bound the k-th distance, which prunes
-large users before the join (see ``knn_exact``). Ranking is by (distance, id).
+Exact kNN on 0/1 item sets: for basket A and user B with overlap o the squared
+Euclidean distance is |A| + |B| - 2o. Users sharing nothing with A sit at
+|A| + |B|, so only the k users smallest by (|B|, id) among them can enter a
+top-k; they are found once (k rows, collected) and offered to every basket, and
+they bound each basket's k-th distance. Other users qualify only with enough
+overlap; they come from a join on the rarest items of each user
+(``_prefix_overlaps``). Every user outside both sets is beaten by k users that
+are inside, so the result equals the all-pairs answer. Ranking is by
+(distance, id).
 """
 
 from __future__ import annotations
@@ -21,49 +18,28 @@ from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjec
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
-from mixtape.functions.predicates import only_if_empty
 from mixtape.session import stage
 
 # Fixed LSH settings of the trained model: hash tables and bucket length.
 LSH_TABLES = 3
 LSH_BUCKET_LENGTH = 0.999799458143871
 
-METRICS = ("euclidean", "jaccard", "cosine")
 
-
-def _distance(metric: str, a, b, o):
-    if metric == "euclidean":
-        return F.sqrt((a + b - 2 * o).cast("double"))
-    if metric == "jaccard":
-        union = a + b - o
-        return F.when(union > 0, 1.0 - o / union).otherwise(F.lit(1.0))
-    if metric == "cosine":
-        return F.when((a > 0) & (b > 0), 1.0 - o / F.sqrt((a * b).cast("double"))).otherwise(F.lit(1.0))
-    raise ValueError(f"metric must be one of {METRICS}")
-
-
-def knn_exact(baskets: DataFrame, existing: DataFrame, k: int = 1, metric: str = "euclidean",
+def knn_exact(baskets: DataFrame, existing: DataFrame, k: int = 1,
               basket_col: str = "basket_id", user_col: str = "playlist_id",
               item_col: str = "track_uri_index", exclude_same_id: bool = False,
-              candidates: str = "auto", existing_distinct: bool = False,
-              user_sizes: DataFrame | None = None) -> DataFrame:
+              existing_distinct: bool = False, user_sizes: DataFrame | None = None) -> DataFrame:
     """(basket, neighbor_id, distance, rank) for every basket, k rows each
     (fewer only if there are fewer than k users).
 
     ``baskets``: (basket, item) rows; a null item (unknown key) still makes the
     basket count, with an empty known set. ``existing``: (user, item) rows.
     ``exclude_same_id`` drops the user whose id equals the basket id.
-    ``candidates`` (euclidean): "inverted" joins every basket item with every
-    holder of it; "prefix" joins only with the rarest items of each user (see
-    ``_prefix_overlaps``); "auto" picks "prefix" when the inverted join would
-    emit far more rows than the baskets have.
     ``existing_distinct``: the (user, item) rows are already distinct (skips a
     full shuffle of them); ``user_sizes``: precomputed (user, _b = item count).
     """
-    if metric not in METRICS:
-        raise ValueError(f"metric must be one of {METRICS}")
     # the query baskets are read by four branches below: store them once
-    b = stage(baskets.select(basket_col, item_col).distinct(), "knn-baskets", basket_col)
+    b = stage(baskets.select(basket_col, item_col).distinct(), "knn-baskets")
     bsize = b.groupBy(basket_col).agg(F.count(item_col).alias("_a"))
     ex = existing.select(user_col, item_col).where(F.col(item_col).isNotNull())
     if not existing_distinct:
@@ -71,46 +47,29 @@ def knn_exact(baskets: DataFrame, existing: DataFrame, k: int = 1, metric: str =
     usize = (user_sizes if user_sizes is not None
              else ex.groupBy(user_col).agg(F.count(F.lit(1)).alias("_b")))
 
-    # zero-overlap candidates: the k users smallest by (|B|, id) (euclidean) or
-    # by id (others), +1 when the basket's own id may be excluded. Bounded
-    # (k rows), collected once and offered to every basket.
+    # the k users smallest by (|B|, id), +1 when the basket's own id may be
+    # excluded. Bounded (k rows), collected once and offered to every basket.
     n_zero = k + (1 if exclude_same_id else 0)
-    order = ["_b", user_col] if metric == "euclidean" else [user_col]
-    zero_users = usize.orderBy(*order).limit(n_zero).collect()
-
-    # Exact pruning (euclidean): the offered users bound every basket's k-th
-    # distance^2 by |A| + b_k, so a user can only enter a top-k when
-    # |B| - 2*overlap <= b_k, hence |B| <= b_k + 2*|A|.
-    prune = metric == "euclidean" and len(zero_users) == n_zero
-    users = usize
-    if prune:
+    zero_users = usize.orderBy("_b", user_col).limit(n_zero).collect()
+    if len(zero_users) < n_zero:
+        # fewer users than that: all of them are offered, and all may qualify
+        b_k = max([int(r["_b"]) for r in zero_users], default=0)
+    else:
         b_k = int(zero_users[-1]["_b"])
-        # largest basket as a scalar subquery: evaluated once inside the plan
-        a_max = bsize.agg(F.coalesce(F.max("_a"), F.lit(0))).scalar()
-        users = usize.where(F.col("_b") <= F.lit(b_k) + 2 * a_max)
 
     # each basket row carries |A| (partial counts, then a join on basket that
     # AQE may broadcast or split when one basket is huge), so pairs that cannot
     # reach the basket's top-k are dropped before the aggregation shuffle
     bk = b.where(F.col(item_col).isNotNull()).join(bsize, basket_col)
-    exs = ex.join(users, user_col)
-    use_prefix = prune and candidates == "prefix"
-    if prune and candidates == "auto":
-        use_prefix = _inverted_volume_too_large(b, exs, item_col)
-    if use_prefix:
-        overlaps = _prefix_overlaps(b, bk, ex, exs, b_k, basket_col, user_col, item_col)
-    else:
-        pairs = bk.join(exs, item_col)
-        if prune:
-            pairs = pairs.where(F.col("_b") <= F.lit(b_k) + 2 * F.col("_a"))
-        overlaps = (pairs.groupBy(basket_col, user_col, "_a", "_b")
-                    .agg(F.count(F.lit(1)).alias("_o")))
-    if prune:
-        # a + |B| - 2o <= a + b_k is necessary to enter the basket's top-k
-        overlaps = overlaps.where(F.col("_b") - 2 * F.col("_o") <= F.lit(b_k))
+    # a user can only enter a top-k when |B| - 2*overlap <= b_k, hence
+    # |B| <= b_k + 2*|A|; the largest |A| is a scalar of the plan
+    a_max = bsize.agg(F.coalesce(F.max("_a"), F.lit(0))).scalar()
+    exs = ex.join(usize.where(F.col("_b") <= F.lit(b_k) + 2 * a_max), user_col)
+    overlaps = _prefix_overlaps(b, bk, ex, exs, b_k, basket_col, user_col, item_col)
+    overlaps = overlaps.where(F.col("_b") - 2 * F.col("_o") <= F.lit(b_k))
     if exclude_same_id:
         overlaps = overlaps.where(F.col(basket_col) != F.col(user_col))
-    dist = _distance(metric, F.col("_a"), F.col("_b"), F.col("_o"))
+    dist = F.sqrt((F.col("_a") + F.col("_b") - 2 * F.col("_o")).cast("double"))
     cand = overlaps.select(basket_col, user_col, dist.alias("distance"))
     w = Window.partitionBy(basket_col).orderBy("distance", user_col)
     top = cand.withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).drop("_r")
@@ -121,9 +80,8 @@ def knn_exact(baskets: DataFrame, existing: DataFrame, k: int = 1, metric: str =
         zero = bsize.select(basket_col, "_a", F.inline(offered))
         if exclude_same_id:
             zero = zero.where(F.col(basket_col) != F.col(user_col))
-        zero = zero.select(basket_col, user_col,
-                           _distance(metric, F.col("_a"), F.col("_b"), F.lit(0)).alias("distance"))
-        top = top.unionByName(zero)
+        top = top.unionByName(zero.select(
+            basket_col, user_col, F.sqrt((F.col("_a") + F.col("_b")).cast("double")).alias("distance")))
 
     # <= 2k rows per basket: sort, keep the first row per user, keep k.
     merged = (top.groupBy(basket_col)
@@ -137,24 +95,6 @@ def knn_exact(baskets: DataFrame, existing: DataFrame, k: int = 1, metric: str =
                     (F.col("_pos") + 1).cast("int").alias("rank")))
 
 
-# Inverted join volume above this many rows per basket row selects "prefix".
-PREFIX_VOLUME_RATIO = 64
-
-
-def _inverted_volume_too_large(b: DataFrame, exs: DataFrame, item_col: str) -> bool:
-    """Estimate the inverted join's output (sum over basket rows of the item's
-    number of holders) against the basket rows. When no item has more holders
-    than the ratio the bound is already met and the basket join is skipped."""
-    holders = exs.groupBy(item_col).agg(F.count(F.lit(1)).alias("_f"))
-    top = holders.agg(F.max("_f")).first()[0] or 0
-    if top <= PREFIX_VOLUME_RATIO:
-        return False  # every basket row meets at most `top` holders
-    row = (b.where(F.col(item_col).isNotNull()).join(holders, item_col, "left")
-           .agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_f"), F.lit(0)).alias("v"))
-           .first())
-    return bool(row["n"]) and row["v"] > PREFIX_VOLUME_RATIO * row["n"]
-
-
 def _prefix_overlaps(b: DataFrame, bk: DataFrame, ex: DataFrame, exs: DataFrame, b_k: int,
                      basket_col: str, user_col: str, item_col: str) -> DataFrame:
     """Exact overlaps of every (basket, user) pair that can still qualify,
@@ -216,13 +156,15 @@ def ann_with_fallback(model: BucketedRandomProjectionLSHModel, vectors: DataFram
                       user_col: str = "playlist_id", item_col: str = "track_uri_index") -> DataFrame:
     """LSH neighbours of one key; when no bucket matches, the exact neighbours.
 
-    One plan: the exact branch is anti-joined (constant key) with at most one
-    LSH row, so it contributes only when LSH found nothing.
+    The LSH rows (k at most) are looked at first; the exact search is only
+    built and run when there are none.
     ``key_items``: (basket_id, item) rows of the key's basket.
     """
-    approx = ann_single(model, vectors, key, k, user_col).select(
-        F.col(user_col).alias("neighbor_id"), F.col("distCol").alias("distance"),
-        F.lit("lsh").alias("method"))
-    exact = knn_exact(key_items, existing, k, user_col=user_col, item_col=item_col).select(
+    spark = vectors.sparkSession
+    near = ann_single(model, vectors, key, k, user_col)
+    rows = near.select(F.col(user_col).alias("neighbor_id"), F.col("distCol").alias("distance")).collect()
+    if rows:
+        schema = f"neighbor_id {vectors.schema[user_col].dataType.simpleString()}, distance double"
+        return spark.createDataFrame(rows, schema).withColumn("method", F.lit("lsh"))
+    return knn_exact(key_items, existing, k, user_col=user_col, item_col=item_col).select(
         "neighbor_id", "distance", F.lit("exact").alias("method"))
-    return approx.unionByName(only_if_empty(exact, approx))

@@ -38,41 +38,67 @@ def _encode_baskets(baskets: DataFrame, index: DataFrame, basket_col: str) -> Da
     return enc.select(basket_col, "track_uri_index")
 
 
-def _exclude_seen(recs: DataFrame, basket_items: DataFrame, basket_col: str, k: int) -> DataFrame:
-    seen = basket_items.where(F.col("track_uri_index").isNotNull()).select(
-        basket_col, "track_uri_index").distinct()
+def _exclude_seen(recs: DataFrame, seen: DataFrame, basket_col: str, k: int) -> DataFrame:
     kept = recs.join(seen, [basket_col, "track_uri_index"], "left_anti")
     w = Window.partitionBy(basket_col).orderBy("rank")
     return (kept.withColumn("rank", F.row_number().over(w).cast("int"))
                 .where(F.col("rank") <= k))
 
 
+#: A playlist that answers more than this share of the baskets is dealt in this many parts.
+HEAVY_PARTS = 64
+
+
+def _answer(model: ALSModel, route: DataFrame, k: int, basket_col: str, user_col: str,
+            seen: DataFrame | None) -> DataFrame:
+    """``route`` (a row per basket with ``_src``, the playlist that answers it) with its top-k.
+
+    One playlist may answer most baskets, so the results of each playlist are one
+    row with an array, and the few playlists above 1 / HEAVY_PARTS of the baskets
+    (HEAVY_PARTS at most) are met in parts drawn from the basket id. With ``seen``
+    (basket, id) rows a basket asks for as many rows more as it has seen.
+    """
+    if seen is None:
+        scored = factors.top_k(model, route.select(F.col("_src").alias(user_col)), k, user_col)
+    else:
+        sizes = seen.groupBy(basket_col).agg(F.count(F.lit(1)).alias("_seen"))
+        need = (route.select(basket_col, F.col("_src").alias(user_col)).join(sizes, basket_col, "left")
+                .withColumn("_k", F.lit(k) + F.coalesce("_seen", F.lit(0))))
+        scored = factors.top_k_each(model, need, "_k", user_col)
+    lists = scored.groupBy(F.col(user_col).alias("_src")).agg(
+        F.collect_list(F.struct("rank", "track_uri_index", "score")).alias("_recs"))
+    counts = route.groupBy("_src").agg(F.count(F.lit(1)).alias("_n"))
+    total = route.agg(F.count(F.lit(1))).scalar()
+    heavy = counts.where(F.col("_n") * HEAVY_PARTS > total).select(
+        "_src", F.lit(HEAVY_PARTS).alias("_parts"))
+    part = F.pmod(F.xxhash64(basket_col), F.coalesce("_parts", F.lit(1)).cast("long"))
+    left = (route.join(F.broadcast(heavy), "_src", "left").withColumn("_part", part).drop("_parts"))
+    right = (lists.join(F.broadcast(heavy), "_src", "left")
+             .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)).cast("long") - 1)))
+             .drop("_parts"))
+    recs = (left.join(right, ["_src", "_part"])
+            .select(basket_col, "method", "neighbor_id", "distance", F.inline("_recs")))
+    return recs if seen is None else _exclude_seen(recs, seen, basket_col, k)
+
+
 def recommend_new(model: ALSModel, baskets: DataFrame, index: DataFrame, existing: DataFrame,
-                  k: int = RECS_JOB, by_id: DataFrame | None = None, metric: str = "euclidean",
+                  k: int = RECS_JOB, by_id: DataFrame | None = None,
                   basket_col: str = "basket_id", user_col: str = "playlist_id",
                   exclude_seen: bool = False) -> DataFrame:
     """Baskets (basket, track_uri) -> top-k of each basket's nearest playlist.
     ``existing``: distinct (playlist, track_uri_index) pairs (``user_items``)."""
     items = _encode_baskets(baskets, index, basket_col)
-    # one row per basket, read twice (users to score, join back): stored once
-    near = stage(knn_exact(items, existing, NEIGHBOURS, metric, basket_col, user_col,
-                           existing_distinct=True).drop("rank"), "near", "neighbor_id")
-    fetch = k
-    if exclude_seen:
-        biggest = items.groupBy(basket_col).count().agg(F.max("count")).first()[0] or 0
-        fetch = k + int(biggest)
-    scored = factors.top_k(model, near.select(F.col("neighbor_id").alias(user_col)), fetch, user_col)
-    recs = (near.join(scored.withColumnRenamed(user_col, "neighbor_id"), "neighbor_id")
-                .select(basket_col, F.lit("neighbour").alias("method"), "neighbor_id", "distance",
-                        "rank", "track_uri_index", "score"))
-    if exclude_seen:
-        recs = _exclude_seen(recs, items, basket_col, k)
+    near = knn_exact(items, existing, NEIGHBOURS, basket_col, user_col, existing_distinct=True)
+    # one row per basket, read several times: stored once
+    route = stage(near.select(basket_col, F.lit("neighbour").alias("method"), "neighbor_id", "distance",
+                              F.col("neighbor_id").alias("_src")), "near")
+    seen = items.where(F.col("track_uri_index").isNotNull()).distinct() if exclude_seen else None
+    recs = _answer(model, route, k, basket_col, user_col, seen)
     return decode(recs, by_id) if by_id is not None else recs
 
 
 def route_baskets(baskets: DataFrame, index: DataFrame, existing: DataFrame,
-                  metric: str = "euclidean", basket_col: str = "basket_id",
-                  user_col: str = "playlist_id") -> DataFrame:
+                  basket_col: str = "basket_id", user_col: str = "playlist_id") -> DataFrame:
     """basket -> the playlist whose factors answer it: (basket, method,
     neighbor_id, distance, _src). Known ids answer for themselves; a new basket
     is answered by its nearest existing playlist (exact, by (distance, id)).
@@ -82,11 +108,12 @@ def route_baskets(baskets: DataFrame, index: DataFrame, existing: DataFrame,
     sizes = (existing.where(F.col("track_uri_index").isNotNull())
              .groupBy(user_col).agg(F.count(F.lit(1)).alias("_b")))
     users = sizes.select(F.col(user_col).alias(basket_col), F.lit(True).alias("_known"))
-    marked = baskets.select(basket_col, "track_uri").join(users, basket_col, "left")
+    # both halves read the marked baskets
+    marked = stage(baskets.select(basket_col, "track_uri").join(users, basket_col, "left"), "marked-baskets")
     known = marked.where(F.col("_known")).select(basket_col).distinct()
     new_baskets = marked.where(F.col("_known").isNull()).select(basket_col, "track_uri")
     items = _encode_baskets(new_baskets, index, basket_col)
-    near = knn_exact(items, existing, NEIGHBOURS, metric, basket_col, user_col,
+    near = knn_exact(items, existing, NEIGHBOURS, basket_col, user_col,
                      existing_distinct=True, user_sizes=sizes).drop("rank")
     id_type = near.schema["neighbor_id"].dataType
     return (known.select(basket_col, F.lit("known").alias("method"),
@@ -98,29 +125,23 @@ def route_baskets(baskets: DataFrame, index: DataFrame, existing: DataFrame,
 
 
 def recommend_all(model: ALSModel, baskets: DataFrame, index: DataFrame, existing: DataFrame,
-                  k: int = RECS_TRAINING, by_id: DataFrame | None = None,
-                  metric: str = "euclidean", basket_col: str = "basket_id",
+                  k: int = RECS_TRAINING, by_id: DataFrame | None = None, basket_col: str = "basket_id",
                   user_col: str = "playlist_id", exclude_seen: bool = False) -> DataFrame:
     """Route every basket: known id -> own top-k, new -> nearest playlist's top-k.
 
     No driver loop: one left join marks the known ids and splits the batch, one
-    scoring call serves both halves.
+    scoring call serves both halves. ``exclude_seen`` leaves out a basket's own
+    tracks and, of a known playlist, the tracks that it already holds.
     """
-    # one row per basket, read twice (the users to score, and the join back):
-    # stored once so the neighbour search runs once
-    route = stage(route_baskets(baskets, index, existing, metric, basket_col, user_col),
-                  "route", "_src")
-    fetch = k
-    if exclude_seen:
-        all_items = _encode_baskets(baskets, index, basket_col)
-        biggest = all_items.groupBy(basket_col).count().agg(F.max("count")).first()[0] or 0
-        fetch = k + int(biggest)
-    scored = factors.top_k(model, route.select(F.col("_src").alias(user_col)), fetch, user_col)
-    recs = (route.join(scored.withColumnRenamed(user_col, "_src"), "_src")
-                 .select(basket_col, "method", "neighbor_id", "distance", "rank",
-                         "track_uri_index", "score"))
+    # one row per basket, read several times: stored once
+    route = stage(route_baskets(baskets, index, existing, basket_col, user_col), "route")
+    seen = None
     if exclude_seen:
-        recs = _exclude_seen(recs, _encode_baskets(baskets, index, basket_col), basket_col, k)
+        own = _encode_baskets(baskets, index, basket_col).where(F.col("track_uri_index").isNotNull())
+        known = route.where(F.col("method") == "known").select(basket_col)
+        held = existing.select(F.col(user_col).alias(basket_col), "track_uri_index").join(known, basket_col, "left_semi")
+        seen = own.unionByName(held).distinct()
+    recs = _answer(model, route, k, basket_col, user_col, seen)
     return decode(recs, by_id) if by_id is not None else recs
 
 
@@ -130,17 +151,23 @@ def enrich(recs: DataFrame, catalog: DataFrame, basket_col: str = "basket_id") -
                 .select(basket_col, "rank", "track_name", "artist_name", "album_name", "track_uri"))
 
 
-def envelope(recs: DataFrame, baskets: DataFrame, basket_col: str = "basket_id") -> DataFrame:
+def envelope(recs: DataFrame, baskets: DataFrame, basket_col: str = "basket_id",
+             pos_col: str = "pos") -> DataFrame:
     """Per basket: JSON {"recommendations": [uri by rank], "input_tracks": [uri]}.
 
-    Both arrays are bounded: k recommendations, and the basket's own items.
+    The input tracks are the request's own list: in its order (``pos_col``, when
+    there) and with its repeats. Without any recommendation the array is empty.
+    Both arrays are bounded: k recommendations, and one request.
     """
     out = (recs.groupBy(basket_col)
                .agg(F.array_sort(F.collect_list(F.struct("rank", "track_uri"))).alias("_r"))
-               .select(basket_col, F.transform("_r", lambda x: x["track_uri"]).alias("recommendations")))
+               .select(basket_col, F.transform("_r", lambda x: x["track_uri"]).alias("_recs")))
+    order = [pos_col] if pos_col in baskets.columns else []
     inp = (baskets.groupBy(basket_col)
-                  .agg(F.array_sort(F.collect_set("track_uri")).alias("input_tracks")))
-    both = out.join(inp, basket_col, "full")
+                  .agg(F.array_sort(F.collect_list(F.struct(*order, "track_uri"))).alias("_i"))
+                  .select(basket_col, F.transform("_i", lambda x: x["track_uri"]).alias("input_tracks")))
+    both = inp.join(out, basket_col, "left").withColumn(
+        "recommendations", F.coalesce("_recs", F.array().cast("array<string>")))
     return both.select(basket_col, "recommendations", "input_tracks",
                        F.to_json(F.struct("recommendations", "input_tracks")).alias("envelope"),
                        uri_list("recommendations").alias("uri_list"))

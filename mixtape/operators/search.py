@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from mixtape.functions.predicates import all_of, contains_ci, only_if_empty
+from mixtape.functions.predicates import all_of, contains_ci
 
 FIELDS = ("track_name", "artist_name", "album_name")
 
@@ -41,11 +41,11 @@ def track_search_tiered(hot: DataFrame, full: DataFrame, track_name: str = "",
                         regex: bool = False) -> DataFrame:
     """Search ``hot`` first; only if that finds nothing, search ``full``.
 
-    One plan: the full-catalog branch is anti-joined (on a constant key) with at
-    most one row of the first tier, so it yields rows only when the first tier
-    is empty.
+    The first tier (a page of bounded size) is looked at right away; the plan of
+    the result then reads one tier only.
     """
     args = (track_name, artist_name, album_name)
     first = track_search_contains(hot, *args, regex=regex)
-    second = track_search(full, *args, regex=regex)
-    return first.unionByName(only_if_empty(second, first))
+    if not first.isEmpty():
+        return first
+    return track_search(full, *args, regex=regex)

@@ -1,22 +1,17 @@
-"""Per-user item arrays, sparse 0/1 vectors and the width-guarded dense pivot.
+"""Per-user item arrays, sparse 0/1 vectors and the dense pivot.
 
-Sparse vectors come from the sorted index arrays. An Arrow-batched pandas UDF
-assembles them with no vocabulary at all (the default). For small id ranges a
-JVM ``CountVectorizerModel`` whose vocabulary is the id range itself ("0",
-"1", ..., str(max_id)) does the same; its vocabulary crosses py4j element by
-element and ships to every task, so it is used only up to ``JVM_VOCAB_LIMIT``.
+Sparse vectors come from the sorted index arrays: an Arrow-batched pandas UDF
+puts them into the vector's struct form. Summaries read that form back with
+plain expressions.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import CountVectorizerModel, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, functions as F, types as T
-
-JVM_VOCAB_LIMIT = 4_096
-PIVOT_MAX_WIDTH = 1_000
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def user_item_arrays(pairs: DataFrame, user_col: str = "playlist_id",
@@ -48,23 +43,14 @@ def vector_size(pairs: DataFrame, item_col: str = "track_uri_index") -> int:
 
 
 def sparse_vectors(pairs: DataFrame, size: int | None = None, user_col: str = "playlist_id",
-                   item_col: str = "track_uri_index", method: str = "auto") -> DataFrame:
+                   item_col: str = "track_uri_index") -> DataFrame:
     """(user, features: SparseVector(size) with 1.0 at each item id).
 
     Ids >= size are outside the vector and are left out (``out_of_range``
-    reports them). ``method``: "jvm", "arrow" or "auto".
+    reports them).
     """
     size = size or vector_size(pairs, item_col)
     arrays = user_item_arrays(pairs.where(F.col(item_col) < size), user_col, item_col)
-    if method == "auto":
-        method = "jvm" if size <= JVM_VOCAB_LIMIT else "arrow"
-    if method == "jvm":
-        vocab = [str(i) for i in range(size)]
-        model = CountVectorizerModel.from_vocabulary(
-            vocab, inputCol="_tokens", outputCol="features").setBinary(True)
-        tokens = arrays.select(user_col, F.transform("indices", lambda x: x.cast("string"))
-                               .alias("_tokens"))
-        return model.transform(tokens).select(user_col, "features")
     return arrays.select(user_col, _sparse_from_indices("indices", F.lit(size)).alias("features"))
 
 
@@ -73,70 +59,44 @@ def out_of_range(pairs: DataFrame, size: int, item_col: str = "track_uri_index")
     return pairs.where(F.col(item_col) >= size)
 
 
-_SUMMARY = T.StructType([
-    T.StructField("n_items", T.IntegerType()),
-    T.StructField("min_id", T.IntegerType()),
-    T.StructField("max_id", T.IntegerType()),
-    T.StructField("sum_id", T.LongType()),
-    T.StructField("sum_values", T.DoubleType()),
-    T.StructField("size", T.IntegerType()),
-])
-
-
-@F.pandas_udf(_SUMMARY)
-def vector_summary(v: pd.DataFrame) -> pd.DataFrame:
-    """Sparse vector -> (nnz, min/max/sum of indices, sum of values, size).
-
-    Reads the vector's struct form batch-wise; dense vectors are summarised
-    over their non-zero positions."""
-    rows = []
-    for typ, size, ind, val in zip(v["type"], v["size"], v["indices"], v["values"]):
-        val = np.asarray(val, dtype=np.float64)
-        if typ == 1:  # dense
-            ind = np.nonzero(val)[0]
-            val = val[ind]
-            size = len(v)
-        ind = np.asarray(ind, dtype=np.int64)
-        rows.append((len(ind), int(ind.min()) if len(ind) else None,
-                     int(ind.max()) if len(ind) else None, int(ind.sum()), float(val.sum()),
-                     int(size)))
-    return pd.DataFrame(rows, columns=[f.name for f in _SUMMARY.fields])
-
-
-def pivot_values(df: DataFrame, item_col: str, max_width: int = PIVOT_MAX_WIDTH) -> list:
-    """Sorted distinct values of ``item_col``; refuses more than ``max_width``."""
-    distinct = df.select(item_col).where(F.col(item_col).isNotNull()).distinct()
-    head = distinct.limit(max_width + 1).collect()
-    if len(head) > max_width:
-        raise ValueError(f"pivot over more than {max_width} values of {item_col}; "
-                         "use sparse_vectors instead")
+def vector_summary(col: str) -> Column:
+    """Vector column -> struct (n_items, min_id, max_id, sum_id, sum_values, size).
+
+    A dense vector is summarised over its non-zero places; its size is its length.
+    """
+    v = F.unwrap_udt(F.col(col))
+    dense = v["type"] == 1
+    ids = F.when(dense, F.filter(F.transform(v["values"], lambda x, i: F.when(x != 0, i)),
+                                 lambda i: i.isNotNull())).otherwise(v["indices"])
+    return F.struct(
+        F.size(ids).alias("n_items"), F.array_min(ids).alias("min_id"), F.array_max(ids).alias("max_id"),
+        F.aggregate(ids, F.lit(0).cast("bigint"), lambda a, i: a + i).alias("sum_id"),
+        F.aggregate(v["values"], F.lit(0.0), lambda a, x: a + x).alias("sum_values"),
+        F.when(dense, F.size(v["values"])).otherwise(v["size"]).alias("size"))
+
+
+def pivot_values(df: DataFrame, item_col: str) -> list:
+    """Sorted distinct values of ``item_col``, as far as the engine's own limit for
+    pivots (``spark.sql.pivotMaxValues``) allows."""
+    limit = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    head = df.select(item_col).where(F.col(item_col).isNotNull()).distinct().limit(limit + 1).collect()
+    if len(head) > limit:
+        raise ValueError(f"more than {limit} values of {item_col}: pass the values, or use sparse_vectors")
     return sorted(r[0] for r in head)
 
 
-def pivot_matrix(df: DataFrame, user_col: str = "playlist_id", item_col: str = "track_uri_index",
-                 values: list | None = None, reference: DataFrame | None = None,
-                 rating_col: str = "rating", max_width: int = PIVOT_MAX_WIDTH,
+def pivot_matrix(df: DataFrame, values: list | None = None, user_col: str = "playlist_id",
+                 item_col: str = "track_uri_index", rating_col: str = "rating",
                  assemble: bool = True) -> DataFrame:
-    """One 0/1 column per item value (+ ``features`` dense vector).
+    """One column per value: the user's largest rating of it, 0 without any (+ ``features``).
 
-    The value list comes from ``values``, else from the columns of a
-    ``reference`` pivot, else from the data (bounded by ``max_width``).
+    The caller passes the values (of another matrix, say, to get its columns);
+    by default they are those of the data.
     """
-    if values is None and reference is not None:
-        values = [c for c in reference.columns if c not in (user_col, "features")]
-    if values is None:
-        values = pivot_values(df, item_col, max_width)
-    if len(values) > max_width:
-        raise ValueError(f"pivot over {len(values)} values exceeds {max_width}")
-    wide = (df.groupBy(user_col)
-              .pivot(item_col, values)
-              .agg(F.coalesce(F.first(rating_col), F.lit(0)))
-              .fillna(0))
-    names = [str(v) for v in values]
-    missing = [n for n in names if n not in wide.columns]
-    if missing:
-        wide = wide.select("*", *[F.lit(0).alias(n) for n in missing])
-    wide = wide.select(user_col, *[F.col(f"`{n}`") for n in names])
+    wanted = pivot_values(df, item_col) if values is None else values
+    cells = [F.coalesce(F.max(F.when(F.col(item_col) == F.lit(v), F.col(rating_col))), F.lit(0)).alias(str(v))
+             for v in wanted]
+    wide = df.groupBy(user_col).agg(*cells) if cells else df.select(user_col).distinct()
     if not assemble:
         return wide
-    return VectorAssembler(inputCols=names, outputCol="features").transform(wide)
+    return VectorAssembler(inputCols=[str(v) for v in wanted], outputCol="features").transform(wide)

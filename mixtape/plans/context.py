@@ -1,7 +1,7 @@
 """Per-(session, data folder) artefacts shared by the registered queries.
 
-Only artefacts that are costly and deterministic to rebuild are memoised:
-the dictionaries (checkpointed) and fitted models. DataFrames stay lazy.
+Only artefacts that are costly and deterministic to rebuild are memoised: the
+stored dictionaries, rows, catalog and vectors, and fitted models.
 """
 
 from __future__ import annotations
@@ -11,9 +11,13 @@ from functools import cached_property
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from mixtape.operators import catalog as cat
+from mixtape.operators import factors as fac
 from mixtape.operators import index as idx
 from mixtape.operators import interactions as inter
-from mixtape.session import stage
+from mixtape.operators import neighbors as nb
+from mixtape.operators import vectors as vec
+from mixtape.session import scratch_path, stage
 from mixtape.sources import testview as tv
 
 _CONTEXTS: dict[tuple[str, str], "Context"] = {}
@@ -22,12 +26,6 @@ ALS_SEED = 42
 LSH_SEED = 7
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write a derived table once to the shared folder and scan it from then on
-    (cuts lineage; survives executor loss)."""
-    return stage(df, name)
-
-
 class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
@@ -41,7 +39,7 @@ class Context:
     @cached_property
     def distinct_rows(self) -> DataFrame:
         """Distinct playlist-track rows, stored once (the input is read once)."""
-        return materialize(self.rows.distinct(), "distinct-rows")
+        return stage(self.rows.distinct(), "distinct-rows")
 
     @cached_property
     def index(self) -> DataFrame:
@@ -57,9 +55,20 @@ class Context:
         rows, read by ALS, kNN and the vectoriser."""
         return inter.user_items(self.interactions).persist(StorageLevel.MEMORY_AND_DISK)
 
-    @property
+    @cached_property
     def catalog(self) -> DataFrame:
-        return inter.catalog_rows(self.interactions)
+        """The catalog, stored once in URI order; lookups, pages and searches read it."""
+        path = scratch_path(self.spark, "catalog")
+        return cat.read_catalog(self.spark, cat.write_catalog(cat.build_catalog(self.interactions), path))
+
+    @cached_property
+    def vectors(self) -> DataFrame:
+        """Sparse 0/1 vectors of all playlists, stored once."""
+        return stage(vec.sparse_vectors(self.pairs), "vectors")
+
+    @cached_property
+    def lsh(self):
+        return nb.fit_lsh(self.vectors, seed=LSH_SEED)
 
     # first dictionary + extension ------------------------------------------
     @property
@@ -85,7 +94,7 @@ class Context:
 
     @cached_property
     def history_distinct_rows(self) -> DataFrame:
-        return materialize(self.history_rows.distinct(), "history-rows")
+        return stage(self.history_rows.distinct(), "history-rows")
 
     @cached_property
     def history_index(self) -> DataFrame:
@@ -103,24 +112,20 @@ class Context:
     def history_vectors(self) -> DataFrame:
         """Sparse 0/1 vectors of the history playlists, stored once (the
         existing-users matrix that LSH fits and searches)."""
-        from mixtape.operators import vectors as vec
-        return materialize(vec.sparse_vectors(self.history_pairs), "history_vectors")
+        return stage(vec.sparse_vectors(self.history_pairs), "history_vectors")
 
     @cached_property
     def history_lsh(self):
         """Random-projection LSH fitted on the stored history vectors."""
-        from mixtape.operators import neighbors as nb
         return nb.fit_lsh(self.history_vectors, seed=LSH_SEED)
 
     @cached_property
     def model(self):
-        from mixtape.operators import factors
-        return factors.fit_als(self.pairs, seed=ALS_SEED)
+        return fac.fit_als(self.pairs, seed=ALS_SEED)
 
     @cached_property
     def history_model(self):
-        from mixtape.operators import factors
-        return factors.fit_als(self.history_pairs, seed=ALS_SEED)
+        return fac.fit_als(self.history_pairs, seed=ALS_SEED)
 
 
 def context(spark: SparkSession, sf_dir: str) -> Context:

@@ -5,7 +5,7 @@ The views ``lineitem orders part ...`` are registered by the checker.
 
 from __future__ import annotations
 
-from mixtape.sources.testview import HISTORY_CUTOFF, INDEX_CUTOFF
+from mixtape.sources.testview import HISTORY_CUTOFF, INDEX_CUTOFF, ORDER_BASKET
 
 
 def raw_rows(where: str = "") -> str:
@@ -48,4 +48,7 @@ added as (select track, cast((select coalesce(max(id), 0) from old_idx)
 inc_idx as (select * from old_idx union all select * from added)"""
 
 HISTORY_CTES = f"""hist_raw as ({raw_rows(before(HISTORY_CUTOFF))}),
-incoming_raw as ({raw_rows(since(HISTORY_CUTOFF))})"""
+incoming_raw as ({raw_rows(since(HISTORY_CUTOFF))}),
+incoming_orders as (select distinct {ORDER_BASKET} + l.l_orderkey as basket_id,
+                           concat('part:', cast(l.l_partkey as varchar)) as track_uri
+                    from lineitem l join orders o on l.l_orderkey = o.o_orderkey where {since(HISTORY_CUTOFF)})"""

@@ -131,12 +131,20 @@ TIERED = ("widget", "", "promo")
 
 
 def _catalog(spark, sf_dir):
-    return cat.build_catalog(context(spark, sf_dir).interactions)
+    return context(spark, sf_dir).catalog
 
 
 @query("catalog_build", sql=f"{CATALOG_SQL} select * from cat")
 def q_catalog_build(spark, sf_dir):
-    return _catalog(spark, sf_dir)
+    return cat.build_catalog(context(spark, sf_dir).interactions)
+
+
+@query("catalog_build_short", sql=f"""with {UI_CTES}
+select distinct substr(track_name, 1, 6) as track_name, substr(artist_name, 1, 6) as artist_name,
+       substr(album_name, 1, 6) as album_name, track_uri from ui""")
+def q_catalog_build_short(spark, sf_dir):
+    """The same with a cut that names reach."""
+    return cat.build_catalog(context(spark, sf_dir).interactions, max_len=6)
 
 
 @query("catalog_roundtrip", sql=f"{CATALOG_SQL} select * from cat")
@@ -161,6 +169,17 @@ def q_catalog_page_sql(spark, sf_dir):
     return cat.catalog_page_sql(spark, PAGE_OFFSET, view=view)
 
 
+@query("catalog_page_keyset", sql=f"""{CATALOG_SQL}
+select * from cat order by track_uri, track_name, artist_name, album_name
+limit 100 offset {PAGE_OFFSET}""")
+def q_catalog_page_keyset(spark, sf_dir):
+    """The page after the last row of the pages before it."""
+    catalog = _catalog(spark, sf_dir)
+    last = cat.catalog_page(catalog, PAGE_OFFSET - 1, 1).first()
+    return cat.catalog_page_after(catalog, (last["track_uri"], last["track_name"], last["artist_name"],
+                                            last["album_name"]))
+
+
 @query("track_by_uri", sql=f"""{CATALOG_SQL}
 select * from cat where track_uri = '{POINT_URI}'
 order by track_uri, track_name, artist_name, album_name limit 1""")
@@ -269,15 +288,17 @@ def q_user_vectors(spark, sf_dir):
     return s.select("playlist_id", "s.n_items", "s.min_id", "s.max_id", "s.sum_id", "s.sum_values")
 
 
-@query("pivot_matrix", sql="""with piv as (
-  pivot (select o.o_custkey as playlist_id, p.p_brand as artist_name, 1 as rating
-         from lineitem l join orders o on l.l_orderkey = o.o_orderkey
-                         join part p on l.l_partkey = p.p_partkey)
-  on artist_name using max(rating) group by playlist_id)
-select playlist_id, coalesce(columns(* exclude (playlist_id)), 0) from piv""")
+# Fixed: the brands of the test tables.
+BRANDS = [f"Brand#{i}" for i in range(1, 26)]
+PIVOT_SQL = ", ".join(f"""coalesce(max(case when p_brand = '{b}' then 1 end), 0) as "{b}\"""" for b in BRANDS)
+
+
+@query("pivot_matrix", sql=f"""select o.o_custkey as playlist_id, {PIVOT_SQL}
+from lineitem l join orders o on l.l_orderkey = o.o_orderkey join part p on l.l_partkey = p.p_partkey
+group by o.o_custkey""")
 def q_pivot_matrix(spark, sf_dir):
     ui = context(spark, sf_dir).interactions
-    return vec.pivot_matrix(ui, item_col="artist_name", assemble=False)
+    return vec.pivot_matrix(ui, BRANDS, item_col="artist_name", assemble=False)
 
 
 @query("item_universe", sql=f"""with {UI_CTES}
@@ -357,16 +378,23 @@ ranked as (select basket_id, playlist_id, d2,
                   row_number() over (partition by basket_id order by d2, playlist_id) as rn
            from allp)
 select basket_id, playlist_id as neighbor_id, round(sqrt(d2), 6) as distance, cast(rn as int) as rank
-from ranked where rn = 1"""
+from ranked where rn <= {{k}}"""
 
 
-@query("knn_exact", sql=KNN_SQL)
+@query("knn_exact", sql=KNN_SQL.format(k=1))
 def q_knn_exact(spark, sf_dir):
     ctx = context(spark, sf_dir)
     items = idx.encode(tv.order_baskets(spark, sf_dir), ctx.index).select("basket_id", "track_uri_index")
     return nb.knn_exact(items, ctx.pairs, k=1, existing_distinct=True)
 
 
+@query("knn_top3", sql=KNN_SQL.format(k=3))
+def q_knn_top3(spark, sf_dir):
+    ctx = context(spark, sf_dir)
+    items = idx.encode(tv.order_baskets(spark, sf_dir), ctx.index).select("basket_id", "track_uri_index")
+    return nb.knn_exact(items, ctx.pairs, k=3, existing_distinct=True)
+
+
 @query("als_factors")
 def q_als_factors(spark, sf_dir):
     return fac.factors(context(spark, sf_dir).model, "user")
@@ -379,26 +407,18 @@ def q_als_roundtrip(spark, sf_dir):
     return mdl.load_als(path).itemFactors
 
 
-def _history_vectors(ctx):
-    return ctx.history_vectors
-
-
-def _lsh(ctx):
-    return ctx.history_lsh
-
-
 @query("lsh_hashes")
 def q_lsh_hashes(spark, sf_dir):
     ctx = context(spark, sf_dir)
-    return nb.hash_values(_lsh(ctx), _history_vectors(ctx))
+    return nb.hash_values(ctx.lsh, ctx.vectors)
 
 
 @query("lsh_roundtrip")
 def q_lsh_roundtrip(spark, sf_dir):
     ctx = context(spark, sf_dir)
     path = scratch_path(spark, "lsh")
-    mdl.save_model(_lsh(ctx), path)
-    return nb.hash_values(mdl.load_lsh(path), _history_vectors(ctx))
+    mdl.save_model(ctx.lsh, path)
+    return nb.hash_values(mdl.load_lsh(path), ctx.vectors)
 
 
 @query("ann_single")
@@ -417,7 +437,7 @@ def q_ann_single(spark, sf_dir):
     if key is None:  # no known item at all: only the exact path applies
         return nb.knn_exact(items, ctx.history_pairs, 1).select(
             "neighbor_id", "distance", F.lit("exact").alias("method"))
-    return nb.ann_with_fallback(_lsh(ctx), _history_vectors(ctx), key["features"], items,
+    return nb.ann_with_fallback(ctx.history_lsh, ctx.history_vectors, key["features"], items,
                                 ctx.history_pairs, k=1)
 
 
@@ -428,8 +448,8 @@ def _by_id(ctx):
 @query("recommend_known")
 def q_recommend_known(spark, sf_dir):
     ctx = context(spark, sf_dir)
-    users = ctx.history_pairs.select("playlist_id").distinct()
-    return rec.recommend_known(ctx.history_model, users, rec.RECS_TRAINING, _by_id(ctx))
+    users = ctx.pairs.select("playlist_id").distinct()
+    return rec.recommend_known(ctx.model, users, rec.RECS_TRAINING, cat.catalog_by_id(ctx.interactions))
 
 
 @query("recommend_new")
@@ -442,7 +462,7 @@ def q_recommend_new(spark, sf_dir):
 
 def _recommend_all(spark, sf_dir):
     ctx = context(spark, sf_dir)
-    baskets = tv.customer_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF)
+    baskets = tv.incoming_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF)
     return baskets, rec.recommend_all(ctx.history_model, baskets, ctx.history_index,
                                       ctx.history_pairs, rec.RECS_TRAINING, _by_id(ctx))
 
@@ -450,7 +470,8 @@ def _recommend_all(spark, sf_dir):
 ROUTE_SQL = f"""with {HISTORY_CTES},
 hist as (select distinct playlist_id, track_uri from hist_raw),
 users as (select distinct playlist_id from hist),
-inc as (select distinct playlist_id as basket_id, track_uri from incoming_raw),
+inc as (select distinct playlist_id as basket_id, track_uri from incoming_raw
+        union select distinct basket_id, track_uri from incoming_orders),
 known as (select distinct basket_id from inc where basket_id in (select playlist_id from users)),
 newb as (select * from inc where basket_id not in (select playlist_id from users)),
 bk as (select basket_id, track_uri from newb where track_uri in (select track_uri from hist)),
@@ -477,7 +498,7 @@ select basket_id, 'neighbour' as method, playlist_id as neighbor_id,
 def q_recommend_route(spark, sf_dir):
     """The routing of recommend_all: which playlist answers each incoming one."""
     ctx = context(spark, sf_dir)
-    baskets = tv.customer_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF)
+    baskets = tv.incoming_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF)
     route = rec.route_baskets(baskets, ctx.history_index, ctx.history_pairs)
     return route.drop("_src")
 
@@ -494,10 +515,17 @@ def q_recommend_enriched(spark, sf_dir):
     return rec.enrich(recs, cat.build_catalog(ctx.history))
 
 
+def _requests(spark, sf_dir):
+    """The requests of the orders after the history."""
+    return tv.basket_requests(spark, sf_dir).join(
+        tv.order_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF).select("basket_id").distinct(),
+        "basket_id", "left_semi")
+
+
 @query("recommend_envelope")
 def q_recommend_envelope(spark, sf_dir):
     ctx = context(spark, sf_dir)
-    baskets = tv.order_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF)
+    baskets = txt.explode_uri_list(_requests(spark, sf_dir))
     recs = rec.recommend_new(ctx.history_model, baskets, ctx.history_index, ctx.history_pairs,
                              rec.RECS_JOB, _by_id(ctx))
     return rec.envelope(recs, baskets).select("basket_id", "envelope", "uri_list")
@@ -512,10 +540,7 @@ def q_recommend_stream(spark, sf_dir):
     (available-now trigger); returns the envelopes it wrote."""
     ctx = context(spark, sf_dir)
     root = scratch_path(spark, "stream")
-    requests = tv.basket_requests(spark, sf_dir).join(
-        tv.order_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF).select("basket_id").distinct(),
-        "basket_id", "left_semi")
-    stream_baskets.write_requests(requests, f"{root}/in")
+    stream_baskets.write_requests(_requests(spark, sf_dir), f"{root}/in")
     q = stream_baskets.start(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt",
                              ctx.history_model, ctx.history_index, ctx.history_pairs, _by_id(ctx))
     q.awaitTermination()

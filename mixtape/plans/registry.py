@@ -25,10 +25,10 @@ def query(name: str, sql: str | None = None):
 
 
 def queries() -> dict[str, QueryFn]:
-    from mixtape.plans import queries as _  # noqa: F401  (registers on import)
+    from mixtape.plans import checks as _  # noqa: F401  (registers on import, and queries with it)
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    from mixtape.plans import queries as _  # noqa: F401
+    from mixtape.plans import checks as _  # noqa: F401
     return dict(_ORACLE)

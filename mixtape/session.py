@@ -1,10 +1,9 @@
 """Session construction and shared-storage helpers.
 
-Lineage is cut with ``DataFrame.checkpoint()`` (reliable, written to the
-folder named by ``spark.checkpoint.dir``) and intermediate artefacts are
-written under the same folder. On a cluster that folder must already be
-configured (a shared file system / object store); only a local master may
-fall back to a fresh temporary folder.
+Intermediate tables are written under the folder named by
+``spark.checkpoint.dir``, which cuts lineage and survives lost executors. On a
+cluster that folder must already be configured (a shared file system / object
+store); only a local master may fall back to a fresh temporary folder.
 """
 
 from __future__ import annotations
@@ -12,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -47,7 +47,8 @@ def get_session(master: str | None = None, app: str = "mixtape",
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -75,7 +76,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for written artefacts."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/mixtape-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/mixtape-scratch/{name}-{uuid.uuid4().hex[:12]}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch paths made inside are released at the end: for results that are written
+    elsewhere before the scope closes."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -86,27 +106,10 @@ def default_master() -> str:
     return f"local[{os.environ.get('BENCH_CPUS', '8')}]"
 
 
-def spread(df, *keys: str):
-    """Hash-repartition an under-split scan so the stages after it run in parallel.
-
-    Data stored as a few files / row groups scans as a few tasks, and everything
-    pipelined after the scan (joins, partial aggregation) inherits that. Only
-    when the scan has fewer partitions than the cluster's default parallelism is
-    it spread (by ``keys`` when given); a large input never pays for this.
-    """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target, *keys) if keys else df.repartition(target)
-
-
-def stage(df, name: str, *spread_keys: str):
+def stage(df, name: str):
     """Write ``df`` once as Parquet under the shared checkpoint folder and return a
     scan of it: cuts lineage, survives executor loss, and gives the planner the
-    table's real size. For inputs that a plan reads several times. A small
-    result is spread again by ``spread_keys`` (see ``spread``)."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
+    table's real size. For inputs that a plan reads several times."""
+    path = scratch_path(df.sparkSession, name)
     df.write.mode("errorifexists").parquet(path)
-    out = spark.read.parquet(path)
-    return spread(out, *spread_keys) if spread_keys else out
+    return df.sparkSession.read.parquet(path)

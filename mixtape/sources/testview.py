@@ -4,18 +4,20 @@ playlist = ``orders.o_custkey``; track = ``'part:' || part.p_partkey``;
 track / artist / album name = ``p_name`` / ``p_brand`` / ``p_type``.
 Every line item is one (playlist, track) event, so a pair may repeat.
 Incoming batches are split by ``o_orderdate`` (history before a cutoff,
-new rows on or after it); both sides together are the whole table.
+new rows on or after it); both sides together are the whole table, and the
+history is the larger one.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mixtape.session import spread
-
 # Fixed split dates used by the registered queries.
-INDEX_CUTOFF = "1995-04-01"      # first dictionary built from orders before it
-HISTORY_CUTOFF = "1996-01-01"    # model trained on orders before it
+INDEX_CUTOFF = "1999-01-01"      # first dictionary built from orders before it
+HISTORY_CUTOFF = "2000-07-01"    # model trained on orders before it
+
+# Incoming orders are new baskets: their ids lie in a range of their own.
+ORDER_BASKET = 1_000_000_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,7 +25,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey"), "l_orderkey")
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
 
 
 def track_uri(partkey_col) -> "F.Column":
@@ -68,8 +70,18 @@ def order_baskets(spark: SparkSession, sf_dir: str, since: str | None = None,
 def customer_baskets(spark: SparkSession, sf_dir: str, since: str | None = None,
                      until: str | None = None) -> DataFrame:
     """Incoming playlists of a batch: (basket_id = playlist_id, track_uri), distinct."""
-    rows = playlist_tracks(spark, sf_dir, since, until)
-    return rows.select(F.col("playlist_id").alias("basket_id"), "track_uri").distinct()
+    li, orders = lineitem(spark, sf_dir), _orders(spark, sf_dir, since, until)
+    return (li.join(orders, li.l_orderkey == orders.o_orderkey)
+            .select(F.col("o_custkey").alias("basket_id"), track_uri(F.col("l_partkey")).alias("track_uri"))
+            .distinct())
+
+
+def incoming_baskets(spark: SparkSession, sf_dir: str, since: str) -> DataFrame:
+    """What arrives after the history: the playlists that change, under their ids, and
+    every order as a basket of its own under a new id."""
+    orders = order_baskets(spark, sf_dir, since=since)
+    return customer_baskets(spark, sf_dir, since=since).unionByName(
+        orders.withColumn("basket_id", F.col("basket_id") + ORDER_BASKET))
 
 
 def basket_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

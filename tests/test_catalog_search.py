@@ -1,6 +1,8 @@
 """Catalog build/page/lookups, search semantics, text rows, URI lists
 (C8, L1, F3-F8, X1, X4-X7, Q12, Q17-Q20)."""
 
+from pyspark.sql import functions as F
+
 from mixtape.functions import text as txt
 from mixtape.operators import catalog as cat
 from mixtape.operators import search
@@ -64,6 +66,12 @@ def test_tiered_search_hit_and_fallback(spark):
     assert none.count() == 0
 
 
+def test_a_hit_in_the_first_tier_does_not_read_the_second(spark):
+    hot = _catalog(spark).limit(2)
+    full = _catalog(spark).withColumn("track_name", F.raise_error(F.lit("read")).cast("string"))
+    assert [r.track_uri for r in search.track_search_tiered(hot, full, track_name="pure").collect()] == ["u:2"]
+
+
 def test_text_rows_roundtrip_with_comma_in_name(spark):
     c = cat.with_text(_catalog(spark))
     texts = {r.track_uri: r.text for r in c.collect()}

@@ -5,27 +5,16 @@ import random
 
 import pytest
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import functions as F
 
 from mixtape.operators import neighbors as nb
 from mixtape.operators import vectors as vec
 
 
-def _brute(baskets, users, k, metric):
+def _brute(baskets, users, k):
     out = {}
     for b, items in baskets.items():
         a = set(i for i in items if i is not None)
-        scored = []
-        for u, us in users.items():
-            o = len(a & us)
-            if metric == "euclidean":
-                d = math.sqrt(len(a) + len(us) - 2 * o)
-            elif metric == "jaccard":
-                un = len(a) + len(us) - o
-                d = 1 - o / un if un else 1.0
-            else:
-                d = 1 - o / math.sqrt(len(a) * len(us)) if a and us else 1.0
-            scored.append((round(d, 6), u))
+        scored = [(round(math.sqrt(len(a) + len(us) - 2 * len(a & us)), 6), u) for u, us in users.items()]
         out[b] = [u for _, u in sorted(scored)[:k]]
     return out
 
@@ -40,22 +29,27 @@ def _fixture(seed, n_users=60, n_items=40, n_baskets=25):
     return users, baskets
 
 
-@pytest.mark.parametrize("metric,k,seed,cand", [("euclidean", 1, 1, "inverted"),
-                                               ("euclidean", 3, 2, "inverted"),
-                                               ("euclidean", 1, 5, "prefix"),
-                                               ("euclidean", 3, 6, "prefix"),
-                                               ("euclidean", 2, 7, "auto"),
-                                               ("jaccard", 2, 3, "auto"), ("cosine", 2, 4, "auto")])
-def test_knn_exact_equals_brute_force(spark, metric, k, seed, cand):
-    users, baskets = _fixture(seed)
+def _knn(spark, users, baskets, k):
     ex = spark.createDataFrame([(u, i) for u, s in users.items() for i in s],
                                "playlist_id bigint, track_uri_index int")
     bk = spark.createDataFrame([(b, i) for b, s in baskets.items() for i in s],
                                "basket_id bigint, track_uri_index int")
     got = {}
-    for r in nb.knn_exact(bk, ex, k=k, metric=metric, candidates=cand).orderBy("basket_id", "rank").collect():
+    for r in nb.knn_exact(bk, ex, k=k).orderBy("basket_id", "rank").collect():
         got.setdefault(r.basket_id, []).append(r.neighbor_id)
-    assert got == _brute(baskets, users, k, metric)
+    return got
+
+
+@pytest.mark.parametrize("k,seed", [(1, 1), (3, 2), (1, 5), (3, 6), (2, 7)])
+def test_knn_exact_equals_brute_force(spark, k, seed):
+    users, baskets = _fixture(seed)
+    assert _knn(spark, users, baskets, k) == _brute(baskets, users, k)
+
+
+def test_knn_with_fewer_users_than_k(spark):
+    users = {1: {1, 2, 3}, 2: {9}, 3: set(range(20, 60))}
+    baskets = {100: [1, 2], 101: [77], 102: list(range(20, 50))}
+    assert _knn(spark, users, baskets, 5) == _brute(baskets, users, 5)
 
 
 def test_knn_exclude_same_id(spark):
@@ -84,7 +78,16 @@ def test_lsh_distance_is_euclidean_and_fallback(spark):
     items = spark.createDataFrame([(0, 11)], "basket_id bigint, track_uri_index int")
     out = nb.ann_with_fallback(tiny, vectors, far, items, pairs, k=1).collect()
     assert [(r.neighbor_id, r.method) for r in out] == [(4, "exact")]
-    assert F
+
+
+def test_exact_search_is_not_built_when_lsh_answers(spark, monkeypatch):
+    pairs = spark.createDataFrame([(1, 1), (1, 2), (2, 2)], "playlist_id bigint, track_uri_index int")
+    vectors = vec.sparse_vectors(pairs, 5)
+    model = nb.fit_lsh(vectors, bucket_length=100.0, num_tables=20, seed=1)
+    monkeypatch.setattr(nb, "knn_exact", None)
+    items = spark.createDataFrame([(0, 1), (0, 2)], "basket_id bigint, track_uri_index int")
+    out = nb.ann_with_fallback(model, vectors, Vectors.sparse(5, [1, 2], [1.0, 1.0]), items, pairs, k=1).collect()
+    assert [(r.neighbor_id, r.distance, r.method) for r in out] == [(1, 0.0, "lsh")]
 
 
 def test_prefix_with_one_very_popular_item(spark):
@@ -93,15 +96,8 @@ def test_prefix_with_one_very_popular_item(spark):
     users = {u: set(rnd.sample(range(2, 60), rnd.randint(1, 8))) | ({1} if u % 3 == 0 else set())
              for u in range(90)}
     baskets = {500 + b: [1] + rnd.sample(range(2, 60), rnd.randint(0, 4)) for b in range(30)}
-    ex = spark.createDataFrame([(u, i) for u, s in users.items() for i in s],
-                               "playlist_id bigint, track_uri_index int")
-    bk = spark.createDataFrame([(b, i) for b, s in baskets.items() for i in s],
-                               "basket_id bigint, track_uri_index int")
     for k in (1, 3):
-        got = {}
-        for r in nb.knn_exact(bk, ex, k=k, candidates="prefix").orderBy("basket_id", "rank").collect():
-            got.setdefault(r.basket_id, []).append(r.neighbor_id)
-        assert got == _brute(baskets, users, k, "euclidean")
+        assert _knn(spark, users, baskets, k) == _brute(baskets, users, k)
 
 
 def test_dense_ann_distances_are_exact(spark, sf_smoke):

@@ -8,10 +8,11 @@ from mixtape.plans import registry
 
 # ALS's own blockwise top-k (recommendForUserSubset) crosses factor blocks
 # internally; the queries built on it are checked for the rest by their tests.
-ALS_TOPK = {"recommend_known", "recommend_new", "recommend_all", "recommend_enriched",
-            "recommend_envelope", "recommend_stream"}
+ALS_TOPK = {"recommend_known", "recommend_new", "recommend_all", "recommend_enriched", "recommend_envelope",
+            "recommend_stream", "check_recommend_known", "check_recommend_new", "check_recommend_all",
+            "check_exclude_seen", "check_recommend_enriched", "check_recommend_envelope", "check_recommend_stream"}
 # queries that build sparse vectors with the Arrow pandas UDF
-ARROW_UDF = {"user_vectors", "lsh_hashes", "lsh_roundtrip", "ann_single"}
+ARROW_UDF = {"user_vectors"}
 
 
 def _plan(df) -> str:

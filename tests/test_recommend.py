@@ -22,7 +22,7 @@ def world(spark, sf_smoke):
     index = idx.build_index(rows)
     ui = inter.interactions(rows, index).cache()
     pairs = inter.user_items(ui).cache()
-    model = fac.fit_als(pairs, seed=42, num_blocks=2)
+    model = fac.fit_als(pairs, seed=42)
     return {"rows": rows, "index": index, "ui": ui, "pairs": pairs, "model": model,
             "by_id": cat.catalog_by_id(ui).cache()}
 
@@ -46,8 +46,8 @@ def test_topk_invariants(spark, world):
 
 def test_same_seed_same_result_and_persistence(spark, world):
     pairs = world["pairs"]
-    a = fac.fit_als(pairs, seed=42, num_blocks=2).userFactors.orderBy("id").collect()
-    b = fac.fit_als(pairs, seed=42, num_blocks=2).userFactors.orderBy("id").collect()
+    a = fac.fit_als(pairs, seed=42).userFactors.orderBy("id").collect()
+    b = fac.fit_als(pairs, seed=42).userFactors.orderBy("id").collect()
     assert [r.features for r in a] == [r.features for r in b]
     path = scratch_path(spark, "t-als")
     mdl.save_model(world["model"], path)
@@ -88,6 +88,12 @@ def test_exclude_seen_and_envelope(spark, world):
     env = rec.envelope(plain, baskets).collect()[0]
     doc = json.loads(env.envelope)
     assert doc["input_tracks"] == sorted(uris) and len(doc["recommendations"]) == 10
+    # a request keeps its order and repeats; without recommendations its list is empty
+    asked = spark.createDataFrame([(77, 0, "z"), (77, 1, uris[0]), (77, 2, "z"), (78, 0, "q")],
+                                  "basket_id bigint, pos int, track_uri string")
+    docs = {r.basket_id: json.loads(r.envelope) for r in rec.envelope(plain, asked).collect()}
+    assert docs[77]["input_tracks"] == ["z", uris[0], "z"] and len(docs[77]["recommendations"]) == 10
+    assert docs[78] == {"recommendations": [], "input_tracks": ["q"]}
     enriched = rec.enrich(plain, cat.build_catalog(ui)).toPandas()
     assert set(enriched.track_uri) == set(plain.toPandas().track_uri)
 
@@ -107,3 +113,84 @@ def test_stream_equals_batch(spark, world):
     want = {(r.basket_id, r.envelope) for r in sb.recommend_batch(
         req, world["model"], world["index"], world["pairs"], world["by_id"], k=4).collect()}
     assert got == want and len(got) == 2
+
+
+def test_exclude_seen_covers_what_a_known_playlist_holds(spark, world):
+    pairs, ui = world["pairs"], world["ui"]
+    user = pairs.groupBy("playlist_id").count().orderBy(F.desc("count"), "playlist_id").first()[0]
+    baskets = spark.createDataFrame([(user, "part:1"), (10**9, "part:1"), (10**9, "part:2")],
+                                    "basket_id bigint, track_uri string")
+    out = rec.recommend_all(world["model"], baskets, world["index"], pairs, 5, world["by_id"], exclude_seen=True).collect()
+    held = {r.track_uri for r in ui.where(F.col("playlist_id") == user).collect()}
+    mine = [r for r in out if r.basket_id == user]
+    assert sorted(r["rank"] for r in mine) == [1, 2, 3, 4, 5] and not {r.track_uri for r in mine} & (held | {"part:1"})
+    new = [r for r in out if r.basket_id == 10**9]
+    assert sorted(r["rank"] for r in new) == [1, 2, 3, 4, 5] and not {r.track_uri for r in new} & {"part:1", "part:2"}
+
+
+def test_a_playlist_that_answers_most_baskets_is_not_one_partition(spark, world):
+    users = [r.id for r in world["model"].userFactors.orderBy("id").collect()]
+    n = 4000
+    route = spark.range(n).select(
+        F.col("id").alias("basket_id"), F.lit("neighbour").alias("method"),
+        F.when(F.col("id") % 10 != 0, F.lit(users[0])).otherwise(
+            F.element_at(F.array(*[F.lit(u) for u in users[1:40]]), (F.col("id") / 10 % 39).cast("int") + 1))
+        .cast("bigint").alias("neighbor_id"), F.lit(1.0).alias("distance")).withColumn("_src", F.col("neighbor_id"))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled",
+                                           "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        spark.conf.set("spark.sql.adaptive.enabled", False)
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        recs = rec._answer(world["model"], route, 5, "basket_id", "playlist_id", None)
+        sizes = [r[1] for r in recs.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 5 * n and max(sizes) <= 2 * 5 * n / 4
+    own = rec.recommend_known(world["model"], spark.createDataFrame([(users[0],)], "playlist_id bigint"), 5)
+    assert {r.track_uri_index for r in own.collect()} == {
+        r.track_uri_index for r in recs.where(F.col("neighbor_id") == users[0]).select("track_uri_index").distinct().collect()}
+
+
+FIT = """
+import sys, tempfile
+from mixtape.session import get_session
+from mixtape.operators import factors as fac
+spark = get_session(sys.argv[1], shuffle_partitions=4, conf={"spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "2g", "spark.checkpoint.dir": tempfile.mkdtemp()})
+pairs = spark.read.parquet(sys.argv[2])
+model = fac.fit_als(pairs, seed=42)
+rows = fac.top_k(model, pairs.select("playlist_id").distinct(), 5, "playlist_id").collect()
+print("ROWS", sorted((r.playlist_id, r["rank"], r.track_uri_index) for r in rows))
+"""
+
+
+def test_recommendations_do_not_depend_on_the_number_of_cores(world, tmp_path):
+    import os
+    import subprocess
+    import sys
+    path = str(tmp_path / "pairs")
+    world["pairs"].coalesce(3).write.parquet(path)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = [subprocess.run([sys.executable, "-c", FIT, master, path], capture_output=True, text=True, cwd=root, timeout=300,
+                          env=os.environ | {"PYTHONPATH": root}).stdout.split("ROWS")[-1] for master in ("local[2]", "local[4]")]
+    assert len(out[0]) > 1000 and out[0] == out[1]
+
+
+def test_stream_batches_release_what_they_store(spark, world):
+    import os
+    from mixtape.session import ensure_checkpoint_dir
+    from mixtape.streaming import baskets as sb
+    uris = [r.track_uri for r in world["ui"].select("track_uri").distinct().orderBy("track_uri").limit(3).collect()]
+    root = scratch_path(spark, "t-stream-release")
+    for i in range(3):
+        sb.write_requests(spark.createDataFrame([(i, ",".join(uris))], "basket_id bigint, uri_list string").coalesce(1),
+                          f"{root}/in")
+    scratch = ensure_checkpoint_dir(spark).removeprefix("file:") + "/mixtape-scratch"
+    before = set(os.listdir(scratch))
+    q = sb.start(spark, f"{root}/in", f"{root}/out", f"{root}/ckpt", world["model"], world["index"],
+                 world["pairs"], world["by_id"], k=2, max_files_per_trigger=1)
+    q.awaitTermination()
+    assert set(os.listdir(scratch)) - before <= {os.path.basename(root)}
+    assert spark.read.parquet(f"{root}/out").count() == 3

@@ -27,20 +27,34 @@ def test_pivot_equals_densified_sparse_vectors(spark):
     assert dense == sparse
 
 
-def test_pivot_with_reference_universe_backfills_zero_columns(spark):
-    ref = vec.pivot_matrix(_ui(spark), values=[1, 2, 3, 4], assemble=True)
-    small = spark.createDataFrame([(9, 2, 1)], "playlist_id bigint, track_uri_index int, rating int")
-    out = vec.pivot_matrix(small, reference=ref)
+def test_pivot_to_the_columns_of_another_matrix(spark):
+    small = spark.createDataFrame([(9, 2, 1), (9, 2, 3), (8, 7, 1)], "playlist_id bigint, track_uri_index int, rating int")
+    out = vec.pivot_matrix(small, [1, 2, 3, 4])
     assert out.columns == ["playlist_id", "1", "2", "3", "4", "features"]
-    row = out.collect()[0]
-    assert (row["1"], row["2"], row["3"], row["4"]) == (0, 1, 0, 0)
+    rows = {r.playlist_id: (r["1"], r["2"], r["3"], r["4"]) for r in out.collect()}
+    assert rows == {9: (0, 3, 0, 0), 8: (0, 0, 0, 0)}
 
 
-def test_pivot_width_guard(spark):
+def test_pivot_values_follow_the_engines_limit(spark):
     many = spark.range(50).select(F.lit(1).cast("bigint").alias("playlist_id"),
                                   F.col("id").cast("int").alias("track_uri_index"), F.lit(1).alias("rating"))
-    with pytest.raises(ValueError):
-        vec.pivot_matrix(many, max_width=10)
+    assert len(vec.pivot_matrix(many, assemble=False).columns) == 51
+    old = spark.conf.get("spark.sql.pivotMaxValues")
+    try:
+        spark.conf.set("spark.sql.pivotMaxValues", 10)
+        with pytest.raises(ValueError):
+            vec.pivot_matrix(many)
+        assert len(vec.pivot_matrix(many, list(range(50)), assemble=False).columns) == 51
+    finally:
+        spark.conf.set("spark.sql.pivotMaxValues", old)
+
+
+def test_summary_of_dense_and_sparse_vectors(spark):
+    from pyspark.ml.linalg import Vectors
+    rows = [(1, Vectors.dense([0.0, 2.0, 0.0, 1.0, 0.0])), (2, Vectors.dense([0.0] * 5)), (3, Vectors.sparse(9, [4], [3.0]))]
+    df = spark.createDataFrame(rows, ["k", "v"]).select("k", vec.vector_summary("v").alias("s"))
+    got = {r.k: tuple(r.s) for r in df.collect()}
+    assert got == {1: (2, 1, 3, 4, 3.0, 5), 2: (0, None, None, 0, 0.0, 5), 3: (1, 4, 4, 4, 3.0, 9)}
 
 
 def test_arrays_and_out_of_range(spark):
