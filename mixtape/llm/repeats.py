@@ -12,8 +12,8 @@ equal anchor grams, and only runs whose gram is in two documents can match.
 2. Batches send their shared runs (equal ones once, under their smallest id) to
    shards by gram. A shard sorts the suffixes of its distinct runs by induced
    sorting, finds equal windows from the permuted common prefixes, and knows the
-   smallest document of each window. A gram with a single run has nothing to
-   sort against. Grams in more than ``HOT`` documents are dealt by the windows'
+   smallest document of each window. A run that differs from all others of its
+   gram too near the gram to share a window has nothing to sort against. Grams in more than ``HOT`` documents are dealt by the windows'
    common core as well, so that one frequent line isn't one shard's.
 3. The windows that are in a smaller document go back to the batches, which cut
    the bytes.
@@ -41,6 +41,8 @@ LENGTH = 50
 GRAM = 16
 #: Text bytes of a batch, about.
 BATCH = 16 << 20
+#: Shards per batch: what a shard sorts takes some fifty bytes of memory a byte.
+SHARDS = 2
 #: Documents of a gram beyond which its windows are dealt on their own, in this many parts.
 HOT = 500_000
 HOT_PARTS = 4
@@ -244,11 +246,11 @@ def _send_runs(buckets: int, shards: int, length: int):
             ids = _ids(docs)
             for at, texts, runs, part, low, high, key, content in _shared_parts(docs, Shared(lists, buckets), length):
                 size = high + length - low
-                cut = np.concatenate([[0], np.cumsum(size)])
-                rows.append((key, content, ids[at + runs.text[part]], texts.data[gather(low, size)], size, cut))
+                rows.append((key, content, ids[at + runs.text[part]], texts.data[gather(low, size)], size,
+                             runs.anchor[part] - low))
         if not rows:
             return SENT.empty_table()
-        key, content, doc, size = (np.concatenate([r[i] for r in rows]) for i in (0, 1, 2, 4))
+        key, content, doc, size, anchor = (np.concatenate([r[i] for r in rows]) for i in (0, 1, 2, 4, 5))
         data = np.concatenate([r[3] for r in rows])
         # of equal runs in the batch, the one of the smallest document
         order = np.lexsort((doc, content, key))
@@ -262,28 +264,54 @@ def _send_runs(buckets: int, shards: int, length: int):
         return pa.table([
             pa.array((key[pick] % U64(shards)).astype(np.int32)), pa.array(np.full(len(pick), batch, np.int32)),
             pa.array(key[pick].view(np.int64)), pa.array(content[pick].view(np.int64)), pa.array(doc[pick]),
+            pa.array(anchor[pick].astype(np.int32)),
             pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(pick), [
                 None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(text)]).cast(pa.binary())], schema=SENT)
     return run
 
 
 SENT = pa.schema([("_shard", pa.int32()), ("_batch", pa.int32()), ("_key", pa.int64()), ("_content", pa.int64()),
-                  ("_doc", pa.int64()), ("_text", pa.binary())])
-
-
-def smallest_documents(data: np.ndarray, start: np.ndarray, size: np.ndarray, doc: np.ndarray, group: np.ndarray,
-                       length: int) -> np.ndarray:
+                  ("_doc", pa.int64()), ("_anchor", pa.int32()), ("_text", pa.binary())])
+
+
+#: Ranges of the bytes that a window has to the left of its gram, to look for partners.
+REACH = 6
+
+
+def with_partner(data: np.ndarray, start: np.ndarray, size: np.ndarray, anchor: np.ndarray, group: np.ndarray,
+                 length: int) -> np.ndarray:
+    """Which strings can share a window with another of their group. A shared window holds
+    the anchor gram and ``length - GRAM`` bytes more, so many of them to the left and the
+    rest to the right; for each of ``REACH`` ranges of the left share, both strings agree
+    in the bytes that all windows of the range have."""
+    more = length - GRAM
+    hasher = Hasher(data)
+    at = start + anchor
+    end = start + size
+    found = np.zeros(len(start), bool)
+    bounds = np.linspace(0, more + 1, REACH + 1).astype(int).tolist()
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        # windows with low .. high - 1 bytes to the left have more - high + 1 to the right
+        left, right = at - low, at + GRAM + more - high + 1
+        inside = np.flatnonzero((left >= start) & (right <= end))
+        key = mix(hasher(left[inside], right[inside]) + U64(low) + group[inside].astype(U64) * BASE)
+        _, which, count = np.unique(key, return_inverse=True, return_counts=True)
+        found[inside[count[which] > 1]] = True
+    return found
+
+
+def smallest_documents(data: np.ndarray, start: np.ndarray, size: np.ndarray, doc: np.ndarray,
+                       partner: np.ndarray, length: int) -> np.ndarray:
     """For each place of ``data`` (strings one after another), the smallest document of the
-    window that starts there; NO_ID where no window does. Strings of one group can match."""
+    window that starts there; NO_ID where no window does."""
     out = np.full(len(data), NO_ID)
-    owner = np.repeat(np.arange(len(size)), size)
-    window = np.arange(len(data)) - start[owner] <= size[owner] - length
-    out[window] = doc[owner[window]]
-    several = np.bincount(group)[group] > 1
-    if not several.any():
+    window = np.zeros(len(data), bool)
+    window[gather(start, size - length + 1)] = True
+    out[window] = np.repeat(doc, size - length + 1)
+    if not partner.any():
         return out
-    # the strings with others to match, sorted by all their suffixes
-    at = gather(start[several], size[several])
+    # the strings that may match others, sorted by all their suffixes
+    at = gather(start[partner], size[partner])
     some, inside = data[at], window[at]
     order = suffix_array(some)
     shared = common_prefixes(some, order, length)[order]
@@ -299,9 +327,10 @@ def smallest_documents(data: np.ndarray, start: np.ndarray, size: np.ndarray, do
 def _sort_shard(length: int):
     """Which windows of the runs that batches sent are in a smaller document."""
     def run(table: pa.Table) -> pa.Table:
-        key, content, doc, batch = (table.column(c).to_numpy() for c in ("_key", "_content", "_doc", "_batch"))
+        key, content, doc, batch, anchor = (
+            table.column(c).to_numpy() for c in ("_key", "_content", "_doc", "_batch", "_anchor"))
         order = np.lexsort((doc, content, key))
-        key, content, doc, batch = key[order], content[order], doc[order], batch[order]
+        key, content, doc, batch, anchor = key[order], content[order], doc[order], batch[order], anchor[order]
         new = np.ones(len(order), bool)
         new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
         head = np.flatnonzero(new)
@@ -310,7 +339,8 @@ def _sort_shard(length: int):
         data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
         start, size = offsets[:-1] - offsets[0], np.diff(offsets)
         group = np.cumsum(np.diff(key[head], prepend=key[head[0]] - 1) != 0) - 1
-        least = smallest_documents(data, start, size, doc[head], group, length)
+        partner = with_partner(data, start, size, anchor[head], group, length)
+        least = smallest_documents(data, start, size, doc[head], partner, length)
         windows = size - length + 1
         at = gather(start, windows)
         cut = np.cumsum(windows) - windows
@@ -430,7 +460,7 @@ def remove(docs: DataFrame, length: int = LENGTH, hot: int = HOT, batch_bytes: i
     shared = grams.groupBy("_bucket").applyInArrow(
         _share(hot), "_batch int, _bucket int, _grams binary, _hot binary")
     sent = texts.groupBy("_batch").cogroup(shared.groupBy("_batch")).applyInArrow(
-        _send_runs(n, n, length), "_shard int, _batch int, _key long, _content long, _doc long, _text binary")
+        _send_runs(n, SHARDS * n, length), "_shard int, _batch int, _key long, _content long, _doc long, _anchor int, _text binary")
     found = sent.groupBy("_shard").applyInArrow(
         _sort_shard(length), "_batch int, _found binary, _from binary, _to binary")
     told = shared.unionByName(found, allowMissingColumns=True)

@@ -18,8 +18,9 @@ import numpy as np
 
 from mixtape.llm.textscan import U64, mix
 
-#: Texts below this length, or that names don't shorten, are sorted by doubling.
-SHORT = 64
+#: Texts of names below this length, or that names don't shorten, are sorted by doubling:
+#: there the overhead per symbol outweighs the linear work.
+SHORT = 50_000
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -69,13 +70,20 @@ def _names(text: np.ndarray, lms: np.ndarray, sorted_lms: np.ndarray) -> np.ndar
     """The rank of each LMS substring (in text order); equal substrings share it."""
     n = len(text)
     end = np.minimum(np.append(lms[1:], n - 1), n - 1) + 1
-    value = mix((text + 1).astype(U64) * U64(0x9E3779B97F4A7C15))
+    # a polynomial hash of each substring; neighbours share the symbol at their border
+    size = end - lms
     base = U64(0xD6E8FEB86659FD93)
-    powers = np.cumprod(np.concatenate([[U64(1)], np.full(n, base)]))
-    inverse = np.cumprod(np.concatenate([[U64(1)], np.full(n, U64(pow(int(base), -1, 1 << 64)))]))
-    sums = np.concatenate([[U64(0)], np.cumsum(value * powers[:n])])
+    powers = np.cumprod(np.concatenate([[U64(1)], np.full(int(size.max()), base)]))
+    symbol = mix(np.arange(1, int(text.max()) + 2, dtype=U64) * U64(0x9E3779B97F4A7C15))
+    inner = np.diff(np.append(lms, n))
+    place = np.arange(n - lms[0], dtype=np.int32) - np.repeat((lms - lms[0]).astype(np.int32), inner)
+    weighed = symbol[text[lms[0]:]]
+    weighed *= powers[np.minimum(place, len(powers) - 1)]
+    print_ = np.add.reduceat(weighed, lms - lms[0])
+    border = size > inner
+    print_[border] += symbol[text[end[border] - 1]] * powers[size[border] - 1]
+    print_ = mix(print_ + size.astype(U64))
     # the last substring ends with the text and is like no other
-    print_ = mix((sums[end] - sums[lms]) * inverse[lms] + (end - lms).astype(U64))
     print_[-1] ^= U64(0xA5A5A5A5)
     slot = np.empty(n, np.int64)
     slot[lms] = np.arange(len(lms))
@@ -99,15 +107,20 @@ def _induce(text: np.ndarray, symbols: int, small: np.ndarray, lms: np.ndarray)
     by_symbol = lms[np.argsort(first, kind="stable")]
     lms_end = np.cumsum(np.bincount(first, minlength=symbols))
     lms_start = lms_end - np.bincount(first, minlength=symbols)
-    key = text.astype(np.uint8 if symbols <= 1 << 8 else np.uint16 if symbols <= 1 << 16 else text.dtype)
+    kind = np.uint8 if symbols < 1 << 8 else np.uint16 if symbols < 1 << 16 else np.int64
+    skip = np.iinfo(kind).max
+    # the symbol before each place (and before the end) where it is of the wanted type
+    before_l, before_s = np.full(n + 1, skip, kind), np.full(n + 1, skip, kind)
+    before_l[1:][~small] = text[~small]
+    before_s[1:][small] = text[small]
 
     def put(sources, head, sign):
         """Places the suffixes before the sources at the heads of their symbols."""
-        target = sources[sources > 0] - 1
-        target = target[small[target] if sign < 0 else ~small[target]]
+        symbol = (before_l if sign > 0 else before_s)[sources]
+        wanted = symbol != skip
+        target, symbol = sources[wanted] - 1, symbol[wanted]
         if not len(target):
             return
-        symbol = key[target]
         order = np.argsort(symbol, kind="stable")
         symbol, target = symbol[order], target[order]
         cut = np.append(np.flatnonzero(symbol[1:] != symbol[:-1]) + 1, len(symbol))
@@ -167,22 +180,23 @@ def common_prefixes(data: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
     """For each place of a byte text, the length that its suffix shares with the suffix
     before it in the array, clipped to ``most``; 0 for the first suffix."""
     n = len(data)
-    before = np.full(n, -1, np.int64)
+    before = np.full(n, -1, sa.dtype)
     before[sa[1:]] = sa[:-1]
     padded = np.concatenate([data.astype(np.uint8), np.zeros(most + 16, np.uint8)])
     # the eight bytes from each place as one number, lowest first
     words = np.ndarray(n + most + 8, "<u8", padded, strides=(1,))
-    out = np.zeros(n, np.int64)
-    left = np.flatnonzero(before >= 0)
-    other = before[left]
-    limit = np.minimum(n - np.maximum(left, other), most)
-    for at in range(0, most, 8):
-        differ = words[left + at] ^ words[other + at]
-        lowest = differ & (~differ + U64(1))
-        run = np.where(differ == 0, 8, (np.frexp(lowest.astype(np.float64))[1] - 1) // 8)
-        out[left] = np.minimum(at + run, limit)
-        go = (run == 8) & (at + 8 < limit)
-        left, other, limit = left[go], other[go], limit[go]
-        if not len(left):
-            break
+    out = np.zeros(n, np.int32)
+    for part in range(0, n, 1 << 19):
+        left = part + np.flatnonzero(before[part:part + (1 << 19)] >= 0)
+        other = before[left].astype(np.int64)
+        limit = np.minimum(n - np.maximum(left, other), most)
+        for at in range(0, most, 8):
+            differ = words[left + at] ^ words[other + at]
+            lowest = differ & (~differ + U64(1))
+            run = np.where(differ == 0, 8, (np.frexp(lowest.astype(np.float64))[1] - 1) // 8)
+            out[left] = np.minimum(at + run, limit)
+            go = (run == 8) & (at + 8 < limit)
+            left, other, limit = left[go], other[go], limit[go]
+            if not len(left):
+                break
     return out
