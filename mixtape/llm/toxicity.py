@@ -184,13 +184,15 @@ def learn(docs: DataFrame, labels: DataFrame, learnable: Column | None = None, m
 
     def count(batches):
         for batch in batches:
-            label, every = batch.column(0).to_numpy(), batch.column(1).to_pylist()
-            if not every:
-                continue
-            seen, which, n = np.unique(np.frombuffer(b"".join(every), np.uint64), return_inverse=True, return_counts=True)
-            hits = np.bincount(which, np.repeat(label, [len(t) // 8 for t in every]), len(seen))
-            yield pa.RecordBatch.from_arrays([pa.array(seen.view(np.int64)), pa.array(n), pa.array(hits.astype(np.int64))],
-                                             names=["term", "n", "hits"])
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                label, every = part.column(0).to_numpy(), part.column(1).to_pylist()
+                seen, which, n = np.unique(np.frombuffer(b"".join(every), np.uint64), return_inverse=True,
+                                           return_counts=True)
+                hits = np.bincount(which, np.repeat(label, [len(t) // 8 for t in every]), len(seen))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(seen.view(np.int64)), pa.array(n), pa.array(hits.astype(np.int64))],
+                    names=["term", "n", "hits"])
 
     size = sample.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("_label"), F.lit(0)).alias("hits")).first()
     counts = (sample.select("_label", "_terms").mapInArrow(count, "term long, n long, hits long")
