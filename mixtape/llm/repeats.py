@@ -40,9 +40,9 @@ from mixtape.llm.textscan import BASE, BYTE_VALUES, SLICE, U64, Hasher, Texts, g
 LENGTH = 50
 GRAM = 16
 #: Text bytes of a batch, about.
-BATCH = 16 << 20
+BATCH = 8 << 20
 #: Shards per batch: what a shard sorts takes some fifty bytes of memory a byte.
-SHARDS = 2
+SHARDS = 1
 #: Documents of a gram beyond which its windows are dealt on their own, in this many parts.
 HOT = 500_000
 HOT_PARTS = 4
@@ -227,7 +227,8 @@ class Shared:
 # --- 2: equal windows ------------------------------------------------------------------
 
 def _shared_parts(table: pa.Table, shared: Shared, length: int):
-    """Of each slice: (first document, texts, runs, run, first window, last window, group key, content hash)."""
+    """Of each slice: (first document, texts, text of each part, anchor, first window, last
+    window, core hash, content hash)."""
     ids = _ids(table)
     for at, texts in in_slices(ids, table.column("_zip").to_pylist()):
         runs = Runs(texts, length)
@@ -236,42 +237,57 @@ def _shared_parts(table: pa.Table, shared: Shared, length: int):
         keep = known[run]
         run, low, high, core = run[keep], low[keep], high[keep], core[keep]
         content = runs.hasher(low, high + length) if len(run) else np.zeros(0, U64)
-        yield at, texts, runs, run, low, high, mix(runs.gram[run] * BASE + core), content
+        yield at, texts, runs.text[run], runs.anchor[run], runs.gram[run], low, high, core, content
 
 
 def _send_runs(buckets: int, shards: int, length: int):
+    """A batch's distinct shared runs, a blob per shard."""
     def run(docs: pa.Table, lists: pa.Table) -> pa.Table:
         rows = []
         if docs.num_rows and lists.num_rows:
             ids = _ids(docs)
-            for at, texts, runs, part, low, high, key, content in _shared_parts(docs, Shared(lists, buckets), length):
+            for at, texts, text, anchor, gram, low, high, core, content in _shared_parts(
+                    docs, Shared(lists, buckets), length):
                 size = high + length - low
-                rows.append((key, content, ids[at + runs.text[part]], texts.data[gather(low, size)], size,
-                             runs.anchor[part] - low))
+                shard = (mix(gram * BASE + core) % U64(shards)).astype(np.int32)
+                rows.append((shard, content, ids[at + text], (anchor - low).astype(np.uint16), size.astype(np.uint16),
+                             texts.data[gather(low, size)]))
         if not rows:
             return SENT.empty_table()
-        key, content, doc, size, anchor = (np.concatenate([r[i] for r in rows]) for i in (0, 1, 2, 4, 5))
-        data = np.concatenate([r[3] for r in rows])
+        shard, content, doc, anchor, size, data = (np.concatenate([r[i] for r in rows]) for i in range(6))
+        del rows
         # of equal runs in the batch, the one of the smallest document
-        order = np.lexsort((doc, content, key))
+        order = np.lexsort((doc, content, shard))
         new = np.ones(len(order), bool)
-        new[1:] = (key[order][1:] != key[order][:-1]) | (content[order][1:] != content[order][:-1])
+        new[1:] = (shard[order][1:] != shard[order][:-1]) | (content[order][1:] != content[order][:-1])
         pick = order[new]
-        start = np.cumsum(size) - size
-        text = data[gather(start[pick], size[pick])]
-        offsets = np.concatenate([[0], np.cumsum(size[pick])])
+        start = np.cumsum(size, dtype=np.int64) - size
+        cut = np.append(np.flatnonzero(np.diff(shard[pick], prepend=-1)), len(pick))
+        pack, blobs = zstandard.ZstdCompressor(level=1), []
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist()):
+            part = pick[a:b]
+            text = data[gather(start[part], size[part].astype(np.int64))]
+            blobs.append(pack.compress(b"".join((np.int64(len(part)).tobytes(), doc[part].tobytes(), anchor[part].tobytes(),
+                                                 size[part].tobytes(), text.tobytes()))))
         batch = docs.column("_batch")[0].as_py()
-        return pa.table([
-            pa.array((key[pick] % U64(shards)).astype(np.int32)), pa.array(np.full(len(pick), batch, np.int32)),
-            pa.array(key[pick].view(np.int64)), pa.array(content[pick].view(np.int64)), pa.array(doc[pick]),
-            pa.array(anchor[pick].astype(np.int32)),
-            pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(pick), [
-                None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(text)]).cast(pa.binary())], schema=SENT)
+        return pa.table([pa.array(shard[pick][cut[:-1]]), pa.array(np.full(len(blobs), batch, np.int32)),
+                         pa.array(blobs, pa.binary())], schema=SENT)
     return run
 
 
-SENT = pa.schema([("_shard", pa.int32()), ("_batch", pa.int32()), ("_key", pa.int64()), ("_content", pa.int64()),
-                  ("_doc", pa.int64()), ("_anchor", pa.int32()), ("_text", pa.binary())])
+SENT = pa.schema([("_shard", pa.int32()), ("_batch", pa.int32()), ("_runs", pa.binary())])
+
+
+def _received(table: pa.Table):
+    """(documents, anchors, sizes, batches, text) of the runs that batches sent to a shard."""
+    unpack, parts = zstandard.ZstdDecompressor(), []
+    for batch, blob in zip(table.column("_batch").to_pylist(), table.column("_runs").to_pylist()):
+        raw = unpack.decompress(blob)
+        n = int(np.frombuffer(raw, np.int64, 1)[0])
+        parts.append((np.frombuffer(raw, np.int64, n, 8), np.frombuffer(raw, np.uint16, n, 8 + 8 * n),
+                      np.frombuffer(raw, np.uint16, n, 8 + 10 * n), np.full(n, batch, np.int32),
+                      np.frombuffer(raw, np.uint8, -1, 8 + 12 * n)))
+    return tuple(np.concatenate([p[i] for p in parts]) for i in range(5))
 
 
 #: Ranges of the bytes that a window has to the left of its gram, to look for partners.
@@ -327,18 +343,21 @@ def smallest_documents(data: np.ndarray, start: np.ndarray, size: np.ndarray, do
 def _sort_shard(length: int):
     """Which windows of the runs that batches sent are in a smaller document."""
     def run(table: pa.Table) -> pa.Table:
-        key, content, doc, batch, anchor = (
-            table.column(c).to_numpy() for c in ("_key", "_content", "_doc", "_batch", "_anchor"))
-        order = np.lexsort((doc, content, key))
-        key, content, doc, batch, anchor = key[order], content[order], doc[order], batch[order], anchor[order]
+        doc, anchor, size, batch, data = _received(table)
+        size = size.astype(np.int64)
+        start = np.cumsum(size) - size
+        hasher = Hasher(data)
+        gram, content = hasher(start + anchor, start + anchor + GRAM), hasher(start, start + size)
+        del hasher
+        order = np.lexsort((doc, content, gram))
+        gram, content, doc, batch, anchor = gram[order], content[order], doc[order], batch[order], anchor[order]
         new = np.ones(len(order), bool)
-        new[1:] = (key[1:] != key[:-1]) | (content[1:] != content[:-1])
+        new[1:] = (gram[1:] != gram[:-1]) | (content[1:] != content[:-1])
         head = np.flatnonzero(new)
-        texts = table.column("_text").combine_chunks().take(pa.array(order[head]))
-        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset:texts.offset + len(texts) + 1].astype(np.int64)
-        data = np.frombuffer(texts.buffers()[2], np.uint8)[offsets[0]:offsets[-1]]
-        start, size = offsets[:-1] - offsets[0], np.diff(offsets)
-        group = np.cumsum(np.diff(key[head], prepend=key[head[0]] - 1) != 0) - 1
+        data = data[gather(start[order[head]], size[order[head]])]
+        size = size[order[head]]
+        start = np.cumsum(size) - size
+        group = np.cumsum(np.diff(gram[head], prepend=gram[head[0]]) != 0)
         partner = with_partner(data, start, size, anchor[head], group, length)
         least = smallest_documents(data, start, size, doc[head], partner, length)
         windows = size - length + 1
@@ -393,14 +412,14 @@ def _cut(buckets: int, length: int, carried: list[str], whole_characters: bool):
         ids = _ids(docs)
         held = list(_shared_parts(docs, shared, length))
         # of equal runs in the batch, all but those of the smallest document are repeats
-        every = np.concatenate([h[7] for h in held])
-        doc = np.concatenate([ids[h[0] + h[2].text[h[3]]] for h in held])
+        every = np.concatenate([h[8] for h in held])
+        doc = np.concatenate([ids[h[0] + h[2]] for h in held])
         _, which = np.unique(every, return_inverse=True)
         least = np.full(which.max() + 1 if len(which) else 0, np.iinfo(np.int64).max)
         np.minimum.at(least, which, doc)
         repeat = least[which] < doc
         out, done = [], 0
-        for at, texts, runs, part, low, high, _, hashes in held:
+        for _, texts, part, _, _, low, high, _, hashes in held:
             change = np.zeros(len(texts.data) + 1, np.int32)
             again = repeat[done:done + len(part)]
             done += len(part)
@@ -460,7 +479,7 @@ def remove(docs: DataFrame, length: int = LENGTH, hot: int = HOT, batch_bytes: i
     shared = grams.groupBy("_bucket").applyInArrow(
         _share(hot), "_batch int, _bucket int, _grams binary, _hot binary")
     sent = texts.groupBy("_batch").cogroup(shared.groupBy("_batch")).applyInArrow(
-        _send_runs(n, SHARDS * n, length), "_shard int, _batch int, _key long, _content long, _doc long, _anchor int, _text binary")
+        _send_runs(n, SHARDS * n, length), "_shard int, _batch int, _runs binary")
     found = sent.groupBy("_shard").applyInArrow(
         _sort_shard(length), "_batch int, _found binary, _from binary, _to binary")
     told = shared.unionByName(found, allowMissingColumns=True)

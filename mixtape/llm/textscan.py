@@ -167,12 +167,12 @@ def gram_starts(words: Words, k: int) -> np.ndarray:
 def gather(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Indexes of the ranges, one after another."""
     total = int(lengths.sum())
+    top = max(total, int((starts + lengths).max()) if len(starts) else 0)
+    kind = np.int32 if top < 1 << 31 else np.int64
     ends = np.cumsum(lengths)
-    return np.repeat(starts - (ends - lengths), lengths) + np.arange(total)
-
-
-def binary(values: list[bytes] | np.ndarray) -> pa.Array:
-    return pa.array(values, pa.binary())
+    out = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def joined(data: bytes | np.ndarray, offsets: np.ndarray) -> pa.Array:
