@@ -61,3 +61,34 @@ select page_id, payload_bytes, payload_digest,
        case when payload_bytes >= 1000 and page_id < last then 'revisit' else 'response' end as record_type,
        case when payload_bytes >= 1000 and page_id < last then last end as refers_to
 from groups"""
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def near_duplicates_sql(k: int = 3, percent: int = 85) -> str:
+    """All pairs of documents that share a shingle, and the closure of their links."""
+    return f"""with recursive split as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+                                    '[^\\x20\\x09-\\x0D]+') as w from documents),
+sets as (
+  select doc_id, case when len(w) >= {k} then list_distinct(list_transform(range(1, len(w) - {k} + 2),
+                        lambda i: array_to_string(list_slice(w, i, i + {k} - 1), ' ')))
+                      when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from split),
+grams as (select doc_id, len(s) as n, unnest(s) as g from sets),
+common as (
+  select a.doc_id as x, b.doc_id as y, any_value(a.n) as nx, any_value(b.n) as ny, count(*) as c
+  from grams a join grams b on a.g = b.g and a.doc_id < b.doc_id group by a.doc_id, b.doc_id),
+links as (select x, y from common where 100 * c >= {percent} * (nx + ny - c)),
+sym as (select x, y from links union all select y, x from links),
+reach as (
+  select doc_id as node, doc_id as other from documents
+  union select reach.node, sym.y from reach join sym on reach.other = sym.x),
+component as (select node, min(other) as component_id from reach group by node)
+select doc_id, len(s) as n_shingles, component_id, doc_id = component_id as kept,
+       case when len(s) = 0 then doc_id
+            else min(doc_id) over (partition by array_to_string(list_sort(s), '\n')) end as class_id
+from sets join component on node = doc_id"""
+
+
+NEAR_DUPLICATES = near_duplicates_sql()

@@ -99,10 +99,10 @@ def op9_shards(spark, sf_dir):
                          F.lit(None).cast("int").alias("grown_shard"), "row_number")
 
 
-@register("op10_near_duplicates")
+@register("op10_near_duplicates", sql=oracle.NEAR_DUPLICATES)
 def op10_near_duplicates(spark, sf_dir):
     found = neardup.groups(table(spark, sf_dir, "documents"), k=3, percent=85)
-    return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id", "n_links")
+    return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
 
 
 @register("pipeline")
