@@ -117,7 +117,7 @@ def vocabulary_of(counts: list[tuple[int, int, int]], texts: int, toxic: int, mi
 
 
 def fit(vocabulary: np.ndarray, known: list[np.ndarray], labels: list[int], factors: int = FACTORS,
-        epochs: int = 30, batch: int = 64, rate: float = 0.2, decay: float = 1e-4, seed: int = 11) -> Model:
+        epochs: int = 60, batch: int = 64, rate: float = 0.2, decay: float = 2e-5, seed: int = 11) -> Model:
     """Logistic loss, adaptive gradients, on texts given as term numbers of the vocabulary."""
     if not labels:
         return Model(vocabulary, -30.0, np.zeros(len(vocabulary)), np.zeros((len(vocabulary), factors)))

@@ -32,6 +32,14 @@ def test_query_on_the_smallest_data(spark, sf_smoke, documents):
     assert all(r.n_shingles == len(brute.shingles(texts[r.doc_id], 3)) for r in got)
 
 
+def test_query_against_sql(spark, sf_smoke, duck):
+    got = queries.QUERIES["op10_near_duplicates"](spark, sf_smoke)
+    result = duck.execute(queries.ORACLE["op10_near_duplicates"])
+    names = [d[0] for d in result.description]
+    assert sorted(names) == sorted(got.columns)
+    assert sorted(tuple(r[n] for n in names) for r in got.collect()) == sorted(result.fetchall())
+
+
 def edited(rng, words, n):
     words = list(words)
     for _ in range(n):
