@@ -5,9 +5,8 @@ computed without a single-partition window: distinct new keys are range
 partitioned and sorted within partitions and written together with their
 partition number and position (one job, so the placement is fixed once
 written), counted per partition, and each row gets ``offset of its partition
-+ position inside it``. The offsets table has one row per partition, so
-broadcasting it has a fixed bound. Both tables are Parquet under the shared
-checkpoint folder.
++ position inside it`` when the stored table is read. The offsets table has one
+row per partition, so broadcasting it has a fixed bound.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from mixtape import schemas
-from mixtape.session import scratch_path, shuffle_partitions
+from mixtape.session import scratch_path, shuffle_partitions, stage
 from mixtape.sources.artefacts import read_parquet, write_parquet
 
 INT_MAX = 2_147_483_647
@@ -52,7 +51,8 @@ def dense_ids(keys: DataFrame, key: str, start: int = 0,
            .write.mode("errorifexists").parquet(placed_path))
     keys.unpersist()
     placed = spark.read.parquet(placed_path)
-    counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per partition, counted once
+    counts = stage(placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")), "dense-ids-counts")
     offsets = counts.select(
         "_part",
         (F.coalesce(F.sum("_n").over(
@@ -60,16 +60,11 @@ def dense_ids(keys: DataFrame, key: str, start: int = 0,
          + F.lit(start)).alias("_offset"))
     numbered = placed.join(F.broadcast(offsets), "_part")
     new_id = F.col("_offset") + F.col("_pos") + F.lit(1)
-    out = numbered.select(
+    # numbered on reading: the placed table is the stored dictionary
+    return numbered.select(
         F.col(key),
         F.when(new_id <= INT_MAX, new_id.cast("int"))
          .otherwise(F.raise_error(F.lit("track id exceeds int range"))).cast("int").alias("id"))
-    # Materialise once as a Parquet table in the shared folder: later joins scan
-    # a finished table (with a known size, so the planner sizes joins from
-    # real statistics) instead of redoing the per-partition counts.
-    path = scratch_path(spark, "dense-ids")
-    out.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(out.schema).parquet(path)
 
 
 def new_keys(index: DataFrame, df: DataFrame, input_col: str = "track_uri") -> DataFrame:

@@ -50,31 +50,33 @@ def summarise(plan) -> dict[str, int]:
 
 
 def main():
-    import __spark_entry__ as entry
+    from mixtape.plans import registry
     from mixtape.session import get_session
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_session("local[8]", shuffle_partitions=8,
                         conf={"spark.ui.showConsoleProgress": "false", "spark.ui.enabled": "false"})
-    sqls = entry.oracle_sql()
-    rows = []
-    for name, fn in entry.queries().items():
-        df = fn(spark, sf_dir)
-        qe = df._jdf.queryExecution()
-        qe.toRdd().count()
-        rows.append((name, summarise(qe.executedPlan()), "SQL" if name in sqls else "rows"))
-    cols = list(rows[0][1])
-    print(f"# Physical plans of the registered queries ({os.path.basename(sf_dir)}, local[8], AQE final plans)\n")
+    sqls = registry.oracle_sql()
+    print(f"# Physical plans of the library's queries ({os.path.basename(sf_dir)}, local[8], AQE final plans)\n")
     print("Generated by `scripts/plan_summary.py`. Shuffles count hash/range/round-robin exchanges in the")
     print("final adaptive plan, walking the executed operator tree (reused stages and cached relations are")
     print("not counted again; scalar subqueries are). ALS top-k queries")
     print("include the blockwise factor cross of `recommendForUserSubset` (built in). Queries that return a")
     print("stored artefact (dictionary, model factors, stored vectors, streamed output) show the scan of it;")
     print("the work that built it ran before. Single-partition exchanges are global aggregates over")
-    print("per-partition partial results (e.g. the largest-basket scalar subquery), never row data.\n")
-    print("| query | check | " + " | ".join(cols) + " |")
-    print("| --- | --- | " + " | ".join("---" for _ in cols) + " |")
-    for name, s, check in rows:
-        print(f"| {name} | {check} | " + " | ".join(str(s[c]) for c in cols) + " |")
+    print("per-partition partial results (e.g. the largest-basket scalar subquery), never row data.")
+    for title, threshold in (("As planned at this size", "10MB"),
+                             ("Without automatic broadcasts, as for tables too large for them (hinted ones are "
+                              "of bounded size)", "-1")):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        print(f"\n## {title}\n")
+        for i, (name, fn) in enumerate(registry.queries().items()):
+            qe = fn(spark, sf_dir)._jdf.queryExecution()
+            qe.toRdd().count()
+            row = summarise(qe.executedPlan())
+            if not i:
+                print("| query | check | " + " | ".join(row) + " |")
+                print("| --- | --- | " + " | ".join("---" for _ in row) + " |")
+            print(f"| {name} | {'SQL' if name in sqls else 'rows'} | " + " | ".join(map(str, row.values())) + " |")
     spark.stop()
 
 
