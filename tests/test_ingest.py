@@ -105,3 +105,15 @@ def test_split_known_new_and_baskets(spark):
     assert sorted((r.basket_id, r.track_uri, r.track_uri_index) for r in rows) == [
         (3, "u:1", 1), (3, "u:2", None)]          # unknown catalog URI u:9 drops out
     assert F  # keep import used
+
+
+def test_repeats_of_one_track_are_written_in_several_entries(spark):
+    rows = spark.range(200).select(F.lit(1).cast("bigint").alias("playlist_id"), F.lit("u:1").alias("track_uri"),
+                                   F.lit("a").alias("track_name"), F.lit("b").alias("artist_name"),
+                                   F.lit("c").alias("album_name"))
+    from mixtape.session import scratch_path
+    path = json_slices.write_slices(rows, scratch_path(spark, "t-slices-repeats"), tracks_per_entry=8)
+    slices = json_slices.read_slices(spark, path, recursive=True)
+    sizes = [r[0] for r in slices.select(F.explode("playlists").alias("p")).select(F.size("p.tracks")).collect()]
+    assert sum(sizes) == 200 and max(sizes) <= 32
+    assert json_slices.flatten_slices(slices).count() == 200
