@@ -20,7 +20,7 @@ import numpy as np
 from mixtape.llm.textscan import ASCII_LOWER, NO_FOLD, NOT_SPACE, Texts, gather, range_hashes
 
 #: Distinct pieces that a worker keeps; beyond it the cache starts afresh.
-CACHE_PIECES = 2_000_000
+CACHE_PIECES = 1_000_000
 
 LETTERS = (ASCII_LOWER >= 97) & (ASCII_LOWER <= 122)
 PUNCTUATION = (NO_FOLD > 32) & (NO_FOLD < 127) & ~LETTERS & ~((NO_FOLD >= 48) & (NO_FOLD <= 57)) & (NO_FOLD != 39)

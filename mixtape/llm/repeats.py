@@ -35,7 +35,7 @@ import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from mixtape.llm.sais import common_prefixes, suffix_array
-from mixtape.llm.textscan import BASE, BYTE_VALUES, SLICE, U64, Hasher, Texts, gather, mix
+from mixtape.llm.textscan import BASE, BYTE_VALUES, SLICE, U64, Hasher, Texts, gather, mix, release
 
 LENGTH = 50
 GRAM = 16
@@ -133,6 +133,7 @@ def in_slices(ids: np.ndarray, packed: list[bytes]):
             offsets = np.concatenate([[0], np.cumsum([len(t) for t in held])]).astype(np.int64)
             yield at, Texts(np.frombuffer(b"".join(held), np.uint8), offsets)
             at, held, size = i + 1, [], 0
+    release()
 
 
 def _ids(table: pa.Table) -> np.ndarray:
@@ -280,6 +281,8 @@ SENT = pa.schema([("_shard", pa.int32()), ("_batch", pa.int32()), ("_runs", pa.b
 
 def _received(table: pa.Table):
     """(documents, anchors, sizes, batches, text) of the runs that batches sent to a shard."""
+    # what the group before held
+    release()
     unpack, parts = zstandard.ZstdDecompressor(), []
     for batch, blob in zip(table.column("_batch").to_pylist(), table.column("_runs").to_pylist()):
         raw = unpack.decompress(blob)
@@ -290,6 +293,18 @@ def _received(table: pa.Table):
     return tuple(np.concatenate([p[i] for p in parts]) for i in range(5))
 
 
+def _hashes(data: np.ndarray, start: np.ndarray, size: np.ndarray, anchor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(gram hash, content hash) of the runs, some at a time."""
+    grams, contents = [np.zeros(0, U64)], [np.zeros(0, U64)]
+    for a in range(0, len(start), 10_000):
+        first, length, at = start[a], size[a:a + 10_000], anchor[a:a + 10_000]
+        low = start[a:a + 10_000] - first
+        hasher = Hasher(data[first:first + int(low[-1] + length[-1])])
+        grams.append(hasher(low + at, low + at + GRAM))
+        contents.append(hasher(low, low + length))
+    return np.concatenate(grams), np.concatenate(contents)
+
+
 #: Ranges of the bytes that a window has to the left of its gram, to look for partners.
 REACH = 6
 
@@ -346,9 +361,7 @@ def _sort_shard(length: int):
         doc, anchor, size, batch, data = _received(table)
         size = size.astype(np.int64)
         start = np.cumsum(size) - size
-        hasher = Hasher(data)
-        gram, content = hasher(start + anchor, start + anchor + GRAM), hasher(start, start + size)
-        del hasher
+        gram, content = _hashes(data, start, size, anchor)
         order = np.lexsort((doc, content, gram))
         gram, content, doc, batch, anchor = gram[order], content[order], doc[order], batch[order], anchor[order]
         new = np.ones(len(order), bool)
@@ -418,6 +431,7 @@ def _cut(buckets: int, length: int, carried: list[str], whole_characters: bool):
         least = np.full(which.max() + 1 if len(which) else 0, np.iinfo(np.int64).max)
         np.minimum.at(least, which, doc)
         repeat = least[which] < doc
+        release()
         out, done = [], 0
         for _, texts, part, _, _, low, high, _, hashes in held:
             change = np.zeros(len(texts.data) + 1, np.int32)
