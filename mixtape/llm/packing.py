@@ -7,11 +7,14 @@ most, whatever the number of documents. Spark counts them over all rows, the
 driver searches for a plan over the counts, and every piece finds its place
 from its length and its number among pieces of that length.
 
-The search takes the largest remaining piece and enumerates the undominated
-fillings of the room beside it, best first; it repeats a filling as often as the
-counts allow. A branch ends when the room wasted so far rules out fewer
-sequences than the incumbent has. Best fit gives the first incumbent, and the
-lower bound (all lengths over the capacity) ends the search.
+The search takes the largest remaining piece and enumerates fillings of the room
+beside it. A branch ends when the room wasted so far rules out fewer sequences
+than the incumbent has. Best fit gives the first incumbent, and the lower bound
+(all lengths over the capacity) ends the search. A first pass has a few
+promising fillings per piece, each repeated as often as the counts allow; if
+these run out above the lower bound, a second pass has all fillings, also
+taken once. Only a second pass that comes to its end proves more sequences
+than the lower bound to be needed; ``NODES`` bounds both.
 
 Defined results: a null text is empty and has only the end id; repeated rows
 are packed each; pieces of equal length are interchangeable; an empty table
@@ -21,6 +24,7 @@ gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +36,9 @@ from mixtape.llm.textscan import joined, slices
 from mixtape.session import scratch_path
 
 #: Fillings that the search may try before it keeps the best plan so far.
-NODES = 4_000
+NODES = 20_000
+#: Of the first pass: exact pairs, largest pieces to look for a triple with, largest pieces to fill up beside.
+PAIRS, TRIPLES, GREEDY = 4, 64, 4
 
 Pattern = tuple[int, ...]
 
@@ -64,56 +70,188 @@ def take(counts: np.ndarray, pattern: Pattern) -> int:
     return times
 
 
-def fillings(counts: np.ndarray, room: int) -> Iterator[Pattern]:
-    """Undominated fillings of ``room`` from the counts, those without waste first.
-
-    One piece of exactly the room dominates all else. Two exact pieces dominate
-    every split of either. Then exact threes, then the largest piece that fits
-    with the best filling of the room beside it, then the next largest as long
-    as it isn't dominated (it is when the larger one leaves less waste beside
-    the same companions).
+class Stock:
+    """Pieces left per length. The lengths that are there are also the bits of one number,
+    and of its mirror image, so that a look for a length or a pair is one operation."""
+
+    def __init__(self, counts: np.ndarray):
+        self.n, self.capacity = counts.tolist(), len(counts) - 1
+        self.upto = [(2 << i) - 1 for i in range(self.capacity + 1)]
+        self.there = sum(1 << i for i, n in enumerate(self.n) if n)
+        self.mirror = sum(1 << self.capacity - i for i, n in enumerate(self.n) if n)
+
+    def add(self, size: int, n: int) -> None:
+        before = self.n[size]
+        self.n[size] = before + n
+        if not before or not before + n:
+            self.there ^= 1 << size
+            self.mirror ^= 1 << self.capacity - size
+
+    def largest(self, room: int) -> int:
+        """The largest length that fits, 0 if none."""
+        return max((self.there & self.upto[room]).bit_length() - 1, 0)
+
+    def times(self, pattern: Pattern) -> int:
+        """How often the pattern can be taken."""
+        return min(self.n[size] // pattern.count(size) for size in set(pattern))
+
+    def pairs(self, room: int, most: int | None = None) -> Iterator[Pattern]:
+        """(x, y), x >= y, x + y = room, both there; the largest x first."""
+        both = self.there & self.mirror >> self.capacity - room & self.upto[room if most is None else min(room, most)]
+        while (x := both.bit_length() - 1) * 2 >= room > 1:
+            if x * 2 != room or self.n[x] > 1:
+                yield x, room - x
+            both ^= 1 << x
+
+    def sizes(self, room: int, most: int) -> Iterator[int]:
+        """The ``most`` largest lengths that fit, the largest first."""
+        size = self.largest(room)
+        while size and most:
+            yield size
+            size, most = self.largest(size - 1), most - 1
+
+    def triple(self, room: int) -> Pattern | None:
+        """Three pieces of exactly the room, the first of them among the ``TRIPLES`` largest."""
+        for first in self.sizes(room, TRIPLES):
+            self.add(first, -1)
+            pair = next(self.pairs(room - first, first), None)
+            self.add(first, 1)
+            if pair:
+                return first, *pair
+        return None
+
+    def fill(self, room: int) -> Pattern:
+        """The first of ``fillings``: the largest that fits until the rest is filled by three at most."""
+        taken = []
+        while size := self.largest(room):
+            found = (room,) if size == room else next(self.pairs(room), None) or self.triple(room)
+            if found:
+                break
+            taken.append(size)
+            self.add(size, -1)
+            room -= size
+        for size_back in taken:
+            self.add(size_back, 1)
+        return *taken, *(found if size else ())
+
+
+def fillings(stock: Stock, room: int) -> Iterator[Pattern]:
+    """Promising fillings of ``room``, those without waste first.
+
+    One piece of exactly the room dominates all else. Then come the ``PAIRS`` exact
+    pairs of the largest pieces, one exact triple, and each of the ``GREEDY`` largest
+    pieces that fit with the first filling of the room beside it, if that wastes
+    less than those before. Others, undominated ones too, are left to ``all_fillings``.
     """
-    if room <= 0 or not counts[1:room + 1].any():
-        yield ()
-        return
-    if counts[room]:
-        yield (room,)
+    size = stock.largest(room)
+    if not size or size == room:
+        yield (size,) if size else ()
         return
-    tried = 0
-    for pair in _exact_pairs(counts, room):
-        yield pair
-        tried += 1
-        if tried == 4:
-            break
-    sizes = np.flatnonzero(counts[1:room + 1])[::-1] + 1
-    for first in sizes[:64].tolist():
-        counts[first] -= 1
-        pair = next(_exact_pairs(counts, room - first, first), None)
-        counts[first] += 1
-        if pair:
-            yield (first, *pair)
-            tried += 1
-            break
+    yield from islice(stock.pairs(room), PAIRS)
+    if triple := stock.triple(room):
+        yield triple
     best = None
-    for first in sizes[:4].tolist():
-        counts[first] -= 1
-        rest = next(fillings(counts, room - first))
-        counts[first] += 1
+    for first in stock.sizes(room, GREEDY):
+        stock.add(first, -1)
+        rest = stock.fill(room - first)
+        stock.add(first, 1)
         waste = room - first - sum(rest)
         if best is None or waste < best:
             best = waste
             yield (first, *rest)
 
 
-def _exact_pairs(counts: np.ndarray, room: int, most: int | None = None) -> Iterator[Pattern]:
-    """(x, y), x >= y, x + y = room, both there; the largest x first."""
-    if room < 2:
-        return
-    there = counts[1:room] > 0
-    both = np.flatnonzero(there & there[::-1]) + 1
-    for x in both[both * 2 >= room][::-1].tolist():
-        if (most is None or x <= most) and (x * 2 != room or counts[x] > 1):
-            yield (x, room - x)
+def all_fillings(stock: Stock, room: int) -> Iterator[Pattern]:
+    """All fillings of ``room`` beside which no further piece fits, larger pieces first."""
+    taken: list[int] = []
+    size = room
+    while True:
+        while size := stock.largest(min(room, size)):
+            taken.append(size)
+            stock.add(size, -1)
+            room -= size
+        if not stock.largest(room):
+            for one in taken:
+                stock.add(one, 1)
+            yield tuple(taken)
+            for one in taken:
+                stock.add(one, -1)
+        if not taken:
+            return
+        size = taken.pop()
+        stock.add(size, 1)
+        room += size
+        size -= 1
+
+
+class Search:
+    """Depth first over fillings; keeps the plan of fewest sequences seen."""
+
+    def __init__(self, have: np.ndarray, nodes: int = NODES):
+        self.have, self.capacity, self.left = have, len(have) - 1, nodes
+        self.total = int((have * np.arange(len(have))).sum())
+        self.bound = -(-self.total // self.capacity)
+        self.incumbent = best_fit(have)
+        self.bins = sum(n for _, n in self.incumbent)
+        #: Whether no plan has fewer sequences.
+        self.proven = self.bins == self.bound
+
+    def run(self) -> list[tuple[Pattern, int]]:
+        for whole in (False, True):
+            if not self.proven and self.left > 0:
+                ended = self._descend(whole)
+                self.proven = self.bins == self.bound or (whole and ended)
+        return self.incumbent
+
+    def _options(self, stock: Stock, whole: bool) -> Iterator[tuple[Pattern, int]]:
+        """Patterns with the largest piece, and how often to take each: as often as they go and,
+        when the search is whole, once (the rest may be better off with others)."""
+        largest = stock.largest(self.capacity)
+        stock.add(largest, -1)
+        for filling in (all_fillings if whole else fillings)(stock, self.capacity - largest):
+            stock.add(largest, 1)
+            pattern = (largest, *filling)
+            times = stock.times(pattern)
+            yield pattern, times
+            if whole and times > 1:
+                yield pattern, 1
+            stock.add(largest, -1)
+        stock.add(largest, 1)
+
+    def _descend(self, whole: bool) -> bool:
+        """Whether the enumeration came to its end within the budget."""
+        stock, waste = Stock(self.have), [0]
+        chosen: list[tuple[Pattern, int]] = []
+
+        def put(pattern, n):
+            for size in set(pattern):
+                stock.add(size, n * pattern.count(size))
+
+        stack = [self._options(stock, whole)]
+        while stack and self.bins > self.bound and self.left > 0:
+            option = next(stack[-1], None)
+            if option is None:
+                stack.pop()
+                if chosen:
+                    put(*chosen.pop())
+                    waste.pop()
+                continue
+            self.left -= 1
+            pattern, times = option
+            lost = waste[-1] + times * (self.capacity - sum(pattern))
+            if lost > (self.bins - 1) * self.capacity - self.total:
+                continue
+            put(pattern, -times)
+            if stock.there:
+                chosen.append(option)
+                waste.append(lost)
+                stack.append(self._options(stock, whole))
+                continue
+            put(pattern, times)
+            bins = sum(n for _, n in chosen) + times
+            if bins < self.bins:
+                self.incumbent, self.bins = [*chosen, option], bins
+        return not stack
 
 
 def plan(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tuple[Pattern, int]]:
@@ -121,48 +259,7 @@ def plan(counts: dict[int, int], capacity: int, nodes: int = NODES) -> list[tupl
     have = np.zeros(capacity + 1, np.int64)
     for size, n in counts.items():
         have[size] += n
-    total = int((have * np.arange(capacity + 1)).sum())
-    bound = -(-total // capacity)
-    incumbent = best_fit(have)
-    bins = sum(n for _, n in incumbent)
-    # depth first: (counts, fillings to try, length of the plan so far)
-    chosen: list[tuple[Pattern, int]] = []
-    waste = [0]
-
-    def node(left):
-        largest = int(np.flatnonzero(left)[-1])
-        left[largest] -= 1
-        options = fillings(left.copy(), capacity - largest)
-        left[largest] += 1
-        return left, largest, options
-
-    stack = [node(have.copy())] if total else []
-    while stack and bins > bound and nodes > 0:
-        left, largest, options = stack[-1]
-        filling = next(options, None)
-        if filling is None:
-            stack.pop()
-            if chosen:
-                chosen.pop()
-                waste.pop()
-            continue
-        nodes -= 1
-        pattern = (largest, *filling)
-        after = left.copy()
-        times = take(after, pattern)
-        lost = waste[-1] + times * (capacity - sum(pattern))
-        if lost > (bins - 1) * capacity - total:
-            continue
-        chosen.append((pattern, times))
-        waste.append(lost)
-        if after.any():
-            stack.append(node(after))
-            continue
-        if sum(n for _, n in chosen) < bins:
-            incumbent, bins = list(chosen), sum(n for _, n in chosen)
-        chosen.pop()
-        waste.pop()
-    return incumbent
+    return Search(have, nodes).run()
 
 
 def slots(patterns: list[tuple[Pattern, int]]) -> np.ndarray:

@@ -1,3 +1,4 @@
+import itertools
 import zlib
 
 import numpy as np
@@ -167,6 +168,33 @@ def test_plan_uses_every_piece_and_few_bins():
     assert sum(n for _, n in packing.plan({20: 10**9, 12: 10**9, 8: 10**9}, 20)) == 2 * 10**9
 
 
+def test_plan_goes_on_when_the_promising_fillings_run_out():
+    counts = {17: 2, 18: 1, 20: 1, 22: 1, 28: 2, 29: 1, 33: 1, 35: 1, 45: 1, 47: 1, 57: 1}
+    found = packing.plan(counts, 101)
+    used = {}
+    for pattern, times in found:
+        assert sum(pattern) <= 101
+        for s in pattern:
+            used[s] = used.get(s, 0) + times
+    assert used == counts
+    assert sum(n for _, n in found) == -(-sum(s * n for s, n in counts.items()) // 101) == 4
+
+
+def test_all_fillings_are_those_beside_which_nothing_fits():
+    counts = np.array([0, 0, 3, 1, 2, 0, 1])
+    stock = packing.Stock(counts)
+    for room in range(7):
+        expected = set()
+        for each in itertools.product(*(range(n + 1) for n in counts)):
+            free = room - sum(i * n for i, n in enumerate(each))
+            if free >= 0 and not any(i <= free and n < counts[i] for i, n in enumerate(each) if i):
+                expected.add(tuple(i for i in range(6, 0, -1) for _ in range(each[i])))
+        got = list(packing.all_fillings(stock, room))
+        assert len(got) == len(set(got)) and set(got) == expected
+        assert set(packing.fillings(stock, room)) <= expected
+        assert stock.n == counts.tolist()
+
+
 def test_packing_is_the_same_on_any_partitioning(spark, sf_smoke, byte_tokenizer):
     docs = spark.read.parquet(f"{sf_smoke}/documents.parquet")
     bins = {packing.pack(docs.repartition(n), byte_tokenizer, 0).select("sequence_id").distinct().count() for n in (1, 7)}
