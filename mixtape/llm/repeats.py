@@ -43,8 +43,9 @@ GRAM = 16
 BATCH = 8 << 20
 #: Shards per batch: what a shard sorts takes some fifty bytes of memory a byte.
 SHARDS = 1
-#: Documents of a gram beyond which its windows are dealt on their own, in this many parts.
-HOT = 500_000
+#: Documents of a gram beyond which its windows are dealt on their own, in this many parts:
+#: their runs, of ``2 * LENGTH - GRAM`` bytes at most, would be more than a shard's bytes.
+HOT = BATCH // SHARDS // (2 * LENGTH - GRAM)
 HOT_PARTS = 4
 NO_ID = -(1 << 63)
 LOW48 = U64((1 << 48) - 1)
@@ -158,7 +159,7 @@ def _unpack48(raw: bytes) -> np.ndarray:
 # --- 1: shared grams ---------------------------------------------------------------
 
 def _list_grams(buckets: int, length: int):
-    """A batch's distinct grams by bucket, with how many documents have each (255 at most)."""
+    """A batch's distinct grams by bucket, with how many documents have each."""
     def run(table: pa.Table) -> pa.Table:
         ids, grams, docs = _ids(table), [], []
         for at, texts in in_slices(ids, table.column("_zip").to_pylist()):
@@ -178,8 +179,7 @@ def _list_grams(buckets: int, length: int):
         return pa.table({
             "_bucket": pa.array(some, pa.int32()), "_batch": pa.array([batch] * len(some), pa.int32()),
             "_grams": pa.array([_pack48(distinct[cut[i]:cut[i + 1]]) for i in some], pa.binary()),
-            "_docs": pa.array([np.minimum(count[cut[i]:cut[i + 1]], 255).astype(np.uint8).tobytes() for i in some],
-                              pa.binary())})
+            "_docs": pa.array([count[cut[i]:cut[i + 1]].astype("<u4").tobytes() for i in some], pa.binary())})
     return run
 
 
@@ -189,7 +189,7 @@ def _share(hot: int):
         lists = [_unpack48(x) for x in table.column("_grams").to_pylist()]
         size = np.array([len(x) for x in lists])
         grams = np.concatenate(lists)
-        docs = np.frombuffer(b"".join(table.column("_docs").to_pylist()), np.uint8).astype(np.int64)
+        docs = np.frombuffer(b"".join(table.column("_docs").to_pylist()), "<u4").astype(np.int64)
         _, which = np.unique(grams, return_inverse=True)
         total = np.bincount(which, docs).astype(np.int64)[which]
         keep, owner = total > 1, np.repeat(np.arange(len(lists)), size)

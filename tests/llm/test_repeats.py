@@ -1,7 +1,9 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
+import zstandard
 
 from mixtape.llm import queries, repeats
 
@@ -65,6 +67,20 @@ def test_long_text(frame):
     assert got == {1: [], 2: [(1_000_000, 1_000_200)], 3: [(1, 100_001)]}
 
 
+def test_a_gram_of_many_documents_of_one_batch_is_hot():
+    rng = random.Random(2)
+    line = "".join(rng.choice("abcdefgh") for _ in range(60))
+    texts = [(line if i < 400 else "".join(rng.choice("abcdefgh") for _ in range(60))).encode() for i in range(600)]
+    table = pa.table({"_id": pa.array(range(600), pa.int64()), "_batch": pa.array([0] * 600, pa.int32()),
+                      "_zip": [zstandard.ZstdCompressor().compress(t) for t in texts]})
+    grams = repeats._list_grams(1, 50)(table)
+    for hot, expected in ((399, True), (400, False)):
+        marks = b"".join(repeats._share(hot)(grams).column("_hot").to_pylist())
+        assert marks and all(bool(m) == expected for m in marks)
+    # runs of a gram that isn't hot stay within a shard's bytes
+    assert repeats.HOT * (2 * repeats.LENGTH - repeats.GRAM) <= repeats.BATCH // repeats.SHARDS
+
+
 def test_whole_characters(frame):
     rows = [(1, "é" * 25 + "ü" + "x" * 60), (2, "ü" + "é" * 25 + "ù" + "x" * 60)]
     for r in repeats.remove(frame(rows), whole_characters=True, carry=["doc_id", "text"]).collect():
