@@ -6,7 +6,8 @@ under its pointer, and a random bit of (t, word) says whether the pointer moves
 on. Two walks over an edited copy fall back into step after an edit, and then
 write the same words again. Bit sampling keeps a few steps of the walk as a
 signature; repetitions with other bits and samples raise the recall to the
-target (``plan_repetitions`` measures the rate for the parameters). As a walk
+target (``plan_repetitions`` measures the rate for the parameters, at the worst
+of the items' lengths). As a walk
 only depends on where it starts, one walk serves the windows of all item sizes.
 
 Documents start a walk at every ``STRIDE``-th word and items at every word, so a
@@ -40,6 +41,8 @@ STRIDE = 2
 STEPS = 18
 SAMPLES = 6
 TARGET = 0.99
+#: Words of an item beyond which fewer repetitions do than for this many.
+LONG = 20
 #: Bits of the filter (16 MB), and places per signature.
 FILTER_BITS = 1 << 27
 FILTER_PLACES = 4
@@ -99,6 +102,28 @@ def plan_repetitions(target: float = TARGET, max_edits: float = MAX_EDITS, words
     return next((r for r in range(1, most) if (missed < r).mean() >= target), most)
 
 
+def repetitions(lengths: list[int], target: float = TARGET, max_edits: float = MAX_EDITS) -> int:
+    """Repetitions that reach the target for items of all these lengths: of each number of
+    edits, the shortest item has the least left between them."""
+    shortest = {}
+    for n in sorted(lengths):
+        if n >= MIN_WORDS:
+            shortest.setdefault(int(max_edits * n), n)
+    return max((plan_repetitions(target, max_edits, n) for n in shortest.values()), default=1)
+
+
+def item_lengths(items: DataFrame, text_col: str) -> list[int]:
+    """The numbers of words of the items; those above ``LONG`` count as ``LONG``."""
+    def run(batches):
+        for batch in batches:
+            for _, texts in slices(batch, "_text"):
+                n = np.unique(np.minimum(np.diff(scan(texts, WORD_BYTES).first), LONG))
+                yield pa.RecordBatch.from_arrays([pa.array(n.astype(np.int64))], names=["n"])
+
+    rows = items.select(F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    return [r["n"] for r in rows.mapInArrow(run, "n long").distinct().collect()]
+
+
 def places(signature: np.ndarray) -> np.ndarray:
     """Bits of the filter for each signature."""
     return np.stack([place(signature, i) for i in range(FILTER_PLACES)]).astype(np.int64)
@@ -183,7 +208,7 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
          target: float = TARGET) -> DataFrame:
     """(document id, item id, edits, item_words, start_word, end_word), a row for each
     document and item of which it holds a copy."""
-    reps = plan_repetitions(target, max_edits)
+    reps = repetitions(item_lengths(items, item_text_col), target, max_edits)
     known = item_signatures(items, reps, item_id_col, item_text_col)
     longest = known.agg(F.max("_n")).first()[0] or 0
     reach = int(longest * (1 + max_edits)) + 1

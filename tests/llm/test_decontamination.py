@@ -48,6 +48,23 @@ def test_edited_copies_reach_the_target(spark, documents, items, frame):
     assert got <= set(expected.items())
 
 
+def test_edited_copies_of_the_shortest_items_reach_the_target(spark, frame):
+    rng = random.Random(4)
+    items, rows = [], []
+    for i in range(600):
+        n = rng.choice([8, 10])
+        words = [f"w{rng.randrange(10**9)}" for _ in range(n)]
+        items.append((i, " ".join(words)))
+        for at in rng.sample(range(n), int(dc.MAX_EDITS * n)):
+            words[at] = f"w{rng.randrange(10**9)}"
+        rows.append((i, " ".join(f"f{rng.randrange(10**9)}" for _ in range(rng.randrange(20))) + " " + " ".join(words)
+                     + " " + " ".join(f"f{rng.randrange(10**9)}" for _ in range(20))))
+    got = {(r.doc_id, r.item_id) for r in dc.find(frame(rows), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert all(a == b for a, b in got)
+    # the target, less what 600 copies may be off
+    assert len(got) >= 0.98 * len(rows)
+
+
 def test_odd_rows(spark, frame):
     item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
     table = spark.createDataFrame([(1, item), (1, item), (2, None), (3, ""), (4, "too short here"), (None, item),
