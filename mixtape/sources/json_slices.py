@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mixtape import schemas
+from mixtape.session import stage
 
 
 # glob of the documents written by ``write_slices`` under a folder
@@ -45,10 +46,12 @@ def write_slices(rows: DataFrame, path: str, playlists_per_slice: int = 1000,
     lands in its own folder and file.
     """
     fields = ["track_uri", "track_name", "artist_name", "album_name"]
+    # stored with an id, so that a task that runs again deals its rows as before
+    rows = stage(rows.withColumn("_row", F.monotonically_increasing_id()), "slice-rows")
     sizes = rows.groupBy("playlist_id").agg(F.count(F.lit(1)).alias("_n"))
     chunks = F.greatest(F.ceil(F.col("_n") / tracks_per_entry), F.lit(1))
     chunked = (rows.join(sizes, "playlist_id")
-               .withColumn("chunk", F.pmod(F.xxhash64(*fields, F.monotonically_increasing_id()), chunks)))
+               .withColumn("chunk", F.pmod(F.xxhash64(*fields, "_row"), chunks)))
     entries = (chunked.groupBy("playlist_id", "chunk")
                .agg(F.collect_list(F.struct(*fields)).alias("tracks"))
                .select(F.col("playlist_id").alias("pid"), "tracks", "chunk",

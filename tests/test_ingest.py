@@ -117,3 +117,21 @@ def test_repeats_of_one_track_are_written_in_several_entries(spark):
     sizes = [r[0] for r in slices.select(F.explode("playlists").alias("p")).select(F.size("p.tracks")).collect()]
     assert sum(sizes) == 200 and max(sizes) <= 32
     assert json_slices.flatten_slices(slices).count() == 200
+
+
+def test_chunks_come_from_stored_row_ids(spark, monkeypatch):
+    from mixtape.session import scratch_path
+    stored = []
+
+    def stage(df, name):
+        stored.append(real(df, name))
+        return stored[-1]
+
+    real = getattr(json_slices, "stage", None)
+    monkeypatch.setattr(json_slices, "stage", stage, raising=False)
+    rows = spark.range(50).select(F.lit(1).cast("bigint").alias("playlist_id"), F.lit("u:1").alias("track_uri"),
+                                  F.lit("a").alias("track_name"), F.lit("b").alias("artist_name"),
+                                  F.lit("c").alias("album_name"))
+    path = json_slices.write_slices(rows, scratch_path(spark, "t-slices-stored"), tracks_per_entry=8)
+    assert len(stored) == 1 and stored[0].select("_row").distinct().count() == 50
+    assert json_slices.flatten_slices(json_slices.read_slices(spark, path, recursive=True)).count() == 50
