@@ -6,9 +6,9 @@ rest the smallest value of the bucket counts. A register keeps of it the count o
 leading zeros and the ten bits after the first one: 16 bits in place of 64.
 
 1. Texts with equal sets are one class, known by its smallest id.
-2. Sketches are cut into bands of ``BAND`` registers; classes that agree in a
-   band are a bucket. Two sets of Jaccard 0.85 miss each other in all bands once
-   in two million times.
+2. Sketches are cut into bands of registers; classes that agree in a band are a
+   bucket. The band is so short (``band_of``) that two sets at the threshold miss
+   each other in all bands once in a million times at most.
 3. In each bucket every class is paired with the smallest one only, so a group
    of any size gives one pair per member.
 4. Pairs far below the threshold by the collision-corrected estimate go (five
@@ -46,6 +46,8 @@ REGISTERS = 128
 REGISTER_BITS = 7
 MANTISSA = 10
 BAND = 5
+#: Share of pairs at the threshold that may miss each other in all bands.
+MISS = 1e-6
 GROUP = 500
 
 
@@ -99,6 +101,12 @@ def bands(registers: np.ndarray, band: int = BAND) -> tuple[np.ndarray, np.ndarr
     return row, mix(key)[row, column]
 
 
+def band_of(percent: int) -> int:
+    """The longest band, ``BAND`` at most, with which pairs at the threshold miss each other in
+    all bands in a share of ``MISS`` or less; 1 if none is short enough."""
+    return next((b for b in range(BAND, 1, -1) if (1 - (percent / 100) ** b) ** (REGISTERS // b) <= MISS), 1)
+
+
 def estimate(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(Jaccard estimate, buckets that it rests on) of sketch rows: the share of equal
     registers, less those that different sets of these sizes agree in by chance."""
@@ -225,7 +233,7 @@ def verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFr
     return dealt.mapInArrow(run, "a long, b long, overlap long").groupBy("a", "b").agg(F.max("overlap").alias("overlap"))
 
 
-def groups(docs: DataFrame, k: int = 5, percent: int = 80, band: int = BAND, id_col: str = "doc_id",
+def groups(docs: DataFrame, k: int = 5, percent: int = 80, band: int | None = None, id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
     """(id, n_shingles, class_id, n_links, component_id, kept) per row of ``docs``. ``n_links``
     counts the links of the row's class that were verified to join components."""
@@ -235,7 +243,7 @@ def groups(docs: DataFrame, k: int = 5, percent: int = 80, band: int = BAND, id_
         F.min("_id").alias("id"), F.first("_registers").alias("_registers"))
     of_set = stage(of_set, "classes")
     classes = of_set.select("id", "n_shingles", "_registers")
-    bucket = buckets(classes, band)
+    bucket = buckets(classes, band or band_of(percent))
     star = bucket.where("id <> leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
     share = percent / 100
     tried = stage(estimated(star, classes, share), "star-pairs")

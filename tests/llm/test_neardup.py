@@ -127,3 +127,11 @@ def test_links_are_counted_between_classes(frame):
     got = {r.doc_id: (r.class_id, r.n_links) for r in neardup.groups(frame(rows), 1, 80).collect()}
     assert got == {1: (1, 1), 2: (1, 1), 3: (3, 1), 4: (4, 0)}
     assert neardup.groups(frame(rows), 1, 80).where(F.col("kept")).count() == 2
+
+
+def test_pairs_at_the_threshold_rarely_miss_all_bands():
+    from mixtape.llm import neardup
+    assert neardup.band_of(85) == neardup.BAND
+    for percent in (80, 85, 90):
+        band = neardup.band_of(percent)
+        assert (1 - (percent / 100) ** band) ** (neardup.REGISTERS // band) <= 1e-6
