@@ -15,6 +15,7 @@ from mixtape.llm import licenses
 from mixtape.llm import neardup
 from mixtape.llm import oracle
 from mixtape.llm import packing
+from mixtape.llm import pieces
 from mixtape.llm import planes
 from mixtape.llm import quality
 from mixtape.llm import repeats
@@ -105,6 +106,14 @@ def op10_near_duplicates(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
 
 
+@register("op13_sentencepiece")
+def op13_sentencepiece(spark, sf_dir):
+    coded = pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 @register("pipeline")
 def pipeline(spark, sf_dir):
     import corpus_pipeline
