@@ -10,9 +10,10 @@ whose partial scores plus the product of what remains of both norms reach no
 threshold go. What is left is scored exactly, in whole numbers.
 
 Windows are filled from above: each asks for the best rows within a range of
-scores, starts with a threshold near the upper end, and is asked again with a
-lower one, down to its lower end, until it has as many rows as wanted. Only
-windows that aren't full take part in the next round. First every anchor has one
+scores and starts with a threshold near the upper end. A cell lowers the
+thresholds of the windows that it can't fill, down to the depth of the round;
+windows that all cells together leave short are asked again in the next round,
+down to their lower end. First every anchor has one
 window for its positives, then each (anchor, positive) has one for its negatives.
 A cell hands on the wanted number of rows of a window at most, so what is
 shuffled for the final choice is bounded by windows x row blocks x wanted.
@@ -39,11 +40,14 @@ from mixtape.session import stage
 
 #: Rows and anchors of a cell. A cell holds their product in scores of eight bytes at most.
 ROWS, ANCHORS = 4096, 1024
-#: Thresholds of the rounds, as depth below the upper end of a window: 0 upper, 1 lower end.
-POSITIVE_ROUNDS = (0.1, 0.2, 0.3, 0.4, 1.0)
-NEGATIVE_ROUNDS = (0.125, 0.25, 0.5, 1.0)
-#: Dimensions between two prunings.
-STRIDE = 16
+#: How far below the upper end of a window the rounds may go: 0 upper, 1 lower end.
+POSITIVE_ROUNDS, NEGATIVE_ROUNDS = (0.3, 1.0), (0.5, 1.0)
+#: Thresholds of a cell in a round, as parts of that depth.
+STEPS = (0.25, 0.5, 1.0)
+#: Dimensions between two prunings, and rows whose scores are accumulated together.
+STRIDE, TILE = 16, 1024
+#: Pairs that are scored exactly together.
+CHUNK = 8192
 
 
 class Index:
@@ -53,6 +57,8 @@ class Index:
     over the anchor's norm); the smallest of them bounds what is left out."""
 
     def __init__(self, x: np.ndarray, least: float):
+        kind = x.dtype
+        x = x.astype(np.float64, copy=False)
         by_size = np.argsort(-np.abs(x), axis=1, kind="stable")
         squares = np.take_along_axis(x * x, by_size, 1)
         suffix = np.sqrt(np.cumsum(squares[:, ::-1], axis=1)[:, ::-1])
@@ -65,13 +71,16 @@ class Index:
         self.omitted = np.sqrt(np.where(keep, 0.0, x * x).sum(1))
         #: dimensions with the heaviest postings first
         self.order = np.argsort(-np.where(keep, x * x, 0.0).sum(0), kind="stable")
-        later = np.where(keep, x * x, 0.0)[:, self.order]
+        kept_values = np.where(keep, x, 0.0)[:, self.order]
+        later = kept_values * kept_values
         #: norm of the postings of each row from a place in the order on
         self.later = np.sqrt(np.concatenate([np.cumsum(later[:, ::-1], 1)[:, ::-1], np.zeros((len(x), 1))], 1))
+        #: posting lists of each ``STRIDE`` dimensions: the rows with a kept entry there, and their entries
         self.postings = []
-        for d in self.order:
-            rows = np.flatnonzero(keep[:, d])
-            self.postings.append((rows, x[rows, d]))
+        for first in range(0, x.shape[1], STRIDE):
+            values = kept_values[:, first:first + STRIDE]
+            rows = np.flatnonzero(values.any(1))
+            self.postings.append((rows, values[rows].astype(kind)))
 
 
 def matches(x: np.ndarray, q: np.ndarray, thresholds: np.ndarray, allowed) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -81,51 +90,60 @@ def matches(x: np.ndarray, q: np.ndarray, thresholds: np.ndarray, allowed) -> tu
     none = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
     if not len(x) or not len(q):
         return none
-    fx, fq = x.astype(np.float64), q.astype(np.float64)
-    norms = np.sqrt((fq * fq).sum(1))
+    largest = math.sqrt(float((x.astype(np.float64) ** 2).sum(1).max()) * float((q.astype(np.float64) ** 2).sum(1).max()))
+    # whole numbers up to these are exact in a float
+    kind = np.float32 if largest < 1 << 23 else np.float64
+    fx, fq = x.astype(kind), q.astype(kind)
+    exact_x, exact_q = (fx, fq) if largest < 1 << 52 else (x, q)
+    norms = np.sqrt((fq.astype(np.float64) ** 2).sum(1))
     t = thresholds.astype(np.float64)
     least = float(np.min(np.divide(t, norms, out=np.where(t > 0, np.inf, 0.0), where=norms > 0)))
     index = Index(fx, least)
-    row_norms = np.sqrt((fx * fx).sum(1))
-    slack = 1e-6 + 1e-12 * norms * row_norms.max()
+    row_norms = np.sqrt((fx.astype(np.float64) ** 2).sum(1))
+    slack = 1e-6 + (1e-6 if kind is np.float32 else 1e-12) * norms * row_norms.max()
     # norm of each anchor from a place in the order of dimensions on
-    rest = fq[:, index.order] ** 2
+    rest = fq[:, index.order].astype(np.float64) ** 2
     rest = np.sqrt(np.concatenate([np.cumsum(rest[:, ::-1], 1)[:, ::-1], np.zeros((len(q), 1))], 1))
-    alive = np.flatnonzero(row_norms >= least * (1 - 1e-9)) if least > 0 else np.arange(len(x))
-    place = np.full(len(x), -1)
-    place[alive] = np.arange(len(alive))
-    scores = np.zeros((len(alive), len(q)))
+    reach = row_norms >= least * (1 - 1e-9) if least > 0 else np.ones(len(x), bool)
     dims = x.shape[1]
-    for first in range(0, dims, STRIDE):
-        last = min(first + STRIDE, dims)
-        for j in range(first, last):
-            rows, values = index.postings[j]
-            at = place[rows]
-            there = at >= 0
-            scores[at[there]] += values[there, None] * fq[None, :, index.order[j]]
-        bound = scores + index.later[alive, last][:, None] * rest[None, :, last]
-        bound += index.omitted[alive][:, None] * norms[None, :]
-        bound += slack - t
-        stays = (bound >= 0).any(1)
-        if last == dims:
-            row, anchor = np.nonzero(bound >= 0)
-            row = alive[row]
-        elif not stays.all():
-            scores, alive = scores[stays], alive[stays]
-            place[:] = -1
-            place[alive] = np.arange(len(alive))
-    if not dims:
-        row, anchor = (a.ravel() for a in np.meshgrid(alive, np.arange(len(q)), indexing="ij"))
+    found = [], []
+    for start in range(0, len(x), TILE):
+        alive = start + np.flatnonzero(reach[start:start + TILE])
+        scores = np.zeros((len(alive), len(q)), kind)
+        for group in range(0, len(index.postings) or 1):
+            last = min((group + 1) * STRIDE, dims)
+            if dims and len(alive):
+                rows, values = index.postings[group]
+                a, b = np.searchsorted(rows, (start, start + TILE))
+                at = np.searchsorted(alive, rows[a:b])
+                there = at < len(alive)
+                there[there] = alive[at[there]] == rows[a:b][there]
+                scores[at[there]] += values[a:b][there] @ fq[:, index.order[group * STRIDE:last]].T
+            # what remains of both norms, and what was left out of the index
+            bound = np.column_stack([index.later[alive, last], index.omitted[alive], np.ones(len(alive))]).astype(kind) @ np.stack(
+                [rest[:, last], norms, slack - t]).astype(kind)
+            bound += scores
+            stays = bound >= 0
+            if last == dims:
+                row, anchor = np.nonzero(stays)
+                found[0].append(alive[row])
+                found[1].append(anchor)
+            else:
+                some = stays.any(1)
+                if not some.all():
+                    scores, alive = scores[some], alive[some]
+    row, anchor = np.concatenate(found[0]), np.concatenate(found[1])
     good = allowed(row, anchor)
     row, anchor = row[good], anchor[good]
     exact = np.concatenate([np.zeros(0, np.int64), *(
-        np.einsum("ij,ij->i", x[row[a:a + 65536]], q[anchor[a:a + 65536]]) for a in range(0, len(row), 65536))])
+        np.einsum("ij,ij->i", exact_x[row[a:a + CHUNK]], exact_q[anchor[a:a + CHUNK]]).astype(np.int64) for a in range(0, len(row), CHUNK))])
     good = exact >= thresholds[anchor]
     return row[good], anchor[good], exact[good]
 
 
 def _cell(rows: pa.Table, asks: pa.Table, dims: int, same: bool, want: int) -> pa.Table:
-    """The best rows of this cell for every window of its anchors."""
+    """The best rows of this cell for every window of its anchors: thresholds go down from
+    the upper end until the cell has as many as wanted or the end of the round is reached."""
     ids, labels = (rows.column(c).to_numpy() for c in ("id", "label"))
     anchor_ids, anchor_labels, keys = (asks.column(c).to_numpy() for c in ("id", "label", "anchor"))
     windows = asks.column("windows").combine_chunks()
@@ -133,30 +151,40 @@ def _cell(rows: pa.Table, asks: pa.Table, dims: int, same: bool, want: int) -> p
     flat = windows.flatten()
     slot, low, high = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(3))
     owner = np.repeat(np.arange(len(keys)), sizes)
-    thresholds = np.full(len(keys), np.iinfo(np.int64).max)
-    np.minimum.at(thresholds, owner, low)
+    x, q = matrix(rows.column("x"), dims), matrix(asks.column("x"), dims)
 
     def allowed(row, anchor):
         return ((labels[row] == anchor_labels[anchor]) == same) & (ids[row] != anchor_ids[anchor])
 
-    row, anchor, score = matches(matrix(rows.column("x"), dims), matrix(asks.column("x"), dims), thresholds, allowed)
-    order = np.lexsort((ids[row], -score, anchor))
-    row, anchor, score = row[order], anchor[order], score[order]
-    begin = np.searchsorted(anchor, np.arange(len(keys) + 1))
-    out = []
-    for w in range(len(owner)):
-        a, b = begin[owner[w]], begin[owner[w] + 1]
-        if a < b:
-            falling = -score[a:b]
-            start = a + int(np.searchsorted(falling, -high[w], "left"))
-            end = min(a + int(np.searchsorted(falling, -low[w], "right")), start + want)
-            if start < end:
-                out.append((w, np.arange(start, end)))
-    count = np.array([len(found) for _, found in out], np.int64)
-    w = np.repeat(np.array([w for w, _ in out], np.int64), count)
-    found = np.concatenate([np.zeros(0, np.int64), *(f for _, f in out)])
+    out = {name: [np.zeros(0, np.int64)] for name in ("window", "id", "score")}
+    going = np.arange(len(owner))
+    for step in STEPS:
+        if not len(going) or not len(x):
+            break
+        t = low[going] if step == 1 else np.maximum(low[going], high[going] - np.ceil(step * (high[going] - low[going])).astype(np.int64))
+        asked, place = np.unique(owner[going], return_inverse=True)
+        thresholds = np.full(len(asked), np.iinfo(np.int64).max)
+        np.minimum.at(thresholds, place, t)
+        row, anchor, score = matches(x, q[asked], thresholds, lambda r, a: allowed(r, asked[a]))
+        order = np.lexsort((ids[row], -score, anchor))
+        row, anchor, score = row[order], anchor[order], score[order]
+        begin = np.searchsorted(anchor, np.arange(len(asked) + 1))
+        still = []
+        for w, p, least in zip(going, place, t):
+            a, b = begin[p], begin[p + 1]
+            start = a + int(np.searchsorted(-score[a:b], -high[w], "left"))
+            end = a + int(np.searchsorted(-score[a:b], -least, "right"))
+            if end - start < want and least > low[w]:
+                still.append(w)
+                continue
+            end = min(end, start + want)
+            out["window"].append(np.full(max(0, end - start), w))
+            out["id"].append(ids[row[start:end]])
+            out["score"].append(score[start:end])
+        going = np.array(still, np.int64)
+    w, found, scores = (np.concatenate(out[name]) for name in ("window", "id", "score"))
     return pa.table({"anchor": pa.array(keys[owner[w]], pa.int64()), "slot": pa.array(slot[w], pa.int32()),
-                     "id": pa.array(ids[row[found]], pa.int64()), "score": pa.array(score[found], pa.int64())})
+                     "id": pa.array(found, pa.int64()), "score": pa.array(scores, pa.int64())})
 
 
 def _numbers(n: int) -> Column:
@@ -182,17 +210,16 @@ def _round(rows: DataFrame, anchors: DataFrame, asked: DataFrame, dims: int, sam
 
 
 def _fill(rows: DataFrame, anchors: DataFrame, windows: DataFrame, rounds: tuple[float, ...], want: int, **cells) -> DataFrame:
-    """(anchor, slot, rank, id, score) for ``windows`` (anchor, slot, low, high): thresholds go
-    down from round to round until a window has what it wants or its lower end is reached."""
+    """(anchor, slot, rank, id, score) for ``windows`` (anchor, slot, low, high): rounds go deeper
+    until a window has what it wants or its lower end is reached."""
     open_windows, done = stage(windows, "windows"), []
     for depth in rounds:
-        n_anchors = open_windows.agg(F.countDistinct("anchor")).first()[0]
-        if not n_anchors:
+        if done and open_windows.isEmpty():
             break
         span = (F.col("high") - F.col("low")).cast("double") * F.lit(depth)
         t = F.col("low") if depth == 1 else F.greatest(F.col("low"), F.col("high") - F.ceil(span))
         asked = open_windows.select("anchor", "slot", "low", "high", t.alias("t"))
-        found = stage(_round(rows, anchors, asked, want=want, n_anchors=n_anchors, **cells), "window-rows")
+        found = stage(_round(rows, anchors, asked, want=want, **cells), "window-rows")
         counts = found.groupBy("anchor", "slot").agg(F.max("rank").alias("n"))
         state = stage(asked.join(counts, ["anchor", "slot"], "left").withColumn(
             "full", (F.coalesce("n", F.lit(0)) >= want) | (F.col("t") <= F.col("low"))), "window-state")
@@ -223,8 +250,8 @@ def mine(rows: DataFrame, anchors: Column, id_col: str = "vec_id", vector_col: s
     n_rows, longest = kept.agg(F.count(F.lit(1)), F.coalesce(F.max(squares), F.lit(0.0))).first()
     if longest * 100 >= 2.0 ** 63:
         raise ValueError("scores don't fit a long")
-    cells = {"dims": dimensions(kept, "x"), "n_rows": max(1, n_rows), "rows_per_cell": rows_per_cell, "anchors_per_cell": anchors_per_cell}
     chosen = stage(kept.where("is_anchor").select(F.col("row").alias("anchor"), "id", "label", "x"), "anchors")
+    cells = {"dims": dimensions(kept, "x"), "n_rows": max(1, n_rows), "n_anchors": chosen.count(), "rows_per_cell": rows_per_cell, "anchors_per_cell": anchors_per_cell}
     # no score lies further from zero than the product of the norms
     reach = F.ceil(F.sqrt(squares) * F.lit(math.sqrt(longest))) + F.lit(1)
     windows = chosen.select("anchor", F.lit(0).alias("slot"), (-reach).alias("low"), reach.alias("high"))
