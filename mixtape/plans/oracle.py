@@ -5,7 +5,7 @@ The views ``lineitem orders part ...`` are registered by the checker.
 
 from __future__ import annotations
 
-from mixtape.sources.testview import HISTORY_CUTOFF, INDEX_CUTOFF, ORDER_BASKET
+from mixtape.sources.testview import DICTIONARY_CUTOFFS, HISTORY_CUTOFF, ORDER_BASKET
 
 
 def raw_rows(where: str = "") -> str:
@@ -36,16 +36,30 @@ ui as (select distinct r.playlist_id, r.track_uri, r.track_name, r.artist_name,
 pairs as (select distinct playlist_id, track_uri_index from ui where track_uri_index is not null),
 catalog as (select distinct track_name, artist_name, album_name, track_uri from ui)"""
 
-# dictionary of the first batch, extended with the rest
-INCREMENTAL_CTES = f"""old_raw as ({raw_rows(before(INDEX_CUTOFF))}),
-new_raw as ({raw_rows(since(INDEX_CUTOFF))}),
+FIRST, SECOND = DICTIONARY_CUTOFFS
+
+
+def _added(raw: str, known: str) -> str:
+    """Ids for the keys of a batch that the dictionary lacks, after its largest id."""
+    return f"""select track, cast((select coalesce(max(id), 0) from {known})
+                          + row_number() over (order by track) as int) as id
+          from (select distinct track_uri as track from {raw} where track_uri is not null
+                except select track from {known}) k"""
+
+
+# dictionary of the first batch, extended twice: up to the second date, then with the rest
+INCREMENTAL_CTES = f"""old_raw as ({raw_rows(before(FIRST))}),
+new_raw as ({raw_rows(since(FIRST))}),
+mid_raw as ({raw_rows(since(FIRST) + " and " + before(SECOND))}),
+late_raw as ({raw_rows(since(SECOND))}),
 old_idx as (select track, cast(row_number() over (order by track) as int) as id
             from (select distinct track_uri as track from old_raw where track_uri is not null) k),
-added as (select track, cast((select coalesce(max(id), 0) from old_idx)
-                          + row_number() over (order by track) as int) as id
-          from (select distinct track_uri as track from new_raw where track_uri is not null
-                except select track from old_idx) k),
-inc_idx as (select * from old_idx union all select * from added)"""
+added_mid as ({_added("mid_raw", "old_idx")}),
+mid_idx as (select * from old_idx union all select * from added_mid),
+added_late as ({_added("late_raw", "mid_idx")}),
+inc_idx as (select * from mid_idx union all select * from added_late),
+versions as (select 1 as version, * from old_idx union all select 2 as version, * from added_mid
+             union all select 3 as version, * from added_late)"""
 
 HISTORY_CTES = f"""hist_raw as ({raw_rows(before(HISTORY_CUTOFF))}),
 incoming_raw as ({raw_rows(since(HISTORY_CUTOFF))}),

@@ -64,20 +64,88 @@ def test_arrays_and_out_of_range(spark):
     assert vec.out_of_range(ui, 3).count() == 2
 
 
-def test_load_or_build_reuses(spark):
-    path = scratch_path(spark, "t-artefact")
-    calls = []
-
+def _build(spark, calls, n=5):
     def build():
         calls.append(1)
-        return spark.range(5).withColumnRenamed("id", "x")
-    first = artefacts.load_or_build_frame(spark, path, build)
-    again = artefacts.load_or_build_frame(spark, path, build)
-    assert sorted(r.x for r in first.collect()) == sorted(r.x for r in again.collect()) == list(range(5))
+        return spark.range(n).withColumnRenamed("id", "x")
+    return build
+
+
+def _values(df):
+    return sorted(r.x for r in df.collect())
+
+
+def test_load_or_build_reuses(spark):
+    path, calls = scratch_path(spark, "t-artefact"), []
+    first = artefacts.load_or_build_frame(spark, path, _build(spark, calls))
+    again = artefacts.load_or_build_frame(spark, path, _build(spark, calls))
+    assert _values(first) == _values(again) == list(range(5))
     assert len(calls) == 1
     assert artefacts.path_exists(spark, path) and not artefacts.path_exists(spark, path + "-nope")
 
 
+def test_half_written_folder_is_rebuilt(spark):
+    """A build that fails while or after writing leaves no version."""
+    path, calls = scratch_path(spark, "t-artefact"), []
+
+    def broken(df, folder):
+        df.write.parquet(folder)
+        raise OSError("disk full")
+
+    with pytest.raises(OSError):
+        artefacts.load_or_build(spark, path, _build(spark, calls), broken, spark.read.parquet)
+    assert artefacts.path_exists(spark, path) and artefacts.current(spark, path) is None
+    assert _values(artefacts.load_or_build_frame(spark, path, _build(spark, calls))) == list(range(5))
+    assert len(calls) == 2
+
+
+def test_changed_inputs_are_not_reused(spark):
+    source, path, calls = scratch_path(spark, "t-source"), scratch_path(spark, "t-artefact"), []
+    spark.range(3).write.parquet(source)
+
+    def made_from(**parameters):
+        return artefacts.fingerprint(spark.read.parquet(source), **parameters)
+
+    one = made_from(k=5)
+    assert one == made_from(k=5) != made_from(k=6)
+    for mark in (one, one, made_from(k=6), made_from(k=6)):
+        artefacts.load_or_build_frame(spark, path, _build(spark, calls), made_from=mark)
+    assert len(calls) == 2
+    spark.range(4).write.mode("append").parquet(source)
+    assert made_from(k=6) != made_from(k=5) != one
+    artefacts.load_or_build_frame(spark, path, _build(spark, calls), made_from=made_from(k=6))
+    assert len(calls) == 3 and [v["version"] for v in artefacts.versions(spark, path)] == [1, 2, 3]
+
+
+def test_reader_keeps_its_version(spark):
+    path, calls = scratch_path(spark, "t-artefact"), []
+    old = artefacts.load_or_build_frame(spark, path, _build(spark, calls, 3))
+    new = artefacts.load_or_build_frame(spark, path, _build(spark, calls, 7), reuse=False)
+    assert _values(old) == list(range(3)) and _values(new) == list(range(7))
+    assert _values(artefacts.load_or_build_frame(spark, path, _build(spark, calls, 9))) == list(range(7))
+    gone = artefacts.release(spark, path)
+    assert len(gone) == 1 and _values(artefacts.load_or_build_frame(spark, path, _build(spark, calls, 9))) == list(range(7))
+
+
+def test_second_publisher_uses_the_first(spark):
+    path, calls = scratch_path(spark, "t-artefact"), []
+
+    def build():
+        if not calls:
+            calls.append("outer")
+            artefacts.load_or_build_frame(spark, path, _build(spark, calls, 2))
+        return spark.range(8).withColumnRenamed("id", "x")
+
+    assert _values(artefacts.load_or_build_frame(spark, path, build)) == [0, 1]
+    assert len(artefacts.versions(spark, path)) == 1
+
+
+def test_publish_once(spark):
+    path = scratch_path(spark, "t-records") + "/1.json"
+    assert artefacts.publish(spark, path, {"a": 1}) and not artefacts.publish(spark, path, {"a": 2})
+    assert artefacts.records(spark, path.rsplit("/", 1)[0]) == [{"a": 1}]
+
+
 def test_empty_guard_and_sql_view(spark):
     c = spark.createDataFrame([("b", "x", "y", "u:2"), ("a", "x", "y", "u:1")],
                               "track_name string, artist_name string, album_name string, track_uri string")
