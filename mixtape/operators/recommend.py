@@ -2,14 +2,14 @@
 
 Known baskets (their id is an existing playlist) get that playlist's own
 top-k; new baskets get the top-k of their nearest existing playlist. Both
-sets of users are scored by ONE blockwise ``recommendForUserSubset`` call and
-joined back, then ids are decoded against a one-row-per-id catalog.
+sets of users are searched by one bounded top-k (``topk``) and joined back, then
+ids are decoded against a one-row-per-id catalog.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.recommendation import ALSModel
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from mixtape.functions.text import uri_list
 from mixtape.operators import factors
@@ -38,13 +38,6 @@ def _encode_baskets(baskets: DataFrame, index: DataFrame, basket_col: str) -> Da
     return enc.select(basket_col, "track_uri_index")
 
 
-def _exclude_seen(recs: DataFrame, seen: DataFrame, basket_col: str, k: int) -> DataFrame:
-    kept = recs.join(seen, [basket_col, "track_uri_index"], "left_anti")
-    w = Window.partitionBy(basket_col).orderBy("rank")
-    return (kept.withColumn("rank", F.row_number().over(w).cast("int"))
-                .where(F.col("rank") <= k))
-
-
 #: A playlist that answers more than this share of the baskets is dealt in this many parts.
 HEAVY_PARTS = 64
 
@@ -56,15 +49,16 @@ def _answer(model: ALSModel, route: DataFrame, k: int, basket_col: str, user_col
     One playlist may answer most baskets, so the results of each playlist are one
     row with an array, and the few playlists above 1 / HEAVY_PARTS of the baskets
     (HEAVY_PARTS at most) are met in parts drawn from the basket id. With ``seen``
-    (basket, id) rows a basket asks for as many rows more as it has seen.
+    (basket, id) rows every basket is searched for itself and leaves its own tracks
+    out inside the search: it gets k rows, whatever others have seen.
     """
-    if seen is None:
-        scored = factors.top_k(model, route.select(F.col("_src").alias(user_col)), k, user_col)
-    else:
-        sizes = seen.groupBy(basket_col).agg(F.count(F.lit(1)).alias("_seen"))
-        need = (route.select(basket_col, F.col("_src").alias(user_col)).join(sizes, basket_col, "left")
-                .withColumn("_k", F.lit(k) + F.coalesce("_seen", F.lit(0))))
-        scored = factors.top_k_each(model, need, "_k", user_col)
+    columns = [basket_col, "method", "neighbor_id", "distance"]
+    if seen is not None:
+        held = seen.groupBy(basket_col).agg(F.collect_set("track_uri_index").alias("_seen"))
+        found = factors.top_k_unseen(model, route.join(held, basket_col, "left"), k, "_src", "_seen")
+        return (found.select(*columns, F.inline("recs").alias("rank", "_i", "_s"))
+                .select(*columns, "rank", F.col("_i").cast("int").alias("track_uri_index"), F.col("_s").cast("float").alias("score")))
+    scored = factors.top_k(model, route.select(F.col("_src").alias(user_col)), k, user_col)
     lists = scored.groupBy(F.col(user_col).alias("_src")).agg(
         F.collect_list(F.struct("rank", "track_uri_index", "score")).alias("_recs"))
     counts = route.groupBy("_src").agg(F.count(F.lit(1)).alias("_n"))
@@ -76,9 +70,7 @@ def _answer(model: ALSModel, route: DataFrame, k: int, basket_col: str, user_col
     right = (lists.join(F.broadcast(heavy), "_src", "left")
              .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)).cast("long") - 1)))
              .drop("_parts"))
-    recs = (left.join(right, ["_src", "_part"])
-            .select(basket_col, "method", "neighbor_id", "distance", F.inline("_recs")))
-    return recs if seen is None else _exclude_seen(recs, seen, basket_col, k)
+    return left.join(right, ["_src", "_part"]).select(*columns, F.inline("_recs"))
 
 
 def recommend_new(model: ALSModel, baskets: DataFrame, index: DataFrame, existing: DataFrame,

@@ -17,10 +17,11 @@ from mixtape.operators import index as idx
 from mixtape.operators import neighbors as nb
 from mixtape.operators import recommend as rec
 from mixtape.operators import search
+from mixtape.operators import stored_catalog
 from mixtape.operators import vectors as vec
 from mixtape.plans import queries as q
 from mixtape.plans.context import context
-from mixtape.plans.oracle import HISTORY_CTES, UI_CTES
+from mixtape.plans.oracle import HISTORY_CTES, INCREMENTAL_CTES, UI_CTES
 from mixtape.plans.registry import query
 from mixtape.session import scratch_path, stage
 from mixtape.sources import artefacts
@@ -129,9 +130,56 @@ def q_check_recommend_stream(spark, sf_dir):
 
 
 @query("check_als_factors", sql=f"""with {UI_CTES}
-select distinct cast(playlist_id as int) as id, {fac.RANK} as n_features from pairs""")
+select distinct cast(playlist_id as int) as id, {fac.RANK} as n_features, true as solved from pairs""")
 def q_check_als_factors(spark, sf_dir):
-    return q.q_als_factors(spark, sf_dir).select("id", F.size("features").alias("n_features"))
+    """Whether each playlist's factors solve their regularised normal equations (to a thousandth:
+    the fit computes in single precision)."""
+    ctx = context(spark, sf_dir)
+    left = fac.residuals(ctx.model, ctx.pairs)
+    return (q.q_als_factors(spark, sf_dir).join(left, "id", "left")
+            .select("id", F.size("features").alias("n_features"), (F.col("residual") < 1e-3).alias("solved")))
+
+
+@query("check_top_k", sql=f"""with {UI_CTES}
+select distinct cast(playlist_id as int) as playlist_id, true as same_scores from pairs""")
+def q_check_top_k(spark, sf_dir):
+    """The bounded search against the product of all playlists with all tracks, by their scores."""
+    ctx = context(spark, sf_dir)
+    users = ctx.pairs.select("playlist_id").distinct()
+    own = (fac.top_k(ctx.model, users, 5).groupBy("playlist_id")
+           .agg(F.array_sort(F.collect_list(F.struct("rank", "score"))).alias("_own")))
+    full = ctx.model.recommendForUserSubset(users.select(F.col("playlist_id").cast("int").alias("playlist_id")), 5)
+    near = F.zip_with(F.transform("_own", lambda x: x["score"]), F.transform("recommendations", lambda x: x["rating"]),
+                      lambda a, b: F.coalesce(F.abs(a - b) <= 1e-5 * F.greatest(F.abs(b), F.lit(1.0)), F.lit(False)))
+    return own.join(full, "playlist_id").select("playlist_id", F.forall(near, lambda x: x).alias("same_scores"))
+
+
+@query("check_top_k_pairs", sql=f"""with {UI_CTES}
+select count(distinct playlist_id) as n_users, count(distinct track_uri_index) as n_items, true as fewer from pairs""")
+def q_check_top_k_pairs(spark, sf_dir):
+    """How many pairs the bounded search scored: less than half of all."""
+    ctx = context(spark, sf_dir)
+    users = ctx.pairs.select("playlist_id").distinct()
+    scored = fac.top_k(ctx.model, users, 5, with_scored=True).where("rank = 1")
+    n_items = ctx.model.itemFactors.count()
+    return scored.agg(F.count(F.lit(1)).alias("n_users"), F.lit(n_items).cast("long").alias("n_items"),
+                      (2 * F.sum("scored") < F.count(F.lit(1)) * n_items).alias("fewer"))
+
+
+@query("check_search_tested", sql=f"""{q.CATALOG_SQL},
+t as (select unnest(['ring', 'navy ring', 'ng', 'zzzz']) as term)
+select term, (select count(*) from cat) as n_rows,
+       (select count(*) from cat where contains(lower(track_name), term)) as n_found, true as narrowed from t""")
+def q_check_search_tested(spark, sf_dir):
+    """Rows that the postings leave to test: all for a term under three characters, else not many
+    more than are found (names hold few runs of a term without the term)."""
+    stored = context(spark, sf_dir).stored_catalog
+    rows = []
+    for term in ("ring", "navy ring", "ng", "zzzz"):
+        r = stored_catalog.report(stored, {"track_name": term}).first()
+        exact = r["n_tested"] == r["n_rows"] if len(term) < 3 else r["n_found"] <= r["n_tested"] <= 2 * r["n_found"] + 10
+        rows.append((term, r["n_rows"], r["n_found"], exact))
+    return spark.createDataFrame(rows, "term string, n_rows long, n_found long, narrowed boolean")
 
 
 @query("check_als_roundtrip", sql=f"""with {UI_CTES}
@@ -251,3 +299,18 @@ def q_check_known_rows(spark, sf_dir):
     sized = stage(context(spark, sf_dir).vectors.select(
         "playlist_id", vec.vector_summary("features")["n_items"].cast("bigint").alias("n_known")), "vector-sizes")
     return sized
+
+
+@query("check_index_extensions", sql=f"""with {INCREMENTAL_CTES},
+b as (select 1 as version, track_uri from old_raw union all select 2, track_uri from mid_raw
+      union all select 3, track_uri from late_raw),
+k as (select version, count(distinct track_uri) as batch from b group by version),
+a as (select version, count(*) as added from versions group by version)
+select k.version, batch, added, true as filtered from k join a on k.version = a.version""")
+def q_check_index_extensions(spark, sf_dir):
+    """What each extension did. ``filtered``: the key filters kept nine tenths of the new keys at
+    least, and no known one, away from the join with the stored rows."""
+    _, done = context(spark, sf_dir).dictionary
+    return spark.createDataFrame(
+        [(e.version, e.batch, e.added, e.skipped <= e.added and 10 * e.skipped >= 9 * e.added) for e in done],
+        "version int, batch long, added long, filtered boolean")

@@ -12,10 +12,12 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from mixtape.operators import catalog as cat
+from mixtape.operators import dictionary
 from mixtape.operators import factors as fac
 from mixtape.operators import index as idx
 from mixtape.operators import interactions as inter
 from mixtape.operators import neighbors as nb
+from mixtape.operators import stored_catalog
 from mixtape.operators import vectors as vec
 from mixtape.session import scratch_path, stage
 from mixtape.sources import testview as tv
@@ -23,6 +25,7 @@ from mixtape.sources import testview as tv
 _CONTEXTS: dict[tuple[str, str], "Context"] = {}
 
 ALS_SEED = 42
+CATALOG_PART_ROWS = 350
 LSH_SEED = 7
 
 
@@ -61,6 +64,13 @@ class Context:
         path = scratch_path(self.spark, "catalog")
         return cat.read_catalog(self.spark, cat.write_catalog(cat.build_catalog(self.interactions), path))
 
+    @cached_property
+    def stored_catalog(self) -> stored_catalog.StoredCatalog:
+        """The catalog with its page and substring indexes; parts so small that pages cross them."""
+        path = scratch_path(self.spark, "stored-catalog")
+        stored_catalog.write(self.catalog, path, part_rows=CATALOG_PART_ROWS)
+        return stored_catalog.read(self.spark, path)
+
     @cached_property
     def vectors(self) -> DataFrame:
         """Sparse 0/1 vectors of all playlists, stored once."""
@@ -70,22 +80,21 @@ class Context:
     def lsh(self):
         return nb.fit_lsh(self.vectors, seed=LSH_SEED)
 
-    # first dictionary + extension ------------------------------------------
-    @property
-    def old_rows(self) -> DataFrame:
-        return tv.playlist_tracks(self.spark, self.sf_dir, until=tv.INDEX_CUTOFF)
-
+    # first dictionary + extensions ------------------------------------------
     @property
     def new_rows(self) -> DataFrame:
-        return tv.playlist_tracks(self.spark, self.sf_dir, since=tv.INDEX_CUTOFF)
-
-    @cached_property
-    def old_index(self) -> DataFrame:
-        return idx.build_index(self.old_rows)
-
-    @cached_property
-    def incremental_index(self) -> DataFrame:
-        return idx.extend_index(self.old_index, self.new_rows)
+        """Everything after the first dictionary."""
+        return tv.playlist_tracks(self.spark, self.sf_dir, since=tv.DICTIONARY_CUTOFFS[0])
+
+    @cached_property
+    def dictionary(self) -> tuple[str, list[dictionary.Extension]]:
+        """(folder of the stored dictionary, what each of its three extensions did)."""
+        root = scratch_path(self.spark, "dictionary")
+        first, second = tv.DICTIONARY_CUTOFFS
+        batches = [tv.playlist_tracks(self.spark, self.sf_dir, until=first),
+                   tv.playlist_tracks(self.spark, self.sf_dir, since=first, until=second),
+                   tv.playlist_tracks(self.spark, self.sf_dir, since=second)]
+        return root, [dictionary.extend(self.spark, root, rows) for rows in batches]
 
     # history / incoming split for recommendation ----------------------------
     @property

@@ -9,18 +9,22 @@ from pyspark.sql import functions as F
 
 from mixtape.functions import text as txt
 from mixtape.operators import catalog as cat
+from mixtape.operators import dictionary
 from mixtape.operators import factors as fac
 from mixtape.operators import index as idx
 from mixtape.operators import interactions as inter
 from mixtape.operators import neighbors as nb
 from mixtape.operators import recommend as rec
 from mixtape.operators import search
+from mixtape.operators import setsim
+from mixtape.operators import stored_catalog
 from mixtape.operators import vectors as vec
 from mixtape.plans.context import context
 from mixtape.plans.oracle import HISTORY_CTES, INCREMENTAL_CTES, UI_CTES, raw_rows
 from mixtape.plans.registry import query
 from mixtape.session import scratch_path
 from mixtape.sources import json_slices
+from mixtape.sources import json_split
 from mixtape.sources import models as mdl
 from mixtape.sources import testview as tv
 from mixtape.streaming import baskets as stream_baskets
@@ -46,26 +50,64 @@ def q_interactions(spark, sf_dir):
 @query("index_incremental", sql=f"""with {INCREMENTAL_CTES}
 select track, id from inc_idx""")
 def q_index_incremental(spark, sf_dir):
-    return context(spark, sf_dir).incremental_index
+    """Built from the first batch and extended twice, as read from its log."""
+    root, _ = context(spark, sf_dir).dictionary
+    return dictionary.read(spark, root)
+
+
+@query("index_versions", sql=f"""with {INCREMENTAL_CTES}
+select version, count(*) as n_rows, cast(min(id) as bigint) as first_id, cast(max(id) as bigint) as last_id
+from versions group by version""")
+def q_index_versions(spark, sf_dir):
+    root, _ = context(spark, sf_dir).dictionary
+    return dictionary.versions(spark, root)
+
+
+@query("index_version_rows", sql=f"""with {INCREMENTAL_CTES}
+select track, id, version from versions""")
+def q_index_version_rows(spark, sf_dir):
+    """Each row with the version that added it: older rows stay where they were written."""
+    root, _ = context(spark, sf_dir).dictionary
+    return dictionary.read(spark, root, with_version=True)
+
+
+@query("index_snapshot", sql=f"""with {INCREMENTAL_CTES}
+select track, id from mid_idx""")
+def q_index_snapshot(spark, sf_dir):
+    """The dictionary as it was after the first extension."""
+    root, _ = context(spark, sf_dir).dictionary
+    return dictionary.read(spark, root, version=2)
 
 
 @query("new_tracks_except", sql=f"""with {INCREMENTAL_CTES}
 select track_uri from new_raw except select track from old_idx""")
 def q_new_tracks_except(spark, sf_dir):
     ctx = context(spark, sf_dir)
-    return ctx.new_rows.select("track_uri").subtract(ctx.old_index.select("track"))
+    old = dictionary.read(spark, ctx.dictionary[0], version=1)
+    return ctx.new_rows.select("track_uri").subtract(old.select("track"))
 
 
 @query("index_lookup", sql=f"""with {INCREMENTAL_CTES}
 select k.track, o.id, o.id is null as is_new
 from (select distinct track_uri as track from new_raw) k left join old_idx o on k.track = o.track""")
 def q_index_lookup(spark, sf_dir):
+    """Later keys in the first version: known ones with their id, the others new."""
     ctx = context(spark, sf_dir)
     keys = ctx.new_rows.select(F.col("track_uri").alias("track")).distinct()
-    found = idx.encode(keys, ctx.old_index, "track", "id")
+    found = dictionary.lookup(spark, ctx.dictionary[0], keys, version=1)
     return found.withColumn("is_new", F.col("id").isNull())
 
 
+@query("index_new_keys", sql=f"""with {INCREMENTAL_CTES}
+select distinct track_uri as track, track_uri not in (select track from mid_idx) as is_new from late_raw""")
+def q_index_new_keys(spark, sf_dir):
+    """The last batch against the dictionary before it, by a join with all its rows."""
+    ctx = context(spark, sf_dir)
+    known = dictionary.read(spark, ctx.dictionary[0], version=2)
+    late = tv.playlist_tracks(spark, sf_dir, since=tv.DICTIONARY_CUTOFFS[1])
+    return idx.is_new_key(known, late.select(F.col("track_uri").alias("track")).distinct())
+
+
 @query("index_reverse_lookup", sql=f"""with {UI_CTES}
 select cast(p.p_partkey as int) as id, idx.track
 from part p left join idx on cast(p.p_partkey as int) = idx.id""")
@@ -114,6 +156,13 @@ def q_json_ingest(spark, sf_dir):
     return interactions
 
 
+@query("json_flatten_document", sql=f"select * from ({raw_rows()}) r")
+def q_json_flatten_document(spark, sf_dir):
+    """All playlists as one document, which several tasks read."""
+    path = json_split.write_document(context(spark, sf_dir).rows, scratch_path(spark, "document"))
+    return json_split.flatten_documents(spark, path)
+
+
 # --- catalog, lookups, search, text rows ------------------------------------------
 
 
@@ -180,6 +229,35 @@ def q_catalog_page_keyset(spark, sf_dir):
                                             last["album_name"]))
 
 
+@query("catalog_page_deep", sql=f"""{CATALOG_SQL},
+r as (select *, row_number() over (order by track_uri, track_name, artist_name, album_name) - 1 as pos,
+             count(*) over () as n from cat)
+select track_name, artist_name, album_name, track_uri from r where pos >= n * 3 // 4 and pos < n * 3 // 4 + 100""")
+def q_catalog_page_deep(spark, sf_dir):
+    """The page after three quarters of the catalog, from the stored parts that it touches."""
+    stored = context(spark, sf_dir).stored_catalog
+    n = stored.manifest.agg(F.sum("n_rows")).first()[0]
+    return stored_catalog.page(stored, n * 3 // 4)
+
+
+@query("track_name_like_indexed", sql=f"""{CATALOG_SQL}
+select * from cat where contains(lower(track_name), lower('{NAME_TERM}'))""")
+def q_track_name_like_indexed(spark, sf_dir):
+    return stored_catalog.name_like(context(spark, sf_dir).stored_catalog, NAME_TERM)
+
+
+@query("track_search_indexed", sql=f"""{CATALOG_SQL}
+select * from cat where contains(lower(track_name), '{SEARCH[0]}') and contains(lower(artist_name), '{SEARCH[1]}')""")
+def q_track_search_indexed(spark, sf_dir):
+    return stored_catalog.search(context(spark, sf_dir).stored_catalog, *SEARCH)
+
+
+@query("track_search_contains_indexed", sql=f"""{CATALOG_SQL}
+select * from cat where contains(lower(track_name), lower('{CONTAINS[0]}')) and contains(lower(album_name), lower('{CONTAINS[2]}'))""")
+def q_track_search_contains_indexed(spark, sf_dir):
+    return stored_catalog.search_contains(context(spark, sf_dir).stored_catalog, *CONTAINS)
+
+
 @query("track_by_uri", sql=f"""{CATALOG_SQL}
 select * from cat where track_uri = '{POINT_URI}'
 order by track_uri, track_name, artist_name, album_name limit 1""")
@@ -395,6 +473,41 @@ def q_knn_top3(spark, sf_dir):
     return nb.knn_exact(items, ctx.pairs, k=3, existing_distinct=True)
 
 
+def sets_sql(similarity: str, k: int) -> str:
+    """All orders against all playlists by their common tracks; nothing common counts as zero."""
+    return f"""with {UI_CTES},
+bk as (select distinct l_orderkey as basket_id, idx.id as item
+       from lineitem join idx on concat('part:', cast(l_partkey as varchar)) = idx.track),
+a as (select basket_id, count(*) as a from bk group by basket_id),
+u as (select playlist_id, count(*) as b from pairs group by playlist_id),
+o as (select basket_id, playlist_id, count(*) as o from bk join pairs on item = track_uri_index
+      group by basket_id, playlist_id),
+s as (select basket_id, playlist_id, {similarity} as s from o join a using (basket_id) join u using (playlist_id)),
+z as (select basket_id, playlist_id, cast(0 as double) as s
+      from a cross join (select playlist_id from u order by playlist_id limit {k}) f
+      where not exists (select 1 from s where s.basket_id = a.basket_id and s.playlist_id = f.playlist_id)),
+r as (select *, row_number() over (partition by basket_id order by s desc, playlist_id) as rank
+      from (select * from s union all select * from z) sz)
+select basket_id, playlist_id as neighbor_id, round(s, 6) as similarity, cast(rank as int) as rank
+from r where rank <= {k}"""
+
+
+def _sets(spark, sf_dir, metric):
+    ctx = context(spark, sf_dir)
+    items = idx.encode(tv.order_baskets(spark, sf_dir), ctx.index).select("basket_id", "track_uri_index")
+    return setsim.knn_sets(items, ctx.pairs, k=3, metric=metric, existing_distinct=True)
+
+
+@query("knn_jaccard", sql=sets_sql("cast(o as double) / (a + b - o)", 3))
+def q_knn_jaccard(spark, sf_dir):
+    return _sets(spark, sf_dir, "jaccard")
+
+
+@query("knn_cosine", sql=sets_sql("cast(o as double) / sqrt(a * b)", 3))
+def q_knn_cosine(spark, sf_dir):
+    return _sets(spark, sf_dir, "cosine")
+
+
 @query("als_factors")
 def q_als_factors(spark, sf_dir):
     return fac.factors(context(spark, sf_dir).model, "user")

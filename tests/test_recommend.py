@@ -12,7 +12,7 @@ from mixtape.operators import interactions as inter
 from mixtape.operators import recommend as rec
 from mixtape.sources import models as mdl
 from mixtape.sources import testview as tv
-from mixtape.session import scratch_path
+from mixtape.session import scratch_path, stage
 
 
 @pytest.fixture(scope="module")
@@ -194,3 +194,48 @@ def test_stream_batches_release_what_they_store(spark, world):
     q.awaitTermination()
     assert set(os.listdir(scratch)) - before <= {os.path.basename(root)}
     assert spark.read.parquet(f"{root}/out").count() == 3
+
+
+def _most_rows(df):
+    """The largest number of rows that any operator of the executed plan gave."""
+    most = []
+
+    def walk(node):
+        if node.nodeName() == "AdaptiveSparkPlan":
+            return walk(node.executedPlan())
+        if "QueryStage" in node.nodeName():
+            return walk(node.plan())
+        metric = node.metrics().get("numOutputRows")
+        if metric.isDefined() and ("Join" in node.nodeName() or node.nodeName() == "Generate"):
+            most.append((int(metric.get().value()), node.nodeName()))
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return max(most)
+
+
+def test_exclude_seen_with_a_huge_basket_on_a_hot_playlist(spark, world):
+    """One basket that has seen nearly everything costs the baskets beside it nothing."""
+    n, k = 500, 5
+    items = sorted(r.id for r in world["model"].itemFactors.select("id").collect())
+    src = world["pairs"].first()[0]
+    route = stage(spark.range(n).select(F.col("id").alias("basket_id"), F.lit("neighbour").alias("method"),
+                                        F.lit(src).cast("long").alias("neighbor_id"), F.lit(1.0).alias("distance"),
+                                        F.lit(src).cast("long").alias("_src")), "t-route")
+    huge = items[:-k - 1]
+    seen = spark.createDataFrame([(0, i) for i in huge] + [(b, items[b % 7]) for b in range(1, n)],
+                                 "basket_id long, track_uri_index int")
+    recs = rec._answer(world["model"], route, k, "basket_id", "playlist_id", seen)
+    rows = recs.collect()
+    assert len(rows) == n * k
+    assert not {(r.basket_id, r.track_uri_index) for r in rows} & {(r.basket_id, r.track_uri_index) for r in seen.collect()}
+    assert {r.track_uri_index for r in rows if r.basket_id == 0} <= set(items[-k - 1:])
+    assert _most_rows(recs)[0] <= n * k
+    # the same as the head of the whole ranking without what was seen
+    full = fac.top_k(world["model"], spark.createDataFrame([(src,)], "playlist_id long"), len(items), "playlist_id")
+    ranked = [r.track_uri_index for r in full.orderBy("rank").collect()]
+    for b in (0, 1, 3):
+        own = {r.track_uri_index for r in seen.where(F.col("basket_id") == b).collect()}
+        want = [i for i in ranked if i not in own][:k]
+        assert [r.track_uri_index for r in sorted(rows, key=lambda r: r["rank"]) if r.basket_id == b] == want

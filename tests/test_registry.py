@@ -50,3 +50,15 @@ def test_query_against_oracle(spark, sf_smoke, duck, name):
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
     assert canon(rows, df.columns) == canon(res.fetchall(), cols)
+
+
+def test_entry_without_a_dependency_of_the_optional_queries():
+    """The library's own queries stay when the optional ones can't be imported."""
+    import subprocess
+    code = ("import sys; sys.modules['zstandard'] = None; import __spark_entry__ as e; "
+            "print(len(e.queries()), sum(n.startswith('op') for n in e.queries()), len(e.oracle_sql()))")
+    root = os.path.dirname(os.path.abspath(entry.__file__))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=300)
+    assert out.returncode == 0, out.stderr
+    n, optional, with_sql = map(int, out.stdout.split())
+    assert n == len(registry.queries()) and optional == 0 and with_sql == len(registry.oracle_sql())

@@ -1,0 +1,88 @@
+"""Bounded top-k against the product of all pairs."""
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from mixtape.operators import topk
+
+
+def factors(seed, n, rank, decay=1.0, ties=False):
+    rnd = np.random.default_rng(seed)
+    x = rnd.standard_normal((n, rank)) * np.exp(-decay * np.arange(rank))
+    x *= rnd.lognormal(0, 1, n)[:, None]
+    if ties:
+        x = np.round(x)
+    return x.astype(np.float32)
+
+
+def frame(spark, x, first=0):
+    return spark.createDataFrame([(first + i, [float(c) for c in v]) for i, v in enumerate(x)], "id long, features array<float>").repartition(3)
+
+
+def brute(u, v, k, seen=None):
+    scores = u.astype(np.float64) @ v.astype(np.float64).T
+    out = []
+    for i, s in enumerate(scores):
+        free = [j for j in range(len(v)) if not seen or j not in seen[i]]
+        best = sorted(free, key=lambda j: (-s[j], j))[:k]
+        out.append([(j, s[j]) for j in best])
+    return out
+
+
+def check(rows, want, first=0):
+    got = {r.id - first: r.recs for r in rows}
+    assert len(got) == len(want)
+    for i, best in enumerate(want):
+        assert [r.rank for r in got[i]] == list(range(1, len(best) + 1))
+        assert [r.id for r in got[i]] == [j for j, _ in best]
+        assert np.allclose([r.score for r in got[i]], [s for _, s in best], rtol=1e-12, atol=1e-12)
+
+
+@pytest.mark.parametrize("block_items", [100, 5000])
+def test_equals_the_full_product(spark, block_items):
+    u, v = factors(1, 60, 6), factors(2, 900, 6)
+    rows = topk.top_k(frame(spark, u), topk.store_items(frame(spark, v), block_items=block_items), 5).collect()
+    check(rows, brute(u, v, 5))
+    assert sum(r.scored for r in rows) < 0.4 * len(u) * len(v)
+    assert all(r.scored >= 5 for r in rows)
+
+
+def test_ties_go_to_the_smaller_id(spark):
+    u, v = factors(3, 30, 3, 0.2, ties=True), factors(4, 700, 3, 0.2, ties=True)
+    items = topk.store_items(frame(spark, v), block_items=150)
+    check(topk.top_k(frame(spark, u), items, 4).collect(), brute(u, v, 4))
+
+
+def test_seen_items_are_skipped_inside(spark):
+    u, v = factors(5, 25, 5), factors(6, 400, 5)
+    full = brute(u, v, 400)
+    seen = [[j for j, _ in full[i][:i * 4]] for i in range(25)]         # up to the 96 best
+    df = frame(spark, u).join(spark.createDataFrame([(i, s or None) for i, s in enumerate(seen)], "id long, seen array<int>"), "id")
+    rows = topk.top_k(df, topk.store_items(frame(spark, v), block_items=90), 3, seen_col="seen").collect()
+    check(rows, brute(u, v, 3, seen))
+    assert rows[0].asDict().keys() == {"id", "features", "seen", "recs", "scored"}
+
+
+def test_few_items_and_odd_queries(spark):
+    u, v = factors(7, 4, 3), factors(8, 2, 3)
+    items = topk.store_items(frame(spark, v))
+    check(topk.top_k(frame(spark, u), items, 5).collect(), brute(u, v, 5))
+    everything = frame(spark, u).withColumn("seen", F.array(F.lit(0), F.lit(1)))
+    assert all(r.recs == [] for r in topk.top_k(everything, items, 5, seen_col="seen").collect())
+    odd = spark.createDataFrame([(1, None), (2, [0.0, 0.0, 0.0])], "id long, features array<float>")
+    got = {r.id: [(x.id, x.score) for x in r.recs] for r in topk.top_k(odd, items, 5).collect()}
+    assert got == {1: [], 2: [(0, 0.0), (1, 0.0)]}
+    none = topk.store_items(frame(spark, v).limit(0))
+    assert [r.recs for r in topk.top_k(frame(spark, u), none, 5).collect()] == [[]] * 4
+
+
+def test_rounds_stop_when_queries_are_done(spark, monkeypatch):
+    """Queries that the first block answers aren't sent the others."""
+    u, v = factors(9, 40, 4, 0.5), factors(10, 600, 4, 0.5)
+    sent = []
+    plain = type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, x: sent.append(len(x)) or plain(self, x))
+    items = topk.store_items(frame(spark, v), block_items=20)
+    check(topk.top_k(frame(spark, u), items, 2).collect(), brute(u, v, 2))
+    assert sum(sent) < len(items.order)
