@@ -17,10 +17,18 @@ may match; a join on the signature then finds the items. Every (document, item,
 place) is verified by the exact edit distance of the whole item to the best
 stretch of the document there.
 
-Defined results: a copy has ``max_edits`` per word of the item at most; items of
-fewer than ``MIN_WORDS`` words, null or empty texts match nothing; repeated
-items and documents are reported each under their id; null ids never match; of
-several places the one with fewest edits, then the earliest, is reported.
+Walks of items with fewer than ``WALK_WORDS`` words end before they fall into step,
+so these items are found by pieces: with e edits allowed, one of e + 1 pieces of the
+item is left as it was, and the pieces' word grams, looked up at every word of a
+document, take the place of the signatures. That loses nothing.
+
+Defined results: a copy has ``max_edits`` per word of the item at most (under one
+half); items of fewer than ``min_words`` words, which the caller may set, null or
+empty texts match nothing; repeated items and documents are reported each under their
+id; ``find`` has no name for null ids and leaves them out, ``clean`` judges documents
+without an id by their text; of several places the one with fewest edits, then
+the earliest, is reported; other columns don't matter. A target that the
+repetitions can't reach raises an error.
 """
 
 from __future__ import annotations
@@ -32,10 +40,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from mixtape.llm.hits import lists, near
-from mixtape.llm.textscan import ASCII_LOWER, BASE, U64, WORD_BYTES, mix, range_hashes, scan, slices
+from mixtape.llm.textscan import ASCII_LOWER, BASE, U64, WORD_BYTES, gram_starts, mix, ngrams, range_hashes, scan, slices
 from mixtape.session import stage
 
-MIN_WORDS = 8
+#: Shorter items are found by pieces instead of walks.
+WALK_WORDS = 8
 MAX_EDITS = 0.2
 STRIDE = 2
 STEPS = 18
@@ -75,9 +84,10 @@ def signatures(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, rep: int
 
 
 @lru_cache
-def plan_repetitions(target: float = TARGET, max_edits: float = MAX_EDITS, words: int = 14, most: int = 24) -> int:
+def plan_repetitions(target: float = TARGET, max_edits: float = MAX_EDITS, words: int = 14, most: int = 100) -> int:
     """Repetitions that reach the target recall, measured on random items of ``words``
-    words with as many random edits as are allowed (each a change, a loss or a gain)."""
+    words with as many random edits as are allowed (each a change, a loss or a gain).
+    Raises ValueError if ``most`` don't."""
     rng = np.random.default_rng(7)
     missed = []
     for _ in range(400):
@@ -99,7 +109,11 @@ def plan_repetitions(target: float = TARGET, max_edits: float = MAX_EDITS, words
                 break
         missed.append(first)
     missed = np.array(missed)
-    return next((r for r in range(1, most) if (missed < r).mean() >= target), most)
+    enough = next((r for r in range(1, most + 1) if (missed < r).mean() >= target), None)
+    if enough is None:
+        raise ValueError(f"{most} repetitions find {(missed < most).mean():.3f} of the copies of {words} words with "
+                         f"{int(max_edits * words)} edits, the target is {target}")
+    return enough
 
 
 def repetitions(lengths: list[int], target: float = TARGET, max_edits: float = MAX_EDITS) -> int:
@@ -107,11 +121,23 @@ def repetitions(lengths: list[int], target: float = TARGET, max_edits: float = M
     edits, the shortest item has the least left between them."""
     shortest = {}
     for n in sorted(lengths):
-        if n >= MIN_WORDS:
+        if n >= WALK_WORDS:
             shortest.setdefault(int(max_edits * n), n)
     return max((plan_repetitions(target, max_edits, n) for n in shortest.values()), default=1)
 
 
+def pieces(n: int, max_edits: float) -> list[tuple[int, int]]:
+    """(start, words) of the pieces of an item of ``n`` words, one more than edits allowed."""
+    count = int(max_edits * n) + 1
+    cut = [n * i // count for i in range(count + 1)]
+    return [(a, b - a) for a, b in zip(cut, cut[1:])]
+
+
+def piece_grams(hashes: np.ndarray, k: int) -> np.ndarray:
+    """Signatures of the runs of ``k`` words from each place on."""
+    return mix(ngrams(hashes, k) ^ U64(0x5bd1e995 + k))
+
+
 def item_lengths(items: DataFrame, text_col: str) -> list[int]:
     """The numbers of words of the items; those above ``LONG`` count as ``LONG``."""
     def run(batches):
@@ -133,7 +159,7 @@ def place(signature: np.ndarray, i: int) -> np.ndarray:
     return mix(signature + U64((i * int(BASE)) % (1 << 64))) % U64(FILTER_BITS)
 
 
-def item_signatures(items: DataFrame, reps: int, id_col: str, text_col: str) -> DataFrame:
+def item_signatures(items: DataFrame, reps: int, id_col: str, text_col: str, max_edits: float, min_words: int) -> DataFrame:
     """(item, n, words, sigs, offsets), a row per item that is long enough; stored."""
     def run(batches):
         for batch in batches:
@@ -142,8 +168,14 @@ def item_signatures(items: DataFrame, reps: int, id_col: str, text_col: str) ->
                 hashes = range_hashes(texts.data, words.starts, words.ends, ASCII_LOWER)
                 start = np.arange(len(words))
                 found = []
+                size = np.diff(words.first)
+                for n in np.unique(size[(size > 0) & (size < WALK_WORDS)]):
+                    for at, k in pieces(int(n), max_edits):
+                        text = np.flatnonzero(size == n)
+                        found.append((text, piece_grams(hashes, k)[words.first[text] + at], np.full(len(text), at)))
                 for rep in range(reps if len(words) else 0):
                     sig, whole = signatures(hashes, start, words.first[words.text + 1], rep)
+                    whole &= size[words.text] >= WALK_WORDS
                     found.append((words.text[whole], sig[whole], (start - words.first[words.text])[whole]))
                 text, sig, offset = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
                 order = np.argsort(text, kind="stable")
@@ -156,7 +188,7 @@ def item_signatures(items: DataFrame, reps: int, id_col: str, text_col: str) ->
     rows = items.select(F.col(id_col).cast("long").alias("_item"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
     rows = rows.where(F.col("_item").isNotNull())
     out = rows.mapInArrow(run, "_item long, _n long, _words array<long>, _sigs array<long>, _offsets array<long>")
-    return stage(out.where(F.col("_n") >= MIN_WORDS), "benchmark-items")
+    return stage(out.where(F.col("_n") >= max(1, min_words)), "benchmark-items")
 
 
 def filter_of(items: DataFrame) -> np.ndarray:
@@ -205,11 +237,16 @@ def edit_span(item: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
 
 def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          item_id_col: str = "item_id", item_text_col: str = "text", max_edits: float = MAX_EDITS,
-         target: float = TARGET) -> DataFrame:
+         target: float = TARGET, min_words: int = 1) -> DataFrame:
     """(document id, item id, edits, item_words, start_word, end_word), a row for each
-    document and item of which it holds a copy."""
-    reps = repetitions(item_lengths(items, item_text_col), target, max_edits)
-    known = item_signatures(items, reps, item_id_col, item_text_col)
+    document and item of which it holds a copy. ``min_words``: items of fewer words, which
+    ordinary text may hold by chance, are left out."""
+    if not 0 <= max_edits < 0.5:
+        raise ValueError("max_edits must be at least 0 and under one half")
+    lengths = item_lengths(items, item_text_col)
+    reps = repetitions(lengths, target, max_edits)
+    grams = sorted({k for n in lengths if max(1, min_words) <= n < WALK_WORDS for _, k in pieces(n, max_edits)})
+    known = item_signatures(items, reps, item_id_col, item_text_col, max_edits, min_words)
     longest = known.agg(F.max("_n")).first()[0] or 0
     reach = int(longest * (1 + max_edits)) + 1
     table = docs.sparkSession.sparkContext.broadcast(filter_of(known))
@@ -230,6 +267,11 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
                     hit = hit[passes(table.value, sig[hit])]
                     at.append(start[hit])
                     sigs.append(sig[hit])
+                for k in grams:
+                    place_, sig = gram_starts(words, k), piece_grams(hashes, k)
+                    hit = passes(table.value, sig[place_])
+                    at.append(place_[hit])
+                    sigs.append(sig[place_[hit]])
                 at, sigs = np.concatenate(at), np.concatenate(sigs)
                 if not len(at):
                     continue
@@ -291,7 +333,17 @@ def _verify(max_edits: float):
     return run
 
 
-def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The documents that hold no copy of an item."""
-    return docs.join(find(docs, items, id_col, **options).select(id_col).distinct(), id_col, "left_anti").select(
-        *docs.columns)
+def clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """The documents that hold no copy of an item. Those without an id are judged by their text."""
+    leaks = find(docs, items, id_col, text_col, **options).select(id_col).distinct()
+    kept = docs.join(leaks, id_col, "left_anti").select(*docs.columns)
+    unnamed = docs.where(F.col(id_col).isNull() & F.col(text_col).isNotNull())
+    if unnamed.isEmpty():
+        return kept
+    texts = unnamed.select(F.xxhash64(text_col).alias("_text_key"), F.col(text_col).alias("_text_value"))
+    leaks = find(texts, items, "_text_key", "_text_value", **options).select(F.col("_text_key").alias("_leak")).distinct()
+    names = [f"_c{i}" for i in range(len(kept.columns))]
+    where = dict(zip(kept.columns, names))
+    safe = kept.toDF(*names)
+    unsafe = F.col(where[id_col]).isNull() & (F.xxhash64(where[text_col]) == F.col("_leak"))
+    return safe.join(leaks, unsafe, "left_anti").toDF(*kept.columns)

@@ -8,6 +8,10 @@ Votes are summed per (text, template, diagonal), neighbouring diagonals merge,
 and each merged span is verified word by word: the longest common subsequence
 with the template must hold ``MIN_SHARE`` of the template's words.
 
+How long a gram is follows from the template's length and that share: with as many
+words changed, lost or gained as may be missing, some run of that many words
+stands as it was (``gram``), so no such copy stays without a vote.
+
 A phrase is a template of one gram (k is its length), so each of its places is
 a diagonal of its own and isn't merged; verified means all its words are there.
 
@@ -31,8 +35,6 @@ from mixtape.llm.textscan import (ASCII_LOWER, WORD_BYTES, Texts, gram_starts, n
                                   texts_of)
 from mixtape.session import stage
 
-#: Words per gram of a passage; a shorter template is one gram.
-GRAM = 4
 MIN_SHARE = 0.75
 
 
@@ -41,22 +43,30 @@ def word_hashes(texts: Texts):
     return words, range_hashes(texts.data, words.starts, words.ends, ASCII_LOWER)
 
 
-def slack(template_words: int) -> int:
-    """Words that a copy may lose or gain."""
-    return max(2, template_words // 8)
+def missing(template_words: int, min_share: float) -> int:
+    """Words of a template that a copy may lack; also how many it may lose or gain."""
+    return int(template_words * (1 - min_share) + 1e-9)
+
+
+def gram(template_words: int, min_share: float) -> int:
+    """Words per gram: m edits leave m + 1 runs with all other words, and the longest has the mean
+    at least."""
+    m = missing(template_words, min_share)
+    return -(-(template_words - m) // (m + 1))
 
 
 class Templates:
     """The word hashes of each template and the places of its grams."""
 
-    def __init__(self, phrases: list[tuple[str, str]], passages: list[tuple[str, str]]):
+    def __init__(self, phrases: list[tuple[str, str]], passages: list[tuple[str, str]], min_share: float = MIN_SHARE):
+        self.min_share = min_share
         rows = [(text, label, True) for text, label in phrases] + [(t, label, False) for t, label in passages]
         words, hashes = word_hashes(texts_of(pa.array([r[0] for r in rows], pa.string())))
         self.words = [hashes[a:b] for a, b in zip(words.first[:-1], words.first[1:])]
         self.labels = [r[1] for r in rows]
         self.base = [r[2] for r in rows]
         # a phrase is one gram, whatever its length
-        self.size = [len(w) if b else min(GRAM, len(w)) for w, b in zip(self.words, self.base)]
+        self.size = [len(w) if b else gram(len(w), min_share) for w, b in zip(self.words, self.base)]
         self.places = [(int(g), i, at, k) for i, (w, k) in enumerate(zip(self.words, self.size)) if k
                        for at, g in enumerate(ngrams(w, k))]
         self.sizes = sorted({k for k in self.size if k})
@@ -67,7 +77,7 @@ class Templates:
     def apart(self, template: int) -> int:
         """How far two diagonals of one copy may lie apart; a single gram has one diagonal."""
         n = len(self.words[template])
-        return 0 if self.size[template] == n else slack(n)
+        return 0 if self.base[template] or n == 1 else max(2, missing(n, self.min_share))
 
     def matches(self, words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(word number, gram hash, k) of all places where a template's gram stands."""
@@ -88,12 +98,11 @@ class Templates:
         return at[order], found[order], size[order]
 
 
-def spans(docs: DataFrame, templates: Templates, id_col: str = "doc_id", text_col: str = "text",
-          min_share: float = MIN_SHARE) -> tuple[DataFrame, DataFrame]:
+def spans(docs: DataFrame, templates: Templates, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """(documents, places): one row (_row, id, n_words, ...) per text, and a row (_row,
     template, label, base, start_word, end_word, share) per verified place."""
     spark = docs.sparkSession
-    reach = templates.longest + slack(templates.longest)
+    reach = templates.longest + max(2, missing(templates.longest, templates.min_share))
 
     def run(batches):
         for batch in batches:
@@ -130,7 +139,7 @@ def spans(docs: DataFrame, templates: Templates, id_col: str = "doc_id", text_co
               .agg(F.sum("_votes").alias("votes"), F.min("_diagonal").alias("_low"), F.max("_diagonal").alias("_high")))
     found = (merged.join(scanned.select("_row", "_near", "_hashes"), "_row")
              .select("_row", "template", "votes", "_low", "_high", "_near", "_hashes")
-             .mapInArrow(_verify(templates, min_share), "_row long, template int, label string, base boolean, "
+             .mapInArrow(_verify(templates), "_row long, template int, label string, base boolean, "
                                                         "start_word long, end_word long, share double"))
     return scanned, found
 
@@ -154,7 +163,7 @@ def common(template: np.ndarray, text: np.ndarray) -> tuple[int, int, int]:
     return len(used), used[-1] if used else 0, used[0] + 1 if used else 0
 
 
-def _verify(templates: Templates, min_share: float):
+def _verify(templates: Templates):
     names = ["_row", "template", "label", "base", "start_word", "end_word", "share"]
     kinds = [pa.int64(), pa.int32(), pa.string(), pa.bool_(), pa.int64(), pa.int64(), pa.float64()]
 
@@ -170,7 +179,7 @@ def _verify(templates: Templates, min_share: float):
                 a, b = np.searchsorted(places, [low - extra, high + len(words) + extra])
                 same, start, end = common(words, hashes[a:b])
                 share = same / len(words)
-                if share >= (1 if templates.base[template] else min_share):
+                if share >= (1 if templates.base[template] else templates.min_share):
                     out.append((row, template, templates.labels[template], templates.base[template],
                                 int(places[a + start]), int(places[a + end - 1]) + 1, share))
             if out:
@@ -183,8 +192,8 @@ def label(docs: DataFrame, phrases: list[tuple[str, str]] | None = None,
           min_share: float = MIN_SHARE) -> DataFrame:
     """One row per document: words, places of phrases, labels of phrases and of all, and
     the largest verified share as score."""
-    templates = Templates(PHRASES if phrases is None else phrases, PASSAGES if passages is None else passages)
-    scanned, found = spans(docs, templates, id_col, text_col, min_share)
+    templates = Templates(PHRASES if phrases is None else phrases, PASSAGES if passages is None else passages, min_share)
+    scanned, found = spans(docs, templates, id_col, text_col)
     base = F.col("base")
     facts = found.groupBy("_row").agg(
         F.count(F.when(base, 1)).alias("n_base"),

@@ -21,7 +21,7 @@ def test_query_finds_what_brute_force_finds(spark, sf_smoke, documents, items):
         known = set(mine)
         for item, its in words:
             # an item with few of its words in the text is further away than allowed
-            if len(its) < dc.MIN_WORDS or sum(w in known for w in its) < (1 - dc.MAX_EDITS) * len(its):
+            if sum(w in known for w in its) < (1 - dc.MAX_EDITS) * len(its):
                 assert (doc, item) not in got
                 continue
             n = brute.edits(its, mine)
@@ -72,9 +72,13 @@ def test_odd_rows(spark, frame):
     rows = [(1, None), (2, ""), (None, item), (4, "x " * 60_000 + item + " y" * 10), (5, item.replace(" ", " ,\n")),
             (5, item), (6, "too short here"), (7, item[:20])]
     got = sorted((r.doc_id, r.item_id, r.edits, r.start_word, r.end_word) for r in dc.find(frame(rows), table).collect())
-    assert got == [(4, 1, 0, 60_000, 60_010), (4, 5, 1, 60_000, 60_010), (5, 1, 0, 0, 10), (5, 5, 1, 0, 10)]
+    assert got == [(4, 1, 0, 60_000, 60_010), (4, 5, 1, 60_000, 60_010), (5, 1, 0, 0, 10), (5, 5, 1, 0, 10), (6, 4, 0, 0, 3)]
+    rows += [(None, "nothing of the kind"), (None, None), (None, "")]
     kept = dc.clean(frame(rows), table)
-    assert sorted((r.doc_id for r in kept.collect()), key=str) == [1, 2, 6, 7, None]
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(
+        [(i, t) for i, t in rows if i in (1, 2, 7) or i is None and t != item], key=str)
+    few = dc.clean(frame(rows), table, min_words=4)
+    assert sorted((r.doc_id for r in few.collect() if r.doc_id is not None)) == [1, 2, 6, 7]
     assert kept.columns == frame(rows).columns
     nothing = table.where("false")
     assert dc.find(frame(rows), nothing).count() == 0 and dc.find(frame([]), table).count() == 0
@@ -109,3 +113,45 @@ def test_walk_of_an_edited_copy_falls_back_into_step():
             b, _ = dc.signatures(copy, np.arange(30), np.full(30, 39), rep)
             same += len(np.intersect1d(a, b)) > 15
     assert same > 1500
+
+
+@pytest.mark.parametrize("max_edits", [0.0, 0.2, 0.34])
+def test_short_items_against_brute_force(spark, frame, max_edits):
+    """Items of one to seven words, in texts of few different words: nothing is lost."""
+    rng = random.Random(11)
+    items = [(i, " ".join(rng.choice("abcd") for _ in range(1 + i % 7))) for i in range(70)]
+    rows = [(i, " ".join(rng.choice("abcdefgh") for _ in range(rng.randrange(0, 9)))) for i in range(150)]
+    rows += [(1000 + i, "g " + text + " h") for i, text in items[:14]]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.edits for r in dc.find(frame(rows), table, max_edits=max_edits).collect()}
+    want = {}
+    for doc, text in rows:
+        for item, its in items:
+            n = brute.edits(its.split(), text.split())
+            if text and n <= int(max_edits * len(its.split())):
+                want[doc, item] = n
+    assert got == want and len({len(dict(items)[i].split()) for _, i in want}) == 7
+    some = {(r.doc_id, r.item_id) for r in dc.find(frame(rows), table, max_edits=max_edits, min_words=5).collect()}
+    assert some == {(d, i) for d, i in want if len(dict(items)[i].split()) >= 5}
+
+
+def test_copies_of_short_and_long_items_in_one_text(spark, frame):
+    seven = "one two three four five six seven"
+    long = " ".join(f"w{i}" for i in range(20))
+    table = spark.createDataFrame([(1, seven), (2, long), (3, "alpha")], "item_id long, text string")
+    rows = [(1, f"x y {seven} z {long} alpha"), (2, seven.replace("four", "4")), (3, seven.replace("four", "4").replace("two", "2")), (4, "Alpha!")]
+    got = sorted((r.doc_id, r.item_id, r.edits) for r in dc.find(frame(rows), table).collect())
+    assert got == [(1, 1, 0), (1, 2, 0), (1, 3, 0), (2, 1, 1), (4, 3, 0)]
+
+
+def test_repetitions_reach_the_target_or_raise():
+    assert dc.plan_repetitions(0.99, 0.3, words=10) > 24
+    assert dc.plan_repetitions(0.999, 0.2, words=10) > 24
+    with pytest.raises(ValueError, match="repetitions find"):
+        dc.plan_repetitions(0.99, 0.4, words=10, most=24)
+
+
+def test_too_many_edits(spark, frame):
+    table = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    with pytest.raises(ValueError, match="one half"):
+        dc.find(frame([(1, "a")]), table, max_edits=0.5)

@@ -69,3 +69,42 @@ def test_repeated_rows_and_null_ids(frame):
     rows = [(None, "mit license"), (None, "mit license"), (3, "mit license"), (3, "none")]
     got = sorted(((r.doc_id, r.n_base) for r in licenses.label(frame(rows)).collect()), key=str)
     assert got == [(3, 0), (3, 1), (None, 1), (None, 1)]
+
+
+def edited(rng, words, edits, kinds=(0, 1, 2)):
+    """Words changed, gained or lost at different places."""
+    places = sorted(rng.sample(range(len(words)), edits), reverse=True)
+    out = list(words)
+    for at in places:
+        kind = rng.choice(kinds)
+        out[at:at + (kind != 1)] = [f"odd{rng.randrange(10**6)}"] if kind < 2 else []
+    return out
+
+
+def test_every_copy_within_the_share_is_found(frame):
+    """As many words changed, gained or lost as may be missing, anywhere: no notice is lost."""
+    rng = random.Random(8)
+    rows, labels = [], {}
+    for i, (text, label) in enumerate(PASSAGES):
+        words = brute.plain_words(text)
+        m = licenses.missing(len(words), licenses.MIN_SHARE)
+        for n in range(40):
+            some = edited(rng, words, m, (0,) if n < 10 else (0, 1, 2))
+            doc = len(rows)
+            rows.append((doc, " ".join([f"f{rng.randrange(10**6)}" for _ in range(rng.randrange(30))] + some
+                                       + [f"f{rng.randrange(10**6)}" for _ in range(rng.randrange(30))])))
+            labels[doc] = label
+        # evenly spread: the shortest runs that so many changes can leave
+        step = len(words) / (m + 1)
+        spread = [w if (j + 1) not in {round(step * k) for k in range(1, m + 1)} else "odd" for j, w in enumerate(words)]
+        rows.append((len(rows), " ".join(spread)))
+        labels[len(rows) - 1] = label
+    rows += [(len(rows), "licensed under cc by2 nc 4.0"), (len(rows) + 1, "This work is XX under the GNU XX Public License version XX")]
+    labels |= {len(rows) - 2: "cc-by-nc", len(rows) - 1: "gpl-3"}
+    got = check(rows, licenses.label(frame(rows)).collect())
+    assert [doc for doc, label in labels.items() if label not in got[doc].labels.split(",")] == []
+
+
+def test_grams_follow_from_length_and_share():
+    assert [licenses.gram(n, 0.75) for n in (1, 2, 4, 5, 7, 12, 60)] == [1, 2, 2, 2, 3, 3, 3]
+    assert licenses.gram(20, 1.0) == 20 and licenses.gram(20, 0.9) == 6

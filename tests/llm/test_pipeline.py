@@ -93,3 +93,28 @@ def test_empty_documents(spark, sf_smoke):
     for _, function in corpus_pipeline.STAGES:
         assert function(spark, docs, sf_smoke).count() == 0
     assert neardup and repeats and decontamination
+
+
+CLASHING = ("kept", "starts", "ends", "n_bytes", "_toxicity", "toxicity", "score", "_id", "_text", "_row", "_batch", "_doc0", "component_id")
+
+
+def test_clashing_columns_and_rows_without_id(stages, spark, sf_smoke, duck):
+    """Columns named like the operators' own come through unchanged, and a document without an
+    id is judged like any other."""
+    item = duck.execute("select text from benchmark order by length(text) desc limit 1").fetchone()[0]
+    before = stages["decontamination"][0]
+    own = before.select("doc_id", "text").limit(1).first()
+    odd = before.limit(2).withColumn("doc_id", toxicity.F.lit(None).cast("long")).withColumn(
+        "text", toxicity.F.when(toxicity.F.col("doc_id").isNull() & (toxicity.F.col("text") == own.text), item).otherwise("a plain text of no one"))
+    wide = before.unionByName(odd)
+    for name in CLASHING:
+        wide = wide.withColumn(name, toxicity.F.concat(toxicity.F.lit(name), toxicity.F.col("doc_id").cast("string")))
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        out = function(spark, wide, sf_smoke)
+        assert out.dtypes == wide.dtypes
+        for r in out.where("doc_id is not null").select("doc_id", *CLASHING).distinct().collect():
+            assert all(r[c] == f"{c}{r.doc_id}" for c in CLASHING)
+        if name == "decontamination":
+            assert [r.text for r in out.where("doc_id is null").collect()] == ["a plain text of no one"]
+            assert rows(out.where("doc_id is not null")) == rows(stages[name][1])
+    assert corpus_pipeline.packed(spark, wide, sf_smoke).count() >= wide.count()
