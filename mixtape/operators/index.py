@@ -11,11 +11,13 @@ row per partition, so broadcasting it has a fixed bound.
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mixtape import schemas
-from mixtape.session import scratch_path, shuffle_partitions, stage
+from mixtape.session import scratch_path, shuffle_partitions
 from mixtape.sources.artefacts import read_parquet, write_parquet
 
 INT_MAX = 2_147_483_647
@@ -51,20 +53,14 @@ def dense_ids(keys: DataFrame, key: str, start: int = 0,
            .write.mode("errorifexists").parquet(placed_path))
     keys.unpersist()
     placed = spark.read.parquet(placed_path)
-    # one row per partition, counted once
-    counts = stage(placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")), "dense-ids-counts")
-    offsets = counts.select(
-        "_part",
-        (F.coalesce(F.sum("_n").over(
-            Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-         + F.lit(start)).alias("_offset"))
-    numbered = placed.join(F.broadcast(offsets), "_part")
-    new_id = F.col("_offset") + F.col("_pos") + F.lit(1)
-    # numbered on reading: the placed table is the stored dictionary
-    return numbered.select(
-        F.col(key),
-        F.when(new_id <= INT_MAX, new_id.cast("int"))
-         .otherwise(F.raise_error(F.lit("track id exceeds int range"))).cast("int").alias("id"))
+    # one number per partition; as a constant of the plan, every reader of the dictionary gets the ids
+    # by a projection of the stored rows
+    counts = {r["_part"]: r["_n"] for r in placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_n")).collect()}
+    offsets = list(accumulate((counts.get(i, 0) for i in range(max(counts, default=0) + 1)), initial=start))
+    if offsets[-1] > INT_MAX:
+        raise OverflowError("track id exceeds int range")
+    before = F.expr(f"array({', '.join(f'{n}L' for n in offsets)})")
+    return placed.select(F.col(key), (F.element_at(before, F.col("_part") + 1) + F.col("_pos") + F.lit(1)).cast("int").alias("id"))
 
 
 def new_keys(index: DataFrame, df: DataFrame, input_col: str = "track_uri") -> DataFrame:

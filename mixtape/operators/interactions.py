@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from mixtape import schemas
+from mixtape.operators import dictionary
 from mixtape.operators import index as idx
 from mixtape.session import stage
 
@@ -35,6 +36,14 @@ def ingest(rows: DataFrame, index: DataFrame | None = None, input_col: str = "tr
     return interactions(rows, index, input_col, rows_distinct=True), index
 
 
+def ingest_stored(spark: SparkSession, rows: DataFrame, root: str, input_col: str = "track_uri") -> DataFrame:
+    """Flattened rows -> interactions, with the dictionary stored at ``root``: it is extended by
+    what the rows bring, and its rows are joined in the buckets that they lie in."""
+    rows = stage(rows.distinct(), "ingest-rows")
+    dictionary.extend(spark, root, rows, input_col)
+    return interactions(rows, dictionary.read(spark, root), input_col, rows_distinct=True)
+
+
 def user_items(inter: DataFrame, user_col: str = "playlist_id",
                item_col: str = "track_uri_index") -> DataFrame:
     """Distinct (user, item) pairs with a known id: the input of ALS and vectors."""

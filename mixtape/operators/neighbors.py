@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from mixtape.session import stage
 
@@ -144,6 +144,30 @@ def hash_values(model: BucketedRandomProjectionLSHModel, vectors: DataFrame,
     return out.select(user_col, F.transform(col, lambda v: vector_to_array(v)[0]).alias("hashes"))
 
 
+_MATRIX = ("randUnitVectors struct<type:tinyint,numRows:int,numCols:int,colPtrs:array<int>,rowIndices:array<int>,"
+           "values:array<double>,isTransposed:boolean>")
+
+
+def unit_vectors(spark: SparkSession, path: str) -> DataFrame:
+    """(item, table, r): the random unit vectors of a saved model, an entry per row."""
+    m = spark.read.schema(_MATRIX).parquet(f"{path.rstrip('/')}/data").select("randUnitVectors.*")
+    each = m.select("numRows", "numCols", "isTransposed", F.posexplode("values").alias("_p", "r"))
+    row = F.when(F.col("isTransposed"), F.floor(F.col("_p") / F.col("numCols"))).otherwise(F.col("_p") % F.col("numRows"))
+    column = F.when(F.col("isTransposed"), F.col("_p") % F.col("numCols")).otherwise(F.floor(F.col("_p") / F.col("numRows")))
+    return each.select(column.cast("int").alias("item"), row.cast("int").alias("table"), "r")
+
+
+def projections(entries: DataFrame, units: DataFrame, bucket_length: float = LSH_BUCKET_LENGTH, id_col: str = "playlist_id",
+                item_col: str = "track_uri_index", value_col: str | None = None) -> DataFrame:
+    """(id, projections: array<double>) of sparse rows (id, item[, value = 1]): per hash table the
+    dot product with its unit vector over the bucket length, by a join and a sum. Their
+    floors are the hash values."""
+    value = F.col(value_col).cast("double") if value_col else F.lit(1.0)
+    sums = (entries.select(id_col, F.col(item_col).cast("int").alias("item"), value.alias("_v")).join(units, "item")
+            .groupBy(id_col, "table").agg((F.sum(F.col("_v") * F.col("r")) / bucket_length).alias("_p")))
+    return sums.groupBy(id_col).agg(F.transform(F.array_sort(F.collect_list(F.struct("table", "_p"))), lambda x: x["_p"]).alias("projections"))
+
+
 def ann_single(model: BucketedRandomProjectionLSHModel, vectors: DataFrame, key,
                k: int = 1, user_col: str = "playlist_id") -> DataFrame:
     """Approximate k nearest rows of ``vectors`` to one key vector (user, distCol)."""

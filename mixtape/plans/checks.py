@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from mixtape.operators import catalog as cat
 from mixtape.operators import factors as fac
 from mixtape.operators import index as idx
+from mixtape.operators import multiprobe
 from mixtape.operators import neighbors as nb
 from mixtape.operators import recommend as rec
 from mixtape.operators import search
@@ -200,12 +201,31 @@ def q_check_pipeline_stage(spark, sf_dir):
         "id", (F.col("_f") == F.col("features")).alias("same"))
 
 
+def same_hashes(hashes: DataFrame, projections: DataFrame, key: str) -> DataFrame:
+    """Whether each hash value is the floor of the projection, computed by a join and a sum
+    (within rounding, where a projection lies on the edge of a bucket)."""
+    near = F.zip_with("hashes", "projections", lambda h, p: F.coalesce((h == F.floor(p)) | (F.abs(p - F.round(p)) < 1e-9), F.lit(False)))
+    return hashes.join(projections, key, "left").select(
+        key, F.size("hashes").alias("n_tables"), F.coalesce(F.forall(near, lambda x: x), F.lit(False)).alias("same"))
+
+
 @query("check_lsh_hashes", sql=f"""with {UI_CTES}
-select distinct playlist_id, {nb.LSH_TABLES} as n_tables, true as whole from pairs""")
+select distinct playlist_id, {nb.LSH_TABLES} as n_tables, true as same from pairs""")
 def q_check_lsh_hashes(spark, sf_dir):
-    return q.q_lsh_hashes(spark, sf_dir).select(
-        "playlist_id", F.size("hashes").alias("n_tables"),
-        F.forall("hashes", lambda x: x == F.floor(x)).alias("whole"))
+    """The hash values of the sparse vectors, from the stored unit vectors of the model."""
+    ctx = context(spark, sf_dir)
+    path = mdl.save_model(ctx.lsh, scratch_path(spark, "lsh-units"))
+    return same_hashes(q.q_lsh_hashes(spark, sf_dir), nb.projections(ctx.pairs, nb.unit_vectors(spark, path)), "playlist_id")
+
+
+@query("check_lsh_dense_hashes", sql=f"select vec_id, {nb.LSH_TABLES} as n_tables, true as same from embeddings")
+def q_check_lsh_dense_hashes(spark, sf_dir):
+    """The same for dense vectors."""
+    model = nb.fit_lsh(q._dense_vectors(spark, sf_dir), seed=7)
+    path = mdl.save_model(model, scratch_path(spark, "lsh-units"))
+    entries = tv.table(spark, sf_dir, "embeddings").select("vec_id", F.posexplode("embedding").alias("item", "value"))
+    return same_hashes(q.q_lsh_dense_hashes(spark, sf_dir),
+                       nb.projections(entries, nb.unit_vectors(spark, path), id_col="vec_id", item_col="item", value_col="value"), "vec_id")
 
 
 @query("check_lsh_roundtrip", sql=f"""with {UI_CTES}
@@ -314,3 +334,46 @@ def q_check_index_extensions(spark, sf_dir):
     return spark.createDataFrame(
         [(e.version, e.batch, e.added, e.skipped <= e.added and 10 * e.skipped >= 9 * e.added) for e in done],
         "version int, batch long, added long, filtered boolean")
+
+
+@query("check_ann_rows", sql="select true as near, true as ordered, true as few")
+def q_check_ann_rows(spark, sf_dir):
+    """The rows of ``ann_single`` themselves: each distance is the true one between the basket's tracks
+    and the playlist's, they don't fall, and there are three at most."""
+    ctx = context(spark, sf_dir)
+    found = stage(q.q_ann_single(spark, sf_dir), "ann-rows")
+    baskets = tv.order_baskets(spark, sf_dir, since=tv.HISTORY_CUTOFF)
+    key = idx.encode(baskets.where(F.col("basket_id") == baskets.agg(F.min("basket_id")).scalar()), ctx.history_index)
+    key = key.where("track_uri_index is not null").select("track_uri_index", F.lit(True).alias("_in"))
+    size = key.count()
+    held = (ctx.history_pairs.join(found, F.col("playlist_id") == F.col("neighbor_id")).join(key, "track_uri_index", "left")
+            .groupBy("playlist_id", "distance").agg(F.count(F.lit(1)).alias("_b"), F.count("_in").alias("_o")))
+    true = F.sqrt((F.lit(size) + F.col("_b") - 2 * F.col("_o")).cast("double"))
+    near = [r[0] for r in held.select(F.abs(true - F.col("distance")) < 1e-5).collect()]
+    order = [r["distance"] for r in found.collect()]
+    return spark.createDataFrame([(0 < len(near) == len(order) and all(near), order == sorted(order), len(order) <= 3)],
+                                 "near boolean, ordered boolean, few boolean")
+
+
+@query("check_ann_dense_rows", sql="select true as near, true as ordered, true as few")
+def q_check_ann_dense_rows(spark, sf_dir):
+    """The same of ``ann_dense``, from the embeddings."""
+    given = q.q_ann_dense(spark, sf_dir)
+    emb = tv.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    key = emb.where(F.col("vec_id") == emb.agg(F.min("vec_id")).scalar()).first()["embedding"]
+    apart = F.zip_with("embedding", F.lit(list(key)), lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double")))
+    true = F.sqrt(F.aggregate(apart, F.lit(0.0), lambda s, x: s + x))
+    near = [r[0] for r in given.join(emb, "vec_id").select(F.abs(true - F.col("distCol")) < 1e-5).collect()]
+    order = [r["distCol"] for r in given.collect()]
+    return spark.createDataFrame([(len(near) == len(order) and all(near), order == sorted(order), len(order) <= 3)],
+                                 "near boolean, ordered boolean, few boolean")
+
+
+@query("check_ann_multi_probe", sql="select true as enough, true as fewer")
+def q_check_ann_multi_probe(spark, sf_dir):
+    """Recall of the multi-probe search against the exact one is nine tenths at least, with fewer
+    candidates than rows."""
+    found = stage(q.q_ann_multi_probe(spark, sf_dir), "probe-found")
+    exact = stage(q._probe(spark, sf_dir, 1, 1, 1e9, 3), "probe-exact")
+    sums = [df.select("query_id", "candidates").distinct().agg(F.sum("candidates")).first()[0] for df in (found, exact)]
+    return spark.createDataFrame([(multiprobe.recall(found, exact) >= 0.9, sums[0] < sums[1])], "enough boolean, fewer boolean")

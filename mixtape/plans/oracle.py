@@ -61,6 +61,11 @@ inc_idx as (select * from mid_idx union all select * from added_late),
 versions as (select 1 as version, * from old_idx union all select 2 as version, * from added_mid
              union all select 3 as version, * from added_late)"""
 
+# the first batch, then everything after it as one more
+TWO_BATCH_CTES = f"""{INCREMENTAL_CTES},
+added_rest as ({_added("new_raw", "old_idx")}),
+two_idx as (select * from old_idx union all select * from added_rest)"""
+
 HISTORY_CTES = f"""hist_raw as ({raw_rows(before(HISTORY_CUTOFF))}),
 incoming_raw as ({raw_rows(since(HISTORY_CUTOFF))}),
 incoming_orders as (select distinct {ORDER_BASKET} + l.l_orderkey as basket_id,

@@ -13,6 +13,7 @@ from mixtape.operators import dictionary
 from mixtape.operators import factors as fac
 from mixtape.operators import index as idx
 from mixtape.operators import interactions as inter
+from mixtape.operators import multiprobe
 from mixtape.operators import neighbors as nb
 from mixtape.operators import recommend as rec
 from mixtape.operators import search
@@ -20,7 +21,7 @@ from mixtape.operators import setsim
 from mixtape.operators import stored_catalog
 from mixtape.operators import vectors as vec
 from mixtape.plans.context import context
-from mixtape.plans.oracle import HISTORY_CTES, INCREMENTAL_CTES, UI_CTES, raw_rows
+from mixtape.plans.oracle import HISTORY_CTES, INCREMENTAL_CTES, TWO_BATCH_CTES, UI_CTES, raw_rows
 from mixtape.plans.registry import query
 from mixtape.session import scratch_path
 from mixtape.sources import json_slices
@@ -156,6 +157,19 @@ def q_json_ingest(spark, sf_dir):
     return interactions
 
 
+@query("ingest_two_batches", sql=f"""with {TWO_BATCH_CTES}
+select distinct b.playlist_id, b.track_uri, b.track_name, b.artist_name, b.album_name,
+       i.id as track_uri_index, 1 as rating, b.batch
+from (select 1 as batch, * from old_raw union all select 2, * from new_raw) b
+left join two_idx i on b.track_uri = i.track""")
+def q_ingest_two_batches(spark, sf_dir):
+    """Two batches into one stored dictionary: the interactions of both, with the batch."""
+    root, first = scratch_path(spark, "dictionary"), tv.DICTIONARY_CUTOFFS[0]
+    batches = [tv.playlist_tracks(spark, sf_dir, until=first), tv.playlist_tracks(spark, sf_dir, since=first)]
+    done = [inter.ingest_stored(spark, rows, root).withColumn("batch", F.lit(i + 1)) for i, rows in enumerate(batches)]
+    return done[0].unionByName(done[1])
+
+
 @query("json_flatten_document", sql=f"select * from ({raw_rows()}) r")
 def q_json_flatten_document(spark, sf_dir):
     """All playlists as one document, which several tasks read."""
@@ -683,3 +697,33 @@ def q_ann_dense(spark, sf_dir):
     first = vectors.agg(F.min("vec_id")).first()[0]
     key = vectors.where(F.col("vec_id") == F.lit(first)).select("features").first()["features"]
     return nb.ann_single(model, vectors, key, k=3, user_col="vec_id")
+
+
+# tables, projections per table, bucket length and buckets looked up per table
+PROBE = {"tables": 8, "width": 4, "length": 0.45}
+PROBES, PROBE_K = 5, 5
+
+
+def _probe(spark, sf_dir, tables, width, length, probes):
+    rows = tv.table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    dims = rows.agg(F.max(F.size("embedding"))).first()[0]
+    units = multiprobe.draw_units(spark, dims, tables, width)
+    return multiprobe.neighbours(rows, rows.where(F.col("vec_id") % 100 == 0), units, tables, width, length, PROBE_K, probes)
+
+
+@query("ann_multi_probe")
+def q_ann_multi_probe(spark, sf_dir):
+    """Approximate 5 nearest embeddings of every hundredth one."""
+    return _probe(spark, sf_dir, **PROBE, probes=PROBES)
+
+
+@query("ann_probe_wide", sql="""with d as (
+  select a.vec_id as query_id, list_distance(a.embedding::double[], b.embedding::double[]) as distance
+  from embeddings a join embeddings b on a.vec_id <> b.vec_id where a.vec_id % 100 = 0),
+r as (select *, row_number() over (partition by query_id order by distance) as rank from d)
+select query_id, cast(rank as int) as rank, round(distance, 4) as distance,
+       (select count(*) - 1 from embeddings) as candidates from r where rank <= 5""")
+def q_ann_probe_wide(spark, sf_dir):
+    """The same with one bucket for all: the distances of the exact neighbours."""
+    found = _probe(spark, sf_dir, 1, 1, 1e9, 3)
+    return found.select("query_id", "rank", F.round("distance", 4).alias("distance"), "candidates")

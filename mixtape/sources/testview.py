@@ -46,8 +46,10 @@ def _orders(spark, sf_dir, since=None, until=None):
 
 def playlist_tracks(spark: SparkSession, sf_dir: str, since: str | None = None,
                     until: str | None = None) -> DataFrame:
-    """Raw playlist-track rows (one per line item, repeats kept)."""
-    li = lineitem(spark, sf_dir)
+    """Raw playlist-track rows (one per line item, repeats kept). Lines are dealt by order before
+    the joins: a table in one row group is one scan task, and a join with shuffled orders
+    needs this partitioning anyway."""
+    li = lineitem(spark, sf_dir).repartition("l_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_brand", "p_type")
     orders = _orders(spark, sf_dir, since, until)
     return (li.join(orders, li.l_orderkey == orders.o_orderkey)

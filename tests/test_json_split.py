@@ -72,7 +72,7 @@ def range_bytes(spark, request):
         spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("dump", [{}, {"indent": 2}, {"indent": 1, "separators": ("\n,\t", "  :\r\n ")}, {"ensure_ascii": False, "separators": (",", ":")}])
+@pytest.mark.parametrize("dump", [{}, {"indent": 1, "separators": ("\n,\t", "  :\r\n ")}, {"ensure_ascii": False, "separators": (",", ":")}])
 def test_any_layout(spark, range_bytes, dump):
     documents = [document(seed, 40, **dump) for seed in range(2)] + ['{"playlists": []}', '{"playlists":[{"pid":7,"tracks":[]}]}\n\n']
     path = folder(spark, documents)
