@@ -20,6 +20,10 @@ from mixtape.llm import decontamination, neardup, packing, repeats, toxicity
 from mixtape.session import stage
 
 
+#: Bytes of text that a task of the repeats stage holds, less than alone: other stages' memory stays.
+BATCH = 6 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -51,7 +55,8 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     nothing else go. ``n_chars`` counts what is left."""
     own, names = apart(docs)
     text, chars = F.col(names["text"]), F.col(names["n_chars"])
-    cut = repeats.remove(own, id_col=names["doc_id"], text_col=names["text"], carry=own.columns, whole_characters=True)
+    cut = repeats.remove(own, id_col=names["doc_id"], text_col=names["text"], carry=own.columns, whole_characters=True,
+                         batch_bytes=BATCH)
     changed = F.size("starts") > 0
     out = (cut.withColumn(names["text"], F.when(changed, F.col("kept").cast("string")).otherwise(text))
            .withColumn(names["n_chars"], F.when(changed, F.length(text).cast("long")).otherwise(chars)))
