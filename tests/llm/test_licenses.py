@@ -108,3 +108,15 @@ def test_every_copy_within_the_share_is_found(frame):
 def test_grams_follow_from_length_and_share():
     assert [licenses.gram(n, 0.75) for n in (1, 2, 4, 5, 7, 12, 60)] == [1, 2, 2, 2, 3, 3, 3]
     assert licenses.gram(20, 1.0) == 20 and licenses.gram(20, 0.9) == 6
+
+
+def test_query_counts_the_phrases_of_its_contract(spark, tmp_path):
+    """Base places are those of the whole phrase; a license by its bare name keeps its label."""
+    rows = [(1, "mit license"), (2, "Under THE-MIT license, under the mit license"), (3, "under the mit mit license"), (4, None),
+            (5, "under the mit licenses cc by nc by nc cc.by.nc"), (6, "Apache License, Version 2.0 under the mit\nlicense")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in queries.QUERIES["op4_licenses"](spark, str(tmp_path)).collect()}
+    assert {i: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels) for i, r in got.items()} == {
+        1: (2, 0, None, None, ""), 2: (8, 2, 0, 4, "mit"), 3: (5, 0, None, None, ""), 4: (0, 0, None, None, ""),
+        5: (12, 2, 4, 9, "cc-by-nc"), 6: (9, 2, 0, 5, "apache-2,mit")}
+    assert [got[i].labels for i in range(1, 7)] == ["mit", "mit", "mit", "", "cc-by-nc", "apache-2,mit"]
