@@ -112,3 +112,19 @@ def test_dense_ann_distances_are_exact(spark, sf_smoke):
         assert r.distCol == pytest.approx(float(np.linalg.norm(emb[r.vec_id] - key)), abs=1e-4)
     hashes = entry.queries()["lsh_dense_hashes"](spark, sf_smoke).collect()
     assert len(hashes) == len(emb) and all(len(h.hashes) == nb.LSH_TABLES for h in hashes)
+
+
+def test_many_tables_are_fitted_in_groups_of_bounded_size(spark, monkeypatch):
+    """No model holds more numbers than allowed, and the nearest of all groups are the exact ones."""
+    rnd = random.Random(5)
+    held = {u: sorted(rnd.sample(range(40), rnd.randint(1, 11))) for u in range(60)}
+    pairs = spark.createDataFrame([(u, i) for u, items in held.items() for i in items], "playlist_id long, track_uri_index int")
+    vectors = vec.sparse_vectors(pairs, 40).persist()
+    key = vectors.where("playlist_id = 7").first()["features"]
+    exact = sorted(len(set(items) ^ set(held[7])) ** 0.5 for items in held.values())[:4]
+    fitted = []
+    monkeypatch.setattr(nb, "MODEL_NUMBERS", 300)
+    monkeypatch.setattr(nb, "fit_lsh", lambda v, length, n, seed, fit=nb.fit_lsh: fitted.append((n, seed)) or fit(v, length, n, seed))
+    got = nb.ann_tables(vectors, key, 4, 1e9, 40).collect()
+    assert [r.distCol for r in got] == pytest.approx(exact, abs=1e-5) and len({r.playlist_id for r in got}) == 4
+    assert sum(n for n, _ in fitted) == 40 and max(n for n, _ in fitted) * 40 <= 300 and len(set(fitted)) == len(fitted)
