@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from mixtape.operators import factors as fac
 from mixtape.operators import topk
 
 
@@ -86,3 +87,25 @@ def test_rounds_stop_when_queries_are_done(spark, monkeypatch):
     items = topk.store_items(frame(spark, v), block_items=20)
     check(topk.top_k(frame(spark, u), items, 2).collect(), brute(u, v, 2))
     assert sum(sent) < len(items.order)
+
+
+def test_all_products_equal_the_models_own(spark, monkeypatch):
+    """The largest of all products, in several rounds of items, are the scores of the model."""
+    rnd = np.random.default_rng(2)
+    pairs = spark.createDataFrame([(int(u), int(i)) for u, i in {(a, b) for a, b in rnd.integers(1, 120, (1500, 2))}], "playlist_id int, track_uri_index int")
+    model = fac.fit_als(pairs, num_blocks=2)
+    monkeypatch.setattr(fac, "ROUND_ITEMS", 50)
+    users = pairs.select("playlist_id").distinct().where("playlist_id > 20").unionByName(spark.createDataFrame([(9999,)], "playlist_id int"))
+    got = {r.playlist_id: r.scores for r in fac.all_products(model, users, 5).collect()}
+    want = {r.playlist_id: [x.rating for x in r.recommendations] for r in model.recommendForUserSubset(users, 5).collect()}
+    assert got.keys() == want.keys() and len(got) > 50
+    assert all(got[u] == pytest.approx(want[u], abs=1e-5) for u in want)
+
+
+def test_products_of_large_panels():
+    rnd = np.random.default_rng(4)
+    u, v, best = rnd.standard_normal((300, 10)), rnd.standard_normal((5000, 10)), np.full((300, 5), -np.inf)
+    v[100:160] = v[7]
+    for a in range(0, 5000, 700):
+        fac._take_products(u, v[a:a + 700], best)
+    assert np.allclose(best, -np.sort(-(u @ v.T), axis=1)[:, :5])
