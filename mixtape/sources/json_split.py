@@ -238,17 +238,24 @@ def flatten_documents(spark: SparkSession, path: str | list[str], recursive: boo
     return rows.select(F.col("pid").alias("playlist_id"), *schemas.TRACK.names)
 
 
+HEAD_LINES, LAST_LINE = '{"info": {"version": "v}1"},\n"playlists": [', "]}"
+
+
 def write_document(rows: DataFrame, path: str) -> str:
     """Playlist-track rows as ONE document in a folder, a line per playlist: the shape of a large
-    export. One task writes it, line by line."""
+    export. The lines are made by many tasks and stored; the one task that writes the document
+    only passes them on, so it holds a line at a time."""
     fields = schemas.TRACK.names
     lists = rows.groupBy("playlist_id").agg(F.collect_list(F.struct(*fields)).alias("tracks"))
-    lines = lists.select(F.col("playlist_id").alias("_k"), F.to_json(F.struct(F.col("playlist_id").alias("pid"), "tracks")).alias("value"))
-    last = lines.agg(F.max("_k")).first()[0]
-    comma = F.when(F.col("_k") < F.lit(last), F.lit(",")).otherwise(F.lit(""))
-    spark = rows.sparkSession
-    ends = spark.createDataFrame([(0, '{"info": {"version": "v}1"},'), (1, '"playlists": ['), (3, "]}")], "_o int, value string")
-    body = lines.select(F.lit(2).alias("_o"), "_k", F.concat("value", comma).alias("value"))
-    everything = ends.withColumn("_k", F.lit(None).cast(lines.schema["_k"].dataType)).unionByName(body, allowMissingColumns=True)
-    everything.orderBy("_o", "_k").select("value").coalesce(1).write.text(path)
+    lines = stage(lists.select(F.to_json(F.struct(F.col("playlist_id").alias("pid"), "tracks")).alias("value")), "document-lines")
+    n = lines.count()
+    if not n:
+        lines.sparkSession.createDataFrame([(f"{HEAD_LINES}\n{LAST_LINE}",)], "value string").coalesce(1).write.text(path)
+        return path
+    # in a single partition these numbers are the lines' own
+    at = F.monotonically_increasing_id()
+    numbered = lines.coalesce(1).select(at.alias("_at"), "value")
+    begin = F.when(F.col("_at") == 0, F.lit(HEAD_LINES + "\n")).otherwise(F.lit(""))
+    end = F.when(F.col("_at") == n - 1, F.lit("\n" + LAST_LINE)).otherwise(F.lit(","))
+    numbered.select(F.concat(begin, "value", end).alias("value")).write.text(path)
     return path

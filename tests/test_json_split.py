@@ -114,3 +114,20 @@ def test_one_document_is_several_tasks(spark):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
         spark.conf.set("spark.sql.files.openCostInBytes", cost)
+
+
+def test_written_document_passes_lines_on(spark, monkeypatch):
+    """A playlist without id lies between commas like any other; the lines are stored by many tasks
+    before the one that writes the document."""
+    table = spark.createDataFrame([(p, f"u:{p}", "n", "a", "b") for p in (None, 1, 2, 3)],
+                                  "playlist_id long, track_uri string, track_name string, artist_name string, album_name string")
+    stored, plain = [], json_split.stage
+    monkeypatch.setattr(json_split, "stage", lambda df, name: stored.append(name) or plain(df, name))
+    path = json_split.write_document(table, scratch_path(spark, "t-null")).removeprefix("file:")
+    assert stored == ["document-lines"]
+    [file] = [f for f in os.listdir(path) if f.startswith("part-")]
+    with open(f"{path}/{file}", encoding="utf-8") as f:
+        found = json.load(f)
+    assert sorted(str(p.get("pid")) for p in found["playlists"]) == ["1", "2", "3", "None"]
+    empty = json_split.write_document(table.limit(0), scratch_path(spark, "t-empty"))
+    assert rows(json_split.flatten_documents(spark, empty)) == []
