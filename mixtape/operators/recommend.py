@@ -15,6 +15,7 @@ from mixtape.functions.text import uri_list
 from mixtape.operators import factors
 from mixtape.operators import index as idx
 from mixtape.operators.neighbors import knn_exact
+from mixtape.operators.skew import join_dealt
 from mixtape.session import stage
 
 RECS_TRAINING = 5    # fixed: recommendations per playlist in training
@@ -38,39 +39,56 @@ def _encode_baskets(baskets: DataFrame, index: DataFrame, basket_col: str) -> Da
     return enc.select(basket_col, "track_uri_index")
 
 
-#: A playlist that answers more than this share of the baskets is dealt in this many parts.
-HEAVY_PARTS = 64
+#: A basket that has seen at most this many items is answered from its playlist's first k + SPARE.
+SPARE = 16
+
+
+def _unseen(model: ALSModel, route: DataFrame, k: int, basket_col: str, user_col: str, seen: DataFrame) -> DataFrame:
+    """``route`` with ``_recs`` (id, score): the k best items of each basket's playlist that the basket hasn't seen.
+
+    Of a playlist's first k + SPARE at least k remain for a basket that has seen up to
+    SPARE items, so such baskets share one search of their playlist. The others are
+    searched one by one and leave their tracks out inside the search."""
+    held = seen.groupBy(basket_col).agg(F.collect_set("track_uri_index").alias("_seen"))
+    asked = stage(route.join(held, basket_col, "left").withColumn("_seen", F.coalesce("_seen", F.array().cast("array<int>"))), "asked")
+    few = asked.where(F.size("_seen") <= SPARE)
+    lists = (factors.top_k(model, few.select(F.col("_src").alias(user_col)), k + SPARE, user_col)
+             .groupBy(F.col(user_col).alias("_src")).agg(F.array_sort(F.collect_list(F.struct("rank", "track_uri_index", "score"))).alias("_l")))
+    left = F.filter("_l", lambda x: ~F.array_contains("_seen", x["track_uri_index"]))
+    shared = join_dealt(few, lists, "_src", basket_col).withColumn("_recs", F.transform(
+        F.slice(left, 1, k), lambda x: F.struct(x["track_uri_index"].alias("track_uri_index"), x["score"].alias("score"))))
+    alone = factors.top_k_unseen(model, asked.where(F.size("_seen") > SPARE), k, "_src", "_seen", basket_col).withColumn(
+        "_recs", F.transform("recs", lambda x: F.struct(x["id"].cast("int").alias("track_uri_index"), x["score"].cast("float").alias("score"))))
+    return shared.select(*route.columns, "_recs").unionByName(alone.select(*route.columns, "_recs"))
 
 
 def _answer(model: ALSModel, route: DataFrame, k: int, basket_col: str, user_col: str,
-            seen: DataFrame | None) -> DataFrame:
-    """``route`` (a row per basket with ``_src``, the playlist that answers it) with its top-k.
-
-    One playlist may answer most baskets, so the results of each playlist are one
-    row with an array, and the few playlists above 1 / HEAVY_PARTS of the baskets
-    (HEAVY_PARTS at most) are met in parts drawn from the basket id. With ``seen``
-    (basket, id) rows every basket is searched for itself and leaves its own tracks
-    out inside the search: it gets k rows, whatever others have seen.
+            seen: DataFrame | None, by_id: DataFrame | None = None) -> DataFrame:
+    """``route`` (a row per basket with ``_src``, the playlist that answers it) with its top-k,
+    and with the names of ``by_id``.
+
+    One playlist may answer most baskets, so the results of each playlist get their names
+    first and are one row with an array, which baskets meet in parts (``join_dealt``).
+    With ``seen`` (basket, id) rows every basket leaves its own tracks out: it gets k rows,
+    whatever others have seen.
     """
     columns = [basket_col, "method", "neighbor_id", "distance"]
+    if by_id is not None:
+        by_id = by_id.select("track_uri_index", "track_name", "artist_name", "track_uri")
+    names = by_id.columns[1:] if by_id is not None else []
+    ordered = ["track_uri_index", *columns, "rank", "score", *names] if names else [*columns, "rank", "track_uri_index", "score"]
     if seen is not None:
-        held = seen.groupBy(basket_col).agg(F.collect_set("track_uri_index").alias("_seen"))
-        found = factors.top_k_unseen(model, route.join(held, basket_col, "left"), k, "_src", "_seen")
-        return (found.select(*columns, F.inline("recs").alias("rank", "_i", "_s"))
-                .select(*columns, "rank", F.col("_i").cast("int").alias("track_uri_index"), F.col("_s").cast("float").alias("score")))
+        rows = (_unseen(model, route, k, basket_col, user_col, seen).select(*columns, F.posexplode("_recs").alias("_p", "_x"))
+                .select(*columns, (F.col("_p") + 1).alias("rank"), "_x.track_uri_index", "_x.score"))
+        if names:
+            rows = join_dealt(stage(rows, "unseen"), by_id, "track_uri_index", basket_col, "left")
+        return rows.select(*ordered)
     scored = factors.top_k(model, route.select(F.col("_src").alias(user_col)), k, user_col)
+    if names:
+        scored = join_dealt(stage(scored, "scored"), by_id, "track_uri_index", user_col, "left")
     lists = scored.groupBy(F.col(user_col).alias("_src")).agg(
-        F.collect_list(F.struct("rank", "track_uri_index", "score")).alias("_recs"))
-    counts = route.groupBy("_src").agg(F.count(F.lit(1)).alias("_n"))
-    total = route.agg(F.count(F.lit(1))).scalar()
-    heavy = counts.where(F.col("_n") * HEAVY_PARTS > total).select(
-        "_src", F.lit(HEAVY_PARTS).alias("_parts"))
-    part = F.pmod(F.xxhash64(basket_col), F.coalesce("_parts", F.lit(1)).cast("long"))
-    left = (route.join(F.broadcast(heavy), "_src", "left").withColumn("_part", part).drop("_parts"))
-    right = (lists.join(F.broadcast(heavy), "_src", "left")
-             .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)).cast("long") - 1)))
-             .drop("_parts"))
-    return left.join(right, ["_src", "_part"]).select(*columns, F.inline("_recs"))
+        F.collect_list(F.struct("rank", "track_uri_index", "score", *names)).alias("_recs"))
+    return join_dealt(route, lists, "_src", basket_col).select(*columns, F.inline("_recs")).select(*ordered)
 
 
 def recommend_new(model: ALSModel, baskets: DataFrame, index: DataFrame, existing: DataFrame,
@@ -85,8 +103,7 @@ def recommend_new(model: ALSModel, baskets: DataFrame, index: DataFrame, existin
     route = stage(near.select(basket_col, F.lit("neighbour").alias("method"), "neighbor_id", "distance",
                               F.col("neighbor_id").alias("_src")), "near")
     seen = items.where(F.col("track_uri_index").isNotNull()).distinct() if exclude_seen else None
-    recs = _answer(model, route, k, basket_col, user_col, seen)
-    return decode(recs, by_id) if by_id is not None else recs
+    return _answer(model, route, k, basket_col, user_col, seen, by_id)
 
 
 def route_baskets(baskets: DataFrame, index: DataFrame, existing: DataFrame,
@@ -133,13 +150,13 @@ def recommend_all(model: ALSModel, baskets: DataFrame, index: DataFrame, existin
         known = route.where(F.col("method") == "known").select(basket_col)
         held = existing.select(F.col(user_col).alias(basket_col), "track_uri_index").join(known, basket_col, "left_semi")
         seen = own.unionByName(held).distinct()
-    recs = _answer(model, route, k, basket_col, user_col, seen)
-    return decode(recs, by_id) if by_id is not None else recs
+    return _answer(model, route, k, basket_col, user_col, seen, by_id)
 
 
 def enrich(recs: DataFrame, catalog: DataFrame, basket_col: str = "basket_id") -> DataFrame:
     """Recommended URIs -> full catalog rows (every catalog row of the URI)."""
-    return (recs.select(basket_col, "rank", "track_uri").join(catalog, "track_uri")
+    rows = stage(recs.select(basket_col, "rank", "track_uri"), "recommended")
+    return (join_dealt(rows, catalog, "track_uri", basket_col)
                 .select(basket_col, "rank", "track_name", "artist_name", "album_name", "track_uri"))
 
 
