@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from mixtape.operators import factors as fac
 from mixtape.operators import recommend as rec
+from mixtape.plans import checks
 from mixtape.session import stage
+from tests.test_recommend import _most_rows
 
 N = 6000
 
@@ -80,3 +82,18 @@ def test_baskets_that_have_seen_little_share_a_search(spark, world, monkeypatch)
         got.setdefault(r.basket_id, []).append((r["rank"], r.track_uri_index))
     src = {r.basket_id: r._src for r in world["route"].collect()}
     assert got == {b: list(enumerate([i for i in ranked[p] if i not in held.get(b, ())][:5], 1)) for b, p in src.items()}
+
+
+def test_facts_are_found_once_per_list(spark, world):
+    recs = stage(rec._answer(world["model"], world["route"], 5, "basket_id", "playlist_id", None, world["by_id"]), "t-recs")
+    wrong = recs.withColumn("score", F.when((F.col("basket_id") == 11) & (F.col("rank") == 1), F.col("score") + 1).otherwise(F.col("score")))
+    wrong = wrong.withColumn("track_uri", F.when(F.col("basket_id") == 12, F.lit(None)).otherwise(F.col("track_uri")))
+    wrong = wrong.where("basket_id <> 13 or rank <> 2").where("basket_id <> 14")
+    facts = checks.recs_facts(wrong, world["model"], world["index"], ["basket_id", "method"], F.col("neighbor_id"))
+    found = facts.collect()
+    rows = {r.basket_id: r for r in found}
+    flags = ("n_recs", "ranks_ok", "scores_ordered", "dot_ok", "decoded_ok")
+    odd = {11: (5, True, True, False, True), 12: (5, True, True, True, False), 13: (4, False, True, True, True)}
+    assert len(found) == N - 1 and set(rows) == set(range(N)) - {14}
+    assert all(tuple(r[f] for f in flags) == odd.get(b, (5, True, True, True, True)) for b, r in rows.items())
+    assert _most_rows(facts)[0] <= N
