@@ -1,6 +1,7 @@
 """One playlist that answers most baskets, one track in most lists: no task gets all of their rows, and
 what baskets share is worked out once."""
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -97,3 +98,20 @@ def test_facts_are_found_once_per_list(spark, world):
     assert len(found) == N - 1 and set(rows) == set(range(N)) - {14}
     assert all(tuple(r[f] for f in flags) == odd.get(b, (5, True, True, True, True)) for b, r in rows.items())
     assert _most_rows(facts)[0] <= N
+
+
+def test_residuals_send_vectors_in_single_precision(spark, world):
+    left = fac.residuals(world["model"], world["pairs"])
+    plan = left._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("as array<double>") == 1          # of the users, a row each
+    y = {r.id: np.array(r.features, float) for r in world["model"].itemFactors.collect()}
+    x = {r.id: np.array(r.features, float) for r in world["model"].userFactors.collect()}
+    gram = sum(np.outer(v, v) for v in y.values())
+    mine = {}
+    for r in world["pairs"].collect():
+        mine.setdefault(r.playlist_id, []).append(y[r.track_uri_index])
+    for r in left.collect():
+        v = np.array(mine[r.id])
+        b = (1 + fac.ALPHA) * v.sum(0)
+        off = gram @ x[r.id] + fac.ALPHA * v.T @ (v @ x[r.id]) + fac.REG_PARAM * len(v) * x[r.id] - b
+        assert r.residual == pytest.approx(np.linalg.norm(off) / np.linalg.norm(b), rel=1e-6, abs=1e-12)
