@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from mixtape.session import shuffle_partitions
+
 #: A key with more than this share of the rows is dealt in this many parts.
 HEAVY_PARTS = 64
 
@@ -18,6 +20,7 @@ def join_dealt(left: DataFrame, right: DataFrame, key: str, spread: str, how: st
                         .select(key, F.lit(HEAVY_PARTS).cast("long").alias("_parts")))
     parts = F.coalesce("_parts", F.lit(1).cast("long"))
     dealt = left.join(heavy, key, "left").withColumn("_part", F.pmod(F.xxhash64(spread), parts)).drop("_parts")
+    dealt = dealt.repartition(shuffle_partitions(left.sparkSession), key, "_part")
     met = (right.join(heavy, key, "left")
            .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_parts"))
     return dealt.join(met, [key, "_part", *also], how).drop("_part")

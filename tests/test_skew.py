@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from mixtape.operators import factors as fac
 from mixtape.operators import recommend as rec
+from mixtape.operators import topk
+from mixtape.operators.skew import join_dealt
 from mixtape.plans import checks
 from mixtape.session import stage
 from tests.test_recommend import _most_rows
@@ -115,3 +117,13 @@ def test_residuals_send_vectors_in_single_precision(spark, world):
         b = (1 + fac.ALPHA) * v.sum(0)
         off = gram @ x[r.id] + fac.ALPHA * v.T @ (v @ x[r.id]) + fac.REG_PARAM * len(v) * x[r.id] - b
         assert r.residual == pytest.approx(np.linalg.norm(off) / np.linalg.norm(b), rel=1e-6, abs=1e-12)
+
+
+def test_one_small_file_is_dealt(spark, world):
+    """Also where the other side is broadcast, and for a search of few queries."""
+    left = stage(world["route"].coalesce(1).select("basket_id", "_src"), "t-left")
+    found = join_dealt(left, spark.range(40).select(F.col("id").alias("_src"), F.lit("x").alias("n")), "_src", "basket_id")
+    assert found.count() == N and _largest(found) < 0.6
+    users = world["model"].userFactors.coalesce(1)
+    searched = topk.top_k(users, topk.store_items(world["model"].itemFactors), 3)
+    assert searched.count() == 40 and _largest(searched) < 0.6
