@@ -23,4 +23,5 @@ def join_dealt(left: DataFrame, right: DataFrame, key: str, spread: str, how: st
     dealt = dealt.repartition(shuffle_partitions(left.sparkSession), key, "_part")
     met = (right.join(heavy, key, "left")
            .withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_parts"))
-    return dealt.join(met, [key, "_part", *also], how).drop("_part")
+    # by sorting: either side may be few bytes and many rows, so neither is broadcast
+    return dealt.join(met.hint("merge"), [key, "_part", *also], how).drop("_part")
