@@ -109,3 +109,36 @@ def test_products_of_large_panels():
     for a in range(0, 5000, 700):
         fac._take_products(u, v[a:a + 700], best)
     assert np.allclose(best, -np.sort(-(u @ v.T), axis=1)[:, :5])
+
+
+def test_products_over_panels_of_items():
+    """Whole rounds at once, with a last panel that isn't full, users without length and fewer items than scores."""
+    rnd = np.random.default_rng(5)
+    u, v = rnd.standard_normal((70, 10)), (rnd.standard_normal((1000, 10)) * rnd.lognormal(0, 2, 1000)[:, None]).astype(np.float32)
+    u[3], v[500:520] = 0, v[0]
+    for items in (v, v[::-1], v[:3], v[:0]):
+        best = np.full((70, 5), -np.inf)
+        fac._take_products(u, items, best)
+        want = -np.sort(-(u @ items.astype(np.float64).T), axis=1)[:, :5]
+        assert np.allclose(best[:, :want.shape[1]], want) and np.all(best[:, want.shape[1]:] == -np.inf)
+
+
+def test_products_are_dealt_to_many_tasks(spark, monkeypatch):
+    """Users are few bytes and would come from as few tasks as they have files."""
+    rnd = np.random.default_rng(6)
+    pairs = spark.createDataFrame([(int(u), int(i)) for u, i in {(a, b) for a, b in rnd.integers(1, 60, (500, 2))}], "playlist_id int, track_uri_index int")
+    model = fac.fit_als(pairs, num_blocks=2, max_iter=1)
+    parts, plain = {}, fac.stage
+
+    def counted(df, name):
+        parts[name] = df.rdd.getNumPartitions()
+        return plain(df, name)
+
+    monkeypatch.setattr(fac, "stage", counted)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        assert fac.all_products(model, pairs.select("playlist_id").distinct(), 5).count() == 59
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert parts["products"] == 23
